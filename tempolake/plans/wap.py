@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -42,11 +43,13 @@ class Pipeline:
         stage_gold: bool = False,
         dedup_keys: Mapping[str, list[str]] | None = None,
         run_id: int | None = None,
+        threads: int = 4,
     ):
         self.warehouse = warehouse
         self.bronze = bronze
         self.stage_gold = stage_gold
         self.dedup_keys = dedup_keys or {}
+        self.threads = threads
         self.report = RunReport(run_id or warehouse.new_run_id())
         self._built: dict[str, list[str]] = {"silver": [], "gold": []}
 
@@ -66,7 +69,19 @@ class Pipeline:
             model.by_day,
             model.rebalance,
         )
-        if model.layer in self._built:
+
+    def _build_all(
+        self, models: list[Model], target: str, inputs: Mapping[str, DataFrame]
+    ) -> None:
+        """Build models that do not depend on each other, a few at a time.
+
+        Their jobs share the executors, so the tail of one build does not idle the cluster.
+        """
+        with ThreadPoolExecutor(self.threads) as pool:
+            builds = [pool.submit(self._build, m, target, inputs) for m in models]
+            for build in builds:
+                build.result()
+        for model in models:
             self._built[model.layer].append(model.name)
 
     def _of_this_run(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
@@ -79,8 +94,7 @@ class Pipeline:
 
     def write_silver(self, *selectors: str) -> None:
         """Build silver models (all by default) into the staging area."""
-        for model in select_models(*(selectors or ("silver",))):
-            self._build(model, "staging", self.bronze)
+        self._build_all(select_models(*(selectors or ("silver",))), "staging", self.bronze)
 
     def audit_silver(self) -> None:
         """Check what was staged."""
@@ -97,8 +111,7 @@ class Pipeline:
         models = select_models(*(selectors or ("gold",)))
         needed = dict.fromkeys(name for m in models for name in m.inputs)
         silver = self.warehouse.read_all("silver", needed)
-        for model in models:
-            self._build(model, "dev", silver)
+        self._build_all(models, "dev", silver)
         if not self.stage_gold:
             self._publish_gold()
 
