@@ -18,6 +18,19 @@ def trim_all(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _visible_ascii(char: Column) -> Column:
+    return F.ascii(char).between(33, 126)
+
+
 def clean_text(text: Column) -> Column:
-    """Trimmed text, with NULL in place of an empty result."""
-    return F.nullif(trim_all(text), F.lit(""))
+    """Trimmed text, with NULL in place of an empty result.
+
+    Text with visible ASCII at both ends is clean already. That is nearly all of it, and
+    the check costs far less than trimming every kind of whitespace.
+    """
+    clean = _visible_ascii(text) & _visible_ascii(F.substring(text, -1, 1))
+    return (
+        F.when(text == "", F.lit(None))
+        .when(clean, text)
+        .otherwise(F.nullif(trim_all(text), F.lit("")))
+    )
