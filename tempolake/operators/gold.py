@@ -124,16 +124,18 @@ def user_activity_daily(
     largest one keeps results reproducible.
     """
     keys = ["event_date", "user_id"]
-    plays = aggregate(
-        listens,
-        keys,
-        [
-            *[F.max(c).alias(c) for c in ("first_name", "last_name", "gender", "level")],
-            _plays(),
-            *_durations(),
-        ],
-        {"sessions_with_plays": "session_id", "unique_artists": "artist"},
+    attributes = ["first_name", "last_name", "gender", "level"]
+    # A maximum of text cannot be hash-aggregated and would sort every play. Attributes hardly
+    # vary within a user's day, so group by them first and take the maximum of the few rows left.
+    variants = listens.groupBy(*keys, *attributes).agg(_plays(), *_durations())
+    totals = variants.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in attributes],
+        *[F.sum(c).alias(c) for c in ("play_count", "_d_s", "_d_us", "_d_n")],
+    )
+    visits = aggregate(
+        listens, keys, [], {"sessions_with_plays": "session_id", "unique_artists": "artist"}
     )
+    plays = totals.join(visits, keys)
     views = aggregate(
         page_views,
         keys,
