@@ -18,16 +18,9 @@ def trim_all(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def _visible_ascii(char: Column) -> Column:
-    return F.ascii(char).between(33, 126)
-
-
 def clean_text(text: Column) -> Column:
     """Trimmed text, with NULL in place of an empty result.
 
-    Most text is done once its plain spaces are off: with visible ASCII at both ends, the
-    slower trim of every kind of whitespace has nothing left to remove and is skipped.
+    The input appears once, so an expression passed in is evaluated once per row.
     """
-    spaceless = F.trim(text)
-    done = _visible_ascii(spaceless) & _visible_ascii(F.substring(spaceless, -1, 1))
-    return F.nullif(F.when(done, spaceless).otherwise(trim_all(text)), F.lit(""))
+    return F.nullif(trim_all(text), F.lit(""))
