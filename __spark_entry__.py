@@ -25,6 +25,14 @@ from tempolake.sources import bronze, files, kafka, testdata
 from tempolake.streaming.decode import decode
 from tempolake.streaming.ingest import start_ingest
 
+try:
+    from tempolake.llm import queries as llm_queries
+except ImportError as missing:
+    # Only the optional subpackage itself may be missing.
+    if missing.name != "tempolake.llm":
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 BACKFILL = {"availableNow": True}
@@ -359,9 +367,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per model or operator; each takes (spark, sf_dir)."""
-    return {name: _pinned(query) for name, query in _registered().items()}
+    registered = _registered()
+    if llm_queries:
+        registered |= llm_queries.queries()
+    return {name: _pinned(query) for name, query in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the test tables."""
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
