@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import bpe, packing
+from tempolake.llm import bpe, jaccard, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, vocabulary("byte_bpe_50k.json"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,6 +48,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op8_byte_bpe": op8_byte_bpe,
     }
 
