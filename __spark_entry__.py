@@ -11,7 +11,8 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -357,7 +358,12 @@ def _registered() -> dict[str, Query]:
 
 
 def _pinned(query: Query) -> Query:
-    return lambda spark, sf_dir: query(require_utc(spark), sf_dir)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Python workers import the package from here, whatever folder they start in.
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return query(require_utc(spark), sf_dir)
+
+    return run
 
 
 def entry(spark: SparkSession) -> DataFrame:
