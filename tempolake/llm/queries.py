@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import bpe, jaccard, packing
+from tempolake.llm import bpe, jaccard, near_vectors, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, vocabulary("byte_bpe_50k.json"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.links(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -48,6 +52,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_embedding_near_dedup": op2_embedding_near_dedup,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op8_byte_bpe": op8_byte_bpe,
     }
