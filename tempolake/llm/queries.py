@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import bpe, jaccard, near_vectors, packing
+from tempolake.llm import ann, bpe, jaccard, near_vectors, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return ann.search(table, table.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1_packing,
         "op2_embedding_near_dedup": op2_embedding_near_dedup,
         "op5_ngram_jaccard": op5_ngram_jaccard,
+        "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_byte_bpe": op8_byte_bpe,
     }
 
