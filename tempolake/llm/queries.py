@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import ann, bpe, jaccard, near_vectors, packing
+from tempolake.llm import ann, bpe, jaccard, language, near_vectors, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +32,27 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.links(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.held_out("doc_id", 3, 1)
+    model = language.train(documents.filter(~held_out))
+    found = language.identify(documents.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = language.held_out("doc_id", 5, 0)
+    model = toxicity.train(documents.join(labels.filter(~held_out), "doc_id"))
+    found = toxicity.score(documents, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings")
     return ann.search(table, table.filter(F.col("vec_id") % 100 == 0), k=10)
@@ -58,7 +75,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op2_embedding_near_dedup": op2_embedding_near_dedup,
+        "op4_language_id": op4_language_id,
         "op5_ngram_jaccard": op5_ngram_jaccard,
+        "op6_toxicity": op6_toxicity,
         "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_byte_bpe": op8_byte_bpe,
     }
