@@ -19,6 +19,10 @@ from pyspark.sql import DataFrame
 from tempolake.llm import arrowtext, pretoken
 
 
+#: Distinct words that one replay goes over: the bound of the inverted index in memory.
+CORPUS_WORDS = 20_000
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """The tokens of a rank file: a base64 token and its rank per line."""
     with open(path, "rb") as lines:
@@ -33,21 +37,28 @@ class MergeReplay:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._bytes = [ranks[bytes([b])] for b in range(256)]
-        self._pair_rank: dict[tuple[int, int], int] = {}
+        self._pair_rank: dict[int, int] = {}
 
     def _rank(self, left: int, right: int) -> int:
         """The rank of two adjacent tokens as one, -1 if that is none."""
-        pair = (left, right)
+        pair = left << 32 | right
         rank = self._pair_rank.get(pair)
         if rank is None:
             rank = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-            if len(self._pair_rank) > 2_000_000:
+            if len(self._pair_rank) > 300_000:
                 self._pair_rank.clear()
             self._pair_rank[pair] = rank
         return rank
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after another, and the number of ids of each."""
+        parts = [
+            self._replay(words[at : at + CORPUS_WORDS])
+            for at in range(0, len(words), CORPUS_WORDS)
+        ]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _replay(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [word.encode("utf-8", "surrogatepass") for word in words]
         ranks, singles = self.ranks, self._bytes
         token: list[int] = []  # the token that starts here; -1 inside one, -2 between words
@@ -170,15 +181,10 @@ def encode(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(ranks_path)
         for batch in batches:
-            flat, counts = [], []
-            for _, ids_of_rows, per_row in pretoken.row_ids(batch.column(text), words):
-                flat.append(ids_of_rows)
-                counts.append(per_row)
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts or [[]]))])
-            values = pa.array(np.concatenate(flat or [np.empty(0, np.int32)]), pa.int32())
-            yield _appended(
-                batch, ids, pa.ListArray.from_arrays(offsets.astype(np.int32), values)
-            )
+            for first, flat, counts in pretoken.row_ids(batch.column(text), words):
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                values = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+                yield _appended(batch.slice(first, len(counts)), ids, values)
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != ids]
     return rows.mapInArrow(task, ", ".join([*kept, f"`{ids}` array<int>"]))
@@ -201,14 +207,14 @@ def decode(
                 raise ValueError("an id is not in the vocabulary")
             per_row = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int64)
-            texts = []
             for first, last in arrowtext.row_spans(ends):
                 part = values[ends[first] : ends[last]]
                 sizes = lengths[part]
                 raw = table[arrowtext.ragged(starts[part], sizes)].tobytes()
                 cuts = np.concatenate([[0], np.cumsum(sizes)])[ends[first : last + 1] - ends[first]]
-                texts.extend(raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
-            yield _appended(batch, decoded, pa.array(texts, pa.binary()))
+                texts = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                part = batch.slice(first, last - first)
+                yield _appended(part, decoded, pa.array(texts, pa.binary()))
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != decoded]
     return rows.mapInArrow(task, ", ".join([*kept, f"`{decoded}` binary"]))
