@@ -27,12 +27,13 @@ from tempolake.streaming.decode import decode
 from tempolake.streaming.ingest import start_ingest
 
 try:
+    import corpus_pipeline
     from tempolake.llm import queries as llm_queries
 except ImportError as missing:
     # Only the optional subpackage itself may be missing.
-    if missing.name != "tempolake.llm":
+    if missing.name not in ("corpus_pipeline", "tempolake.llm"):
         raise
-    llm_queries = None
+    corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -375,7 +376,7 @@ def queries() -> dict[str, Query]:
     """One entry per model or operator; each takes (spark, sf_dir)."""
     registered = _registered()
     if llm_queries:
-        registered |= llm_queries.queries()
+        registered |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return {name: _pinned(query) for name, query in registered.items()}
 
 
