@@ -6,7 +6,7 @@ and read again as the next stage's ``docs``. All but the last return the columns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempolake.llm import jaccard, language, packing, scratch, toxicity
@@ -47,16 +47,24 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group that shares 0.8 of its five-word shingles.
 
-    The one with the smallest doc_id stays; of rows that repeat it one stays, the first by its
-    columns. Rows without doc_id or words are in no group and stay.
+    The one with the smallest doc_id stays, once. Rows without doc_id or words are in no group
+    and stay, but for rows that are repeated in full. When a doc_id stands for several texts,
+    these stay if one of them does.
     """
     docs = docs.select(*COLUMNS)
     groups = jaccard.join(docs, words=5, percent=80)
-    others = groups.filter(
-        (F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))
-    ).select("doc_id")
-    single = docs.dropDuplicates().join(others.distinct(), "doc_id", "left_anti")
-    return single.select(*COLUMNS)
+    stays = (F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))
+    verdicts = (
+        groups.filter("doc_id is not null").groupBy("doc_id").agg(F.max(stays).alias("stays"))
+    )
+    joined = docs.join(verdicts, "doc_id", "left").filter(F.coalesce("stays", F.lit(True)))
+    rows = Window.partitionBy("doc_id").orderBy("print")
+    printed = joined.withColumn("print", F.xxhash64(*COLUMNS))
+    return (
+        printed.withColumn("before", F.lag("print").over(rows))
+        .filter("before is null or before <> print")
+        .select(*COLUMNS)
+    )
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import ann, bpe, jaccard, language, near_vectors, packing, toxicity
+from tempolake.llm import ann, bpe, chat, jaccard, language, near_vectors, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,37 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts hold the marks of the template and a backslash.
+    marks = F.lit("\\### Assistant: </turn> ok")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        marks.alias("text"),
+    )
+    return chat.formatted_digests(turns.unionByName(own))
+
+
+_OP9 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), ''))
+           AS loss_sha256,
+       sum(length('### ' || role || ': </turn>.')
+           + length(regexp_replace(text, '([\\#<:])', '.\1', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -80,9 +111,10 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_chat_format": op9_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express on whole tables."""
-    return {}
+    return {"op9_chat_format": _OP9}
