@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolake.llm import ann, bpe, chat, jaccard, language, near_vectors, packing, toxicity
+from tempolake.llm import (
+    ann,
+    archive,
+    bpe,
+    chat,
+    jaccard,
+    language,
+    near_vectors,
+    packing,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +42,13 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.links(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive.convert_pages(_table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = language.held_out("doc_id", 3, 1)
@@ -106,6 +123,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op2_embedding_near_dedup": op2_embedding_near_dedup,
+        "op3_warc": op3_warc,
         "op4_language_id": op4_language_id,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_toxicity": op6_toxicity,
