@@ -5,15 +5,16 @@ similar enough share an n-gram among the first few of each (the prefix), so cand
 from an equality join on prefix n-grams; lengths, positions and the split of the sets over hash
 ranges rule most of them out before each remaining pair is verified, once, on the whole texts.
 
-Only components are asked for, not all pairs. Texts with equal sets are one class. A first
-round verifies, for a few prefix n-grams of each class, the pair with the first class that has
-the n-gram and with the one before it; a second round takes all candidate pairs of classes
-whose components still differ. A pair within one component cannot change anything, so no link
+Only components are asked for, not all pairs. Texts with equal sets are one class. Each of the
+first rounds takes, for each prefix n-gram of a class, the first class that has it and the one
+before, and verifies the class with those of them that it meets most often; the last round
+takes all candidate pairs of classes whose components still differ. A pair within one component cannot change anything, so no link
 is lost, and a large group of near copies costs a few pairs per text.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,16 +25,17 @@ from pyspark.sql import functions as F
 from tempolake.llm import arrowtext, components, scratch
 
 #: Counters of the frequency sketch. Fixed: it is the size bound of what is broadcast (1 byte each).
-SKETCH = 1 << 20
-_SEGMENT = 1 << 12
-#: Prefix n-grams per text used in the first round.
-FIRST_ROUND = 4
+SKETCH = 1 << 24
+_SEGMENT = 1 << 16
+#: Rounds of few pairs before the last round takes all, and partners per text in these.
+LINEAR_ROUNDS, PARTNERS = 2, 3
 #: Hash ranges whose counts bound the overlap of two sets.
 _RANGES = 16
 #: Buckets of document ids used to leave out texts in no pair: at most so many broadcast rows.
 _ID_BUCKETS = 1 << 20
 
 _U64 = np.uint64
+_ONE = np.uint32(1)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -85,30 +87,27 @@ def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
     segment; what the driver gets and broadcasts has the fixed size ``SKETCH``.
     """
 
-    def segments(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        parts = counts.reshape(-1, _SEGMENT)
-        used = np.flatnonzero(parts.any(axis=1))
-        blobs = [parts[i].astype("<u8").tobytes() for i in used]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], ["segment", "counts"]
-        )
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             data, offsets = arrowtext.byte_rows(batch.column(0))
             for a, b in arrowtext.row_spans(offsets):
                 grams, _ = shingle_rows(data, offsets[a : b + 1], words)
-                slots = (grams & _U64(SKETCH - 1)).astype(np.int64)
-                counts += np.bincount(slots, minlength=SKETCH)
-        yield from segments(counts)
+                np.add.at(counts, (grams & _U64(SKETCH - 1)).astype(np.int64), _ONE)
+        for segment, part in enumerate(counts.reshape(-1, _SEGMENT)):
+            if part.any():
+                blob = zlib.compress(part.astype("<u4").tobytes(), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([segment], pa.int32()), pa.array([blob], pa.binary())],
+                    ["segment", "counts"],
+                )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(blob, "<u8").astype(np.int64)
-                sums[segment] = sums[segment] + part if segment in sums else part
+                total = sums.setdefault(segment, np.zeros(_SEGMENT, np.int64))
+                total += np.frombuffer(zlib.decompress(blob), "<u4")
         for segment, total in sums.items():
             levels = np.minimum(255, np.round(6 * np.log2(total + 1))).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
@@ -236,6 +235,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(task, "a long, b long")
 
 
+def _few_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, a few per class and at most two per posting.
+
+    Each list of an n-gram is ordered by component, then size. A class may go with the head of
+    the list and with the one before it; of these it takes those that it meets most often.
+    """
+    listed = Window.partitionBy("gram").orderBy("component_id", "n", "id")
+    often = Window.partitionBy("id").orderBy(F.desc("met"), "partner")
+    one = F.struct("id", "n", "pos", "component_id")
+    return (
+        lists.withColumn("head", F.first(one).over(listed))
+        .withColumn("previous", F.lag(one).over(listed))
+        .filter("previous is not null")
+        .select("id", "n", "pos", "component_id", F.explode(F.array("head", "previous")).alias("o"))
+        .filter(F.col("component_id") != F.col("o.component_id"))
+        .filter(_possible(percent, F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos")))
+        .groupBy("id", F.col("o.id").alias("partner"))
+        .agg(F.count("*").alias("met"))
+        .withColumn("order", F.row_number().over(often))
+        .filter(F.col("order") <= PARTNERS)
+        .select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b"))
+        .distinct()
+    )
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    """Each id with its component, as links."""
+    pairs = found.filter("id <> component_id")
+    return pairs.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+
+
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """The postings of n-grams that still stand in more than one component."""
+    labelled = shared.join(found, "id", "left").withColumn(
+        "component_id", F.coalesce("component_id", "id")
+    )
+    group = labelled.groupBy("gram").agg(
+        F.min("component_id").alias("low"), F.max("component_id").alias("high")
+    )
+    return labelled.join(group.filter("low < high"), "gram", "left_semi")
+
+
 def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id.
 
@@ -254,65 +295,40 @@ def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     classes = scratch.written(
         usable.groupBy(*key).agg(F.min("doc_id").alias("class_id")), "classes"
     )
-    # The prefix of each class, with the few n-grams of the first round marked.
     chosen = usable.join(
         classes.select(*key, F.col("class_id").alias("doc_id")), [*key, "doc_id"], "left_semi"
     )
-    mixed = F.transform("prefix", lambda g: F.xxhash64(g))
-    postings = (
-        chosen.select("doc_id", F.col("n_shingles").alias("n"), "prefix", mixed.alias("mixed"))
-        .withColumn("low", F.get(F.array_sort("mixed"), F.lit(FIRST_ROUND - 1)))
-        .select("doc_id", "n", "low", F.posexplode("prefix").alias("pos", "gram"))
-        .withColumn("leads", F.coalesce(F.xxhash64("gram") <= F.col("low"), F.lit(True)))
-        .drop("low")
+    postings = chosen.select(
+        "doc_id", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "gram")
     )
     listed = Window.partitionBy("gram").orderBy("n", "doc_id")
-    one = F.struct("doc_id", "n", "pos")
     shared = scratch.written(
-        postings.withColumn("head", F.first(one).over(listed))
-        .withColumn("previous", F.lag(one).over(listed))
-        .withColumn("next", F.lead("doc_id").over(listed))
-        .filter("previous is not null or next is not null")
-        .drop("next"),
+        postings.withColumn("before", F.lag("doc_id").over(listed))
+        .withColumn("after", F.lead("doc_id").over(listed))
+        .filter("before is not null or after is not null")
+        .select("gram", F.col("doc_id").alias("id"), "n", "pos"),
         "shared",
     )
-    partners = F.explode(F.array("head", "previous")).alias("other")
-    first = (
-        shared.filter("leads and previous is not null")
-        .select("doc_id", "n", "pos", partners)
-        .filter(F.col("doc_id") != F.col("other.doc_id"))
-        .filter(
-            _possible(
-                percent, F.col("n"), F.col("pos"), F.col("other.n"), F.col("other.pos")
-            )
-        )
-        .select(
-            F.least("doc_id", "other.doc_id").alias("a"),
-            F.greatest("doc_id", "other.doc_id").alias("b"),
-        )
-        .distinct()
-    )
-    first = scratch.written(first, "candidates")
-    links = scratch.written(_verified(first, documents, words, percent), "verified")
-    found = scratch.written(components.components(links), "first")
-
-    # Second round: all candidate pairs whose components differ.
-    labelled = (
-        shared.select("gram", F.col("doc_id").alias("id"), "n", "pos")
-        .join(found, "id", "left")
-        .withColumn("component_id", F.coalesce("component_id", "id"))
-    )
-    group = Window.partitionBy("gram")
-    mixed_lists = (
-        labelled.withColumn("low", F.min("component_id").over(group))
-        .withColumn("high", F.max("component_id").over(group))
-        .filter("low < high")
-        .drop("low", "high")
-    )
-    mixed_lists = scratch.written(mixed_lists, "mixed")
+    # Linear rounds: few pairs per class, and the components that their links make.
+    found = None
+    lists = shared.withColumn("component_id", F.col("id"))
+    tried: DataFrame | None = None
+    for _ in range(LINEAR_ROUNDS):
+        pairs = _few_pairs(lists, percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = scratch.written(pairs, "candidates")
+        tried = pairs if tried is None else tried.union(pairs)
+        links = _verified(pairs, documents, words, percent)
+        if found is not None:
+            links = links.union(_edges(found))
+        found = scratch.written(components.components(links), "found")
+        lists = scratch.written(_apart(shared, found), "lists")
+
+    # The last round: all remaining candidate pairs whose components differ.
     # Sizes of similar sets are in the same or in adjacent bands.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9)
-    right = mixed_lists.select(
+    right = lists.select(
         "gram",
         F.explode(F.array(band, band + 1, band - 1)).alias("band"),
         F.col("id").alias("b"),
@@ -320,7 +336,7 @@ def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         F.col("pos").alias("at"),
         F.col("component_id").alias("other_component"),
     )
-    left = mixed_lists.select(
+    left = lists.select(
         "gram", band.alias("band"), F.col("id").alias("a"), "n", "pos", "component_id"
     )
     second = (
@@ -330,14 +346,11 @@ def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         .filter(_possible(percent, F.col("n"), F.col("pos"), F.col("m"), F.col("at")))
         .select("a", "b")
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
+        .join(tried, ["a", "b"], "left_anti")
     )
     second = scratch.written(second, "candidates")
     more = _verified(second, documents, words, percent)
-    joined = found.filter("id <> component_id").select(
-        F.col("id").alias("a"), F.col("component_id").alias("b")
-    )
-    final = components.components(joined.union(more))
+    final = components.components(_edges(found).union(more))
     by_class = classes.join(
         final.withColumnRenamed("id", "class_id"), "class_id", "left"
     ).select(*key, F.coalesce("component_id", "class_id").alias("of_class"))
