@@ -17,6 +17,7 @@ from tempolake.llm import (
     near_vectors,
     packing,
     toxicity,
+    wrapper,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_digests(turns.unionByName(own))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(_table(spark, sf_dir, "pages"))
+
+
 _OP9 = r"""
 WITH turns AS (
     SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -130,6 +135,7 @@ def queries() -> dict[str, Query]:
         "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_chat_format": op9_chat_format,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
