@@ -15,9 +15,10 @@ from tempolake.llm.queries import vocabulary
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 #: Bits per letter above which no learned language explains a text. Text in a learned language
-#: takes two to three; letters in random order take more than five.
-FOREIGN_BITS = 4.8
-#: Letters from which a text is long enough to tell.
+#: takes two to five, also with addresses or codes in it; that in an unknown script takes all
+#: the bits of a phrase, about fifteen.
+FOREIGN_BITS = 6.5
+#: Characters from which a text is long enough to tell.
 _TELLING_CHARS = 40
 
 
