@@ -14,7 +14,7 @@ from functools import reduce
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracles
@@ -24,7 +24,7 @@ from tempolake.schemas import AUTH, LISTEN, PAGE_VIEW, STATUS_CHANGE, TOPICS, To
 from tempolake.session import scratch_dir
 from tempolake.sources import bronze, files, kafka, testdata
 from tempolake.streaming.decode import decode
-from tempolake.streaming.ingest import start_ingest
+from tempolake.streaming.ingest import await_all, start_all, start_ingest
 
 try:
     import corpus_pipeline
@@ -48,7 +48,10 @@ def _star_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = testdata.event_tables(spark, sf_dir)
+    return _silver_of(testdata.event_tables(spark, sf_dir))
+
+
+def _silver_of(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "silver_listen_events": silver.silver_listen_events(raw[LISTEN.name]),
         "silver_page_view_events": silver.silver_page_view_events(raw[PAGE_VIEW.name]),
@@ -59,8 +62,16 @@ def _event_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def _event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = _event_silver(spark, sf_dir)
+def _stored_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver tables as the flow stores them, so that gold does not derive them again."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "silver"))
+    run = Pipeline(warehouse, testdata.event_tables(spark, sf_dir))
+    run.write_silver()
+    run.publish_silver()
+    return warehouse.read_all("silver", warehouse.published("silver"))
+
+
+def _gold_of(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     listens = tables["silver_listen_events"]
     return {
         "gold_daily_listening_stats": gold.daily_listening_stats(listens),
@@ -76,6 +87,10 @@ def _event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _event_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _gold_of(_event_silver(spark, sf_dir))
+
+
 def _messages(raw: DataFrame, topic: Topic) -> DataFrame:
     """Raw rows under their message field names."""
     message_names = {new: old for old, new in topic.renames}
@@ -93,6 +108,14 @@ def _star_model(model: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: model(_star_silver(spark, sf_dir))
 
 
+def _undated_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _silver_of(testdata.event_tables(spark, sf_dir, undated=True))
+
+
+def _undated_gold(name: str) -> Query:
+    return lambda spark, sf_dir: _gold_of(_undated_silver(spark, sf_dir))[name]
+
+
 def _event_model(name: str) -> Query:
     return lambda spark, sf_dir: _event_silver(spark, sf_dir)[name]
 
@@ -102,7 +125,8 @@ def _event_gold_model(name: str) -> Query:
 
 
 def _pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.pipeline_status(_event_gold(spark, sf_dir)).drop("refreshed_at")
+    status = gold.pipeline_status(_gold_of(_stored_silver(spark, sf_dir)))
+    return status.drop("refreshed_at")
 
 
 # -- checks ------------------------------------------------------------------------------
@@ -113,7 +137,12 @@ def _dq_silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_gold_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.audit(_event_gold(spark, sf_dir), quality.GOLD_CHECKS)
+    return quality.audit(_gold_of(_stored_silver(spark, sf_dir)), quality.GOLD_CHECKS)
+
+
+def _dq_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver audit over raw tables some of whose rows have no time."""
+    return quality.audit(_undated_silver(spark, sf_dir), quality.SILVER_CHECKS)
 
 
 def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +239,7 @@ def _json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     prefix = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", "))
     lines = testdata.table(spark, sf_dir, "events").select(
-        F.concat(prefix, F.substring("props", 2, 1_000_000_000)).alias("value")
+        F.concat(prefix, F.expr("substring(props, 2)")).alias("value")
     )
     return decode(lines, topic).select("event_id", "k")
 
@@ -255,7 +284,7 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = bronze.FileSinkTable(spark, f"{folder}/bronze", AUTH)
     lines = files.stream_lines(spark, f"{folder}/lines")
     start_ingest(lines, table, f"{folder}/checkpoint", BACKFILL).awaitTermination()
-    kept = table.read().withColumn("rejected", F.lit(False))
+    kept = table.dated().withColumn("rejected", F.lit(False))
     rejected = table.rejects().withColumn("rejected", F.lit(True))
     return (
         kept.unionByName(rejected)
@@ -264,29 +293,104 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest the later half of the month first: the earlier days are all late, none is lost."""
-    folder = scratch_dir(spark, "snapshots")
-    raw = testdata.event_tables(spark, sf_dir)[LISTEN.name]
-    later = F.col("event_date") >= F.lit("2024-01-16").cast("date")
-    table = bronze.SnapshotTable(spark, f"{folder}/bronze", LISTEN)
-    snapshots = {}
-    for label, part in (("first", raw.filter(later)), ("latest", raw.filter(~later))):
-        _write_lines(_messages(part, LISTEN), f"{folder}/lines")
-        lines = files.stream_lines(spark, f"{folder}/lines")
-        start_ingest(lines, table, f"{folder}/checkpoint", BACKFILL).awaitTermination()
-        snapshots[label] = table.versions()[0]
-    table.compact()
-    reads = {label: table.read(snapshot) for label, snapshot in snapshots.items()}
-    reads["compacted"] = table.read()
-    tagged = [rows.withColumn("snapshot", F.lit(label)) for label, rows in reads.items()]
-    return (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy("snapshot", "event_date")
-        .agg(F.count("*").alias("rows"))
+def _presented_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heatmap's cells with their position in the order it is presented in."""
+    name = "gold_hourly_listening_heatmap"
+    cells = gold.presented(name, gold.hourly_listening_heatmap(_star_silver(spark, sf_dir)))
+    placed = cells.withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_at")).cast("bigint")
+    return placed.select("day_of_week", "hour_of_day", position.alias("position"))
+
+
+def _with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, value): one good line per event, or one of several kinds of bad ones."""
+    number = F.col("event_id")
+    name = number.cast("string")
+    good = F.concat(
+        F.lit('{"event_id": '), name, F.lit(', "k": '), name, F.lit(', "ts": '), name,
+        F.lit(', "userId": '), name, F.lit("}"),
+    )
+    kind = number % 11
+    value = (
+        F.when(kind == 1, "  \t ")
+        .when(kind == 2, F.concat(good, F.lit("}}}"), good))
+        .when(kind == 3, F.substring_index(good, ",", 2))
+        .when(kind == 4, F.replace(good, F.lit('"k": '), F.lit('"k": "x')))
+        .when(kind == 5, F.concat(F.lit("\t \u00a0"), good, F.lit(" ")))
+        .when(kind == 6, "[1, 2]")
+        .when(kind == 7, F.concat(good, good))
+        .otherwise(good)
+    )
+    return testdata.table(spark, sf_dir, "events").select("event_id", value.alias("value"))
+
+
+def _json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = Topic("bad", (("event_id", "bigint"), ("k", "int"), ("ts", "bigint")), ("event_id",))
+    lines = _with_bad_lines(spark, sf_dir)
+    # Of several values on a line the ingest takes the first, and an array has no fields, so
+    # these lines are left to the replay.
+    single = lines.filter(~(F.col("event_id") % 11).isin(2, 6, 7))
+    return decode(single.select("value"), topic).select("event_id", "k")
+
+
+def _replay_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _with_bad_lines(spark, sf_dir).withColumn("topic", F.lit(AUTH.name))
+    return files.replay_messages(lines).select("key", "topic", "ts", "value")
+
+
+def _replay_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many replayed messages there are, and how many stand after a later one."""
+    folder = scratch_dir(spark, "order")
+    raw = testdata.event_tables(spark, sf_dir, undated=True)
+    for name, topic in TOPICS.items():
+        _write_lines(_messages(raw[name], topic), f"{folder}/lines/{name}")
+    messages = files.replay_messages(files.topic_lines(spark, f"{folder}/lines"))
+    files.replay_order(messages).write.parquet(f"{folder}/ordered")
+    stored = spark.read.parquet(f"{folder}/ordered")
+    # Files are numbered in order and rows keep theirs within a file.
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    rows = stored.select("ts", part.alias("part"), F.monotonically_increasing_id().alias("at"))
+    within = Window.partitionBy("part").orderBy("at")
+    inside = (
+        rows.withColumn("late", F.col("ts") < F.lag("ts").over(within))
+        .groupBy("part")
+        .agg(
+            F.count("*").alias("messages"),
+            F.count_if("late").alias("late"),
+            F.min("ts").alias("low"),
+            F.max("ts").alias("high"),
+        )
+    )
+    across = Window.orderBy("part")
+    return inside.withColumn("early", F.col("low") < F.lag("high").over(across)).agg(
+        F.sum("messages").alias("messages"),
+        (F.sum("late") + F.count_if("early")).alias("out_of_order"),
     )
 
 
+def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four queries over one folder, stopped and started again: rows after each run."""
+    folder = scratch_dir(spark, "restart")
+    raw = testdata.event_tables(spark, sf_dir)
+    later = F.col("event_date") >= F.lit("2024-01-16").cast("date")
+    counts = []
+    for run, part in ((1, later), (2, ~later)):
+        for name, topic in TOPICS.items():
+            _write_lines(_messages(raw[name].filter(part), topic), f"{folder}/lines/{name}")
+        queries = start_all(
+            spark,
+            lambda topic: files.stream_lines(spark, f"{folder}/lines", topic),
+            f"{folder}/bronze",
+            f"{folder}/checkpoint",
+            trigger=BACKFILL,
+        )
+        await_all(queries)
+        for name, topic in TOPICS.items():
+            rows = bronze.FileSinkTable(spark, f"{folder}/bronze", topic).read().count()
+            counts.append((run, name, rows))
+    return spark.createDataFrame(counts, "run int, table_name string, rows bigint")
+
+
 def _bronze_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     listens = _event_silver(spark, sf_dir)["silver_listen_events"]
     days = bronze.between(listens, "2024-01-10", "2024-01-12")
@@ -294,9 +398,9 @@ def _bronze_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testdata.event_tables(spark, sf_dir)[AUTH.name]
-    rows = silver.silver_auth_events(raw, dedup_keys=["userId", "sessionId"])
-    return rows.groupBy("user_id", "session_id").agg(F.count("*").alias("kept"))
+    """Whole plays, one per user and session; plays without an artist don't count."""
+    raw = testdata.event_tables(spark, sf_dir)[LISTEN.name]
+    return silver.silver_listen_events(raw, dedup_keys=["userId", "sessionId"])
 
 
 def _wap_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,6 +419,90 @@ def _wap_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [status, *counts])
 
 
+def _wap_empty_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run on a day without subscription changes; rows and columns of every silver table."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "empty"))
+    raw = testdata.event_tables(spark, sf_dir, blank_artist="Indie")
+    raw[STATUS_CHANGE.name] = raw[STATUS_CHANGE.name].filter(F.lit(False))
+    Pipeline(warehouse, raw).run()
+    tables = warehouse.read_all("silver", warehouse.published("silver"))
+    counts = [
+        rows.agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(",".join(rows.columns)).alias("columns"), "rows"
+        )
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _status_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One refresh time for all tables, none missing, all ready, and the time readers get."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "status"))
+    raw = testdata.event_tables(spark, sf_dir, blank_artist="Indie")
+    Pipeline(warehouse, raw).run()
+    status = warehouse.read("status", "gold_pipeline_status")
+    refreshed = gold.last_refresh(status)
+    return status.crossJoin(refreshed).agg(
+        F.count("*").alias("tables"),
+        F.count_distinct("refreshed_at").alias("refresh_times"),
+        F.count_if(F.col("refreshed_at").isNull()).alias("missing"),
+        F.count_if("is_ready").alias("ready"),
+        F.count_if(F.col("refreshed_at") == F.col("last_refreshed_at")).alias("as_read"),
+        F.sum("rows_loaded").alias("rows_loaded"),
+    )
+
+
+def _counts_of(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = [
+        rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _selected_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of one silver and one gold model; what was published."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "selected"))
+    run = Pipeline(warehouse, testdata.event_tables(spark, sf_dir, blank_artist="Indie"))
+    run.write_silver("silver_listen_events")
+    run.audit_silver()
+    run.publish_silver()
+    run.build_gold("gold_hourly_listening_heatmap")
+    tables = {
+        name: rows
+        for layer in ("silver", "gold")
+        for name, rows in warehouse.read_all(layer, warehouse.published(layer)).items()
+    }
+    return _counts_of(tables)
+
+
+def _republish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current auth rows after runs 10 and 20 and run 10 published again."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "republish"))
+    raw = testdata.event_tables(spark, sf_dir)
+    table, counts = "silver_auth_events", {}
+    for step, run_id in enumerate((10, 20, 10)):
+        if step < 2:
+            part = raw[AUTH.name].filter((F.col("gender") == "F") | F.lit(run_id == 20))
+            run = Pipeline(warehouse, {AUTH.name: part}, run_id=run_id)
+            run.write_silver(table)
+        warehouse.publish("silver", run_id, [table], "silver_staging")
+        counts[f"step {step + 1}"] = warehouse.read("silver", table)
+    return _counts_of(counts)
+
+
+def _table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table, copied over another run's: whole rows."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "copy"))
+    table = "silver_status_change_events"
+    raw = testdata.event_tables(spark, sf_dir)
+    for run_id, part in ((1, F.lit(True)), (2, F.col("gender") == "F")):
+        rows = {STATUS_CHANGE.name: raw[STATUS_CHANGE.name].filter(part)}
+        Pipeline(warehouse, rows, run_id=run_id).write_silver(table)
+    warehouse.copy(("silver_staging", 1, table), ("silver_staging", 2, table))
+    return warehouse.read_run("silver_staging", 2, table)
+
+
 def _registered() -> dict[str, Query]:
     return {
         "silver_listen_events": _star_silver,
@@ -351,10 +539,25 @@ def _registered() -> dict[str, Query]:
         "replay_messages": _replay_messages,
         **{f"stream_ingest_{name}": _stream_ingest(name) for name in TOPICS},
         "stream_rejects": _stream_rejects,
-        "snapshot_read": _snapshot_read,
         "bronze_between": _bronze_between,
         "silver_dedup": _silver_dedup,
         "wap_run": _wap_run,
+        "undated_daily": _undated_gold("gold_daily_listening_stats"),
+        "undated_artists": _undated_gold("gold_top_artists_daily"),
+        "undated_songs": _undated_gold("gold_top_songs_daily"),
+        "undated_activity": _undated_gold("gold_user_activity_daily"),
+        "dq_undated": _dq_undated,
+        "top_songs_top1": _star_model(lambda s: ranking.top_n(gold.top_songs_daily(s), 1)),
+        "presented_order": _presented_order,
+        "json_bad_lines": _json_bad_lines,
+        "replay_bad_lines": _replay_bad_lines,
+        "replay_order": _replay_order,
+        "stream_restart": _stream_restart,
+        "wap_empty_topic": _wap_empty_topic,
+        "status_readiness": _status_readiness,
+        "selected_run": _selected_run,
+        "republish": _republish,
+        "table_copy": _table_copy,
     }
 
 

@@ -27,16 +27,23 @@ star_raw AS (
 star AS (SELECT *, epoch_ms(ts)::DATE AS event_date FROM star_raw)"""
 
 
-def _events(blank: str = "'  '") -> str:
+def _events(blank: str = "'  '", undated: bool = False) -> str:
+    time = "epoch_us(ts) // 1000"
+    shown = f"CASE WHEN event_id % 97 <> 0 THEN {time} END" if undated else time
     return f"""
 base_raw AS (
   SELECT event_id, event_type, cast(json_extract_string(props, '$.k') AS BIGINT) AS k,
-    user_id::INT AS "userId", (user_id * 100 + dayofmonth(ts))::INT AS "sessionId",
+    CASE WHEN event_id % 89 <> 0 THEN user_id END::INT AS "userId",
+    (user_id * 100 + dayofmonth(ts) + event_id % 3 * 31)::INT AS "sessionId",
     (event_id % 100)::INT AS "itemInSession", {_ARTIST.format(blank=blank)} AS artist,
-    p_name AS song, value AS length, {_LEVEL} AS level, epoch_us(ts) // 1000 AS ts,
+    p_name AS song, value AS length, {_LEVEL} AS level, {shown} AS ts,
     CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender, c_name AS "firstName",
-    '' AS "lastName", 'browser' AS "userAgent", 'Logged In' AS auth, 0::BIGINT AS registration
-  FROM events JOIN customer ON user_id = c_custkey JOIN part ON event_id % 200 = p_partkey),
+    CASE event_id % 5 WHEN 0 THEN chr(9) || 'Lee' || chr(160) WHEN 1 THEN chr(9) || ' '
+      WHEN 2 THEN NULL ELSE '' END AS "lastName",
+    'browser ' || event_id % 4 AS "userAgent", 'Logged In' AS auth,
+    {time} - event_id % 1000 * 86400000 AS registration
+  FROM events JOIN customer ON user_id = c_custkey
+    JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey),
 base AS (SELECT *, epoch_ms(ts)::DATE AS event_date FROM base_raw),
 listen_events AS (SELECT * FROM base WHERE event_type IN ('click', 'view')),
 page_view_events AS (
@@ -53,7 +60,7 @@ status_change_events AS (SELECT * FROM base WHERE event_type = 'purchase')"""
 _IDS = """"userId"::BIGINT AS user_id, "sessionId"::BIGINT AS session_id,
     "itemInSession" AS item_in_session"""
 _PERSON = """gender, nullif(trim("firstName"), '') AS first_name,
-    nullif(trim("lastName"), '') AS last_name"""
+    nullif(trim("lastName", ' ' || chr(9) || chr(160)), '') AS last_name"""
 _WHEN = """epoch_ms(ts) AS event_timestamp, event_date, hour(epoch_ms(ts))::INT AS hour_of_day,
     (dayofweek(epoch_ms(ts)) + 1)::INT AS day_of_week"""
 _PAID = "lower(level) AS level, level = 'paid' AS is_paid"
@@ -109,13 +116,13 @@ gold_top_artists_daily AS (
   SELECT event_date, artist, count(*) AS play_count,
     count(DISTINCT user_id) AS unique_listeners, count(DISTINCT song) AS unique_songs,
     {_HOURS} AS total_listening_hours,
-    (rank() OVER (PARTITION BY event_date ORDER BY count(*) DESC))::INT AS daily_rank
+    rank() OVER (PARTITION BY event_date ORDER BY count(*) DESC) AS daily_rank
   FROM silver_listen_events WHERE artist IS NOT NULL GROUP BY event_date, artist)"""
 _SONGS = f"""
 gold_top_songs_daily AS (
   SELECT event_date, song, artist, count(*) AS play_count,
     count(DISTINCT user_id) AS unique_listeners, {_MEAN} AS avg_duration_minutes,
-    (rank() OVER (PARTITION BY event_date ORDER BY count(*) DESC))::INT AS daily_rank
+    rank() OVER (PARTITION BY event_date ORDER BY count(*) DESC) AS daily_rank
   FROM silver_listen_events WHERE song IS NOT NULL GROUP BY event_date, song, artist)"""
 _HEATMAP = f"""
 gold_hourly_listening_heatmap AS (
@@ -170,16 +177,18 @@ _GOLD_NAMES = [
 
 
 def _with(*ctes: str, select: str) -> str:
-    return "WITH" + ",".join(ctes) + "\n" + select
+    return "WITH " + ",".join(ctes) + "\n" + select
 
 
 def _on_star(*ctes: str, select: str) -> str:
     return _with(_star(), _silver_listen("star"), *ctes, select=select)
 
 
-def _on_events(*ctes: str, select: str, blank: str = "'  '") -> str:
+def _on_events(
+    *ctes: str, select: str, blank: str = "'  '", undated: bool = False
+) -> str:
     return _with(
-        _events(blank), _silver_listen("listen_events"), _SILVER_REST, *ctes, select=select
+        _events(blank, undated), _silver_listen("listen_events"), _SILVER_REST, *ctes, select=select
     )
 
 
@@ -283,6 +292,121 @@ _BRONZE = {
 _TOPICS = list(_BRONZE)
 
 
+_BAD_LINES = """lines AS (SELECT event_id, event_id % 11 AS kind,
+    '{"event_id": ' || event_id || ', "k": ' || event_id || ', "ts": ' || event_id
+      || ', "userId": ' || event_id || '}' AS line FROM events)"""
+_SILVER_COLUMNS = {
+    "silver_listen_events": (
+        "user_id,session_id,item_in_session,artist,song,duration_seconds,level,is_paid,gender,"
+        "first_name,last_name,user_agent,registration,event_timestamp,event_date,hour_of_day,"
+        "day_of_week,week_of_year"
+    ),
+    "silver_page_view_events": (
+        "user_id,session_id,item_in_session,page,level,is_paid,gender,first_name,last_name,"
+        "user_agent,event_timestamp,event_date,hour_of_day,day_of_week,http_method,http_status,"
+        "auth,registration"
+    ),
+    "silver_auth_events": (
+        "user_id,session_id,item_in_session,is_successful,level,is_paid,gender,first_name,"
+        "last_name,registration,event_timestamp,event_date,hour_of_day,day_of_week"
+    ),
+    "silver_status_change_events": (
+        "user_id,session_id,item_in_session,level,change_category,auth_status,gender,first_name,"
+        "last_name,registration,event_timestamp,event_date,hour_of_day,day_of_week"
+    ),
+}
+
+
+def _rows(tables: dict[str, str], count: str = "count(*)") -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {count} AS \"rows\" FROM {source}"
+        for name, source in tables.items()
+    )
+
+
+def _more() -> dict[str, str]:
+    """Missing times, bad lines, order, restarts and the steps of the flow one by one."""
+    undated = {
+        "daily": (_DAILY, "gold_daily_listening_stats"),
+        "artists": (_ARTISTS, "gold_top_artists_daily"),
+        "songs": (_SONGS, "gold_top_songs_daily"),
+        "activity": (_ACTIVITY, "gold_user_activity_daily"),
+    }
+    return {
+        **{
+            f"undated_{name}": _on_events(cte, select=f"SELECT * FROM {table}", undated=True)
+            for name, (cte, table) in undated.items()
+        },
+        "dq_undated": _on_events(select=_SILVER_AUDIT, undated=True),
+        "top_songs_top1": _on_star(
+            _SONGS, select="SELECT * FROM gold_top_songs_daily WHERE daily_rank <= 1"
+        ),
+        "presented_order": _on_star(
+            _HEATMAP,
+            select="""SELECT day_of_week, hour_of_day,
+              row_number() OVER (ORDER BY day_of_week, hour_of_day) AS position
+            FROM gold_hourly_listening_heatmap""",
+        ),
+        "json_bad_lines": _with(
+            _BAD_LINES,
+            select="""SELECT event_id, event_id::INT AS k FROM lines
+            WHERE kind NOT IN (1, 2, 3, 4, 5, 6, 7)""",
+        ),
+        "replay_bad_lines": _with(
+            _BAD_LINES,
+            select="""SELECT event_id::VARCHAR AS key, 'auth-events' AS topic, event_id AS ts,
+              line AS value FROM lines WHERE kind NOT IN (1, 2, 3, 4, 6, 7)""",
+        ),
+        "replay_order": _on_events(
+            select="SELECT sum(n)::BIGINT AS messages, 0::BIGINT AS out_of_order FROM ("
+            + "\nUNION ALL ".join(f"SELECT count(*) AS n FROM {t}" for t in _TOPICS)
+            + ")"
+        ),
+        "stream_restart": _on_events(
+            select="\nUNION ALL ".join(
+                f"SELECT {run}::INT AS run, '{t}' AS table_name, "
+                f"count(*) FILTER ({run} = 2 OR event_date >= DATE '2024-01-16') AS \"rows\" "
+                f"FROM {t}"
+                for t in _TOPICS
+                for run in (1, 2)
+            )
+        ),
+        "wap_empty_topic": _on_events(
+            blank="'Indie'",
+            select="\nUNION ALL ".join(
+                f"SELECT '{t}' AS table_name, '{columns}' AS columns, "
+                f"count(*) FILTER ('{t}' <> 'silver_status_change_events') AS \"rows\" FROM {t}"
+                for t, columns in _SILVER_COLUMNS.items()
+            ),
+        ),
+        "status_readiness": _on_events(
+            *_GOLD,
+            blank="'Indie'",
+            select="""SELECT count(*) AS tables, 1::BIGINT AS refresh_times, 0::BIGINT AS missing,
+              count(*) AS ready, count(*) AS as_read, sum(rows_loaded)::BIGINT AS rows_loaded
+            FROM ("""
+            + _counts(_GOLD_NAMES)
+            + ")",
+        ),
+        "selected_run": _on_events(
+            _HEATMAP,
+            blank="'Indie'",
+            select=_rows(
+                {t: t for t in ("silver_listen_events", "gold_hourly_listening_heatmap")}
+            ),
+        ),
+        "republish": _on_events(
+            select=_rows({"step 2": "silver_auth_events"})
+            + "".join(
+                f"\nUNION ALL SELECT 'step {n}', count(*) FROM silver_auth_events "
+                "WHERE gender = 'F'"
+                for n in (1, 3)
+            )
+        ),
+        "table_copy": _on_events(select="SELECT * FROM silver_status_change_events"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "silver_listen_events": _on_star(select="SELECT * FROM silver_listen_events"),
@@ -381,18 +505,22 @@ def oracle_sql() -> dict[str, str]:
             WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
             GROUP BY event_date"""
         ),
-        "silver_dedup": _on_events(
-            select="""SELECT user_id, session_id, count(*) AS kept
-            FROM (SELECT DISTINCT user_id, session_id FROM silver_auth_events)
-            GROUP BY user_id, session_id"""
+        "silver_dedup": _with(
+            _events(),
+            """one_each AS (SELECT * EXCLUDE (n) FROM (
+              SELECT *, row_number() OVER (PARTITION BY "userId", "sessionId"
+                ORDER BY ts NULLS FIRST, "itemInSession" NULLS FIRST) AS n
+              FROM listen_events WHERE "userId" IS NOT NULL AND artist IS NOT NULL) WHERE n = 1)""",
+            _silver_listen("one_each"),
+            select="SELECT * FROM silver_listen_events",
         ),
         "message_encode": _on_events(
-            select='''SELECT "userId"::VARCHAR AS key, 'page-view-events' AS topic, ts, page,
+            select='''SELECT coalesce("userId"::VARCHAR, '') AS key, 'page-view-events' AS topic, ts, page,
             artist, length AS duration FROM page_view_events'''
         ),
         "replay_messages": _on_events(
             select="\nUNION ALL ".join(
-                f'SELECT "userId"::VARCHAR AS key, \'{t.replace("_", "-")}\' AS topic, ts FROM {t}'
+                f"SELECT coalesce(\"userId\"::VARCHAR, '') AS key, '{t.replace('_', '-')}' AS topic, ts FROM {t}"
                 for t in _TOPICS
             )
         ),
@@ -400,14 +528,6 @@ def oracle_sql() -> dict[str, str]:
             select="""SELECT rejected, count(*) AS "rows", count(DISTINCT "userId") AS users
             FROM (SELECT "userId", gender = 'F' AS rejected FROM auth_events) GROUP BY rejected"""
         ),
-        "snapshot_read": _on_events(
-            select="""SELECT snapshot, event_date, count(*) AS "rows"
-            FROM (SELECT 'first' AS snapshot, event_date FROM listen_events
-                WHERE event_date >= DATE '2024-01-16'
-              UNION ALL SELECT 'latest', event_date FROM listen_events
-              UNION ALL SELECT 'compacted', event_date FROM listen_events)
-            GROUP BY snapshot, event_date"""
-        ),
         "wap_run": _on_events(
             *_GOLD,
             blank="'Indie'",
@@ -422,6 +542,7 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
     }
+    sql |= _more()
     for name in ("page_view", "auth", "status_change"):
         sql[f"silver_{name}_events"] = _on_events(select=f"SELECT * FROM silver_{name}_events")
     for name, columns in _BRONZE.items():

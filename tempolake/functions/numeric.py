@@ -37,6 +37,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 def duration_sums(seconds: Column, prefix: str = "_d") -> list[Column]:
     """Aggregate columns from which ``total_*`` and ``mean_minutes`` are derived."""
+    # A length that is no finite number counts as none: it must not swallow the whole sum.
+    seconds = F.when((F.abs(seconds) < float("inf")) & ~F.isnan(seconds), seconds)
     micros = F.floor(seconds * MICROS + 0.5)
     return [
         F.sum(_whole(micros, F.lit(MICROS))).alias(f"{prefix}_s"),

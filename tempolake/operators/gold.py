@@ -1,6 +1,6 @@
 """Gold models: daily, hourly, per-user and per-quarter aggregates of the silver tables.
 
-Inputs satisfy the silver checks: event_date and user_id are never NULL.
+Rows without a date form a group of their own, as in any grouping; the silver checks report them.
 """
 
 from __future__ import annotations
@@ -34,6 +34,20 @@ STATUS_TABLES = (
 )
 
 
+# The order in which these tables are presented.
+PRESENTED_BY = {
+    "gold_daily_listening_stats": ("event_date",),
+    "gold_hourly_listening_heatmap": ("day_of_week", "hour_of_day"),
+    "gold_qoq_listener_growth": ("quarter_start",),
+}
+
+
+def presented(name: str, rows: DataFrame) -> DataFrame:
+    """A gold table in its order. Stored tables are not sorted as a whole; readers order them."""
+    order = PRESENTED_BY.get(name)
+    return rows.orderBy(*order) if order else rows
+
+
 def _durations() -> list[Column]:
     return duration_sums(F.col("duration_seconds"))
 
@@ -72,7 +86,7 @@ def daily_listening_stats(listens: DataFrame) -> DataFrame:
         "paid_plays",
         "free_plays",
         percent(F.col("paid_plays"), F.col("total_plays")).alias("paid_play_pct"),
-    ).orderBy("event_date")
+    )
 
 
 def top_artists_daily(listens: DataFrame) -> DataFrame:
@@ -125,22 +139,22 @@ def user_activity_daily(
     """
     keys = ["event_date", "user_id"]
     attributes = ["first_name", "last_name", "gender", "level"]
-    # A maximum of text cannot be hash-aggregated and would sort every play. Attributes hardly
-    # vary within a user's day, so group by them first and take the maximum of the few rows left.
-    variants = listens.groupBy(*keys, *attributes).agg(_plays(), *_durations())
-    totals = variants.groupBy(*keys).agg(
+    # One scan per table. Plays are first collapsed to few rows per user and day, with map-side
+    # sums; the distinct counts and the maxima of text then see only these.
+    collapsed = listens.groupBy(*keys, *attributes, "session_id", "artist").agg(
+        _plays(), *_durations()
+    )
+    plays = collapsed.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in attributes],
         *[F.sum(c).alias(c) for c in ("play_count", "_d_s", "_d_us", "_d_n")],
+        F.count_distinct("session_id").alias("sessions_with_plays"),
+        F.count_distinct("artist").alias("unique_artists"),
     )
-    visits = aggregate(
-        listens, keys, [], {"sessions_with_plays": "session_id", "unique_artists": "artist"}
-    )
-    plays = totals.join(visits, keys)
-    views = aggregate(
-        page_views,
-        keys,
-        [F.count("*").alias("page_view_count")],
-        {"unique_pages_visited": "page", "sessions_with_page_views": "session_id"},
+    viewed = page_views.groupBy(*keys, "page", "session_id").agg(F.count("*").alias("_views"))
+    views = viewed.groupBy(*keys).agg(
+        F.sum("_views").alias("page_view_count"),
+        F.count_distinct("page").alias("unique_pages_visited"),
+        F.count_distinct("session_id").alias("sessions_with_page_views"),
     )
     category = F.col("change_category")
     changes = status_changes.groupBy(*keys).agg(
@@ -189,7 +203,7 @@ def hourly_listening_heatmap(listens: DataFrame) -> DataFrame:
         "play_count",
         "unique_listeners",
         mean_minutes().alias("avg_duration_minutes"),
-    ).orderBy("day_of_week", "hour_of_day")
+    )
 
 
 def trend(growth_pct: Column) -> Column:
@@ -217,7 +231,7 @@ def qoq_listener_growth(listens: DataFrame) -> DataFrame:
     grown = lag_over_all(
         quarters, "quarter_start", "unique_listeners", "prev_quarter_listeners"
     ).withColumn("qoq_growth_pct", round_div((now - before) * 100, before, 1))
-    return grown.withColumn("trend", trend(F.col("qoq_growth_pct"))).orderBy("quarter_start")
+    return grown.withColumn("trend", trend(F.col("qoq_growth_pct")))
 
 
 def pipeline_status(tables: dict[str, DataFrame]) -> DataFrame:

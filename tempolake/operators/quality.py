@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -100,32 +100,50 @@ def _count_as_failures(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _in_one_pass(rows: DataFrame, checks: list[Check]) -> DataFrame:
+    """(column, test, failures) of not_null and accepted_values checks, in one scan."""
+    counts = []
+    for i, check in enumerate(checks):
+        column = F.col(check.column)
+        if check.test == "not_null":
+            failures = F.count_if(column.isNull())
+        else:
+            failures = F.count_distinct(F.when(~column.isin(*check.values), column))
+        counts.append(failures.alias(f"_{i}"))
+    rows_of = [
+        F.struct(
+            F.lit(check.column).alias("column"),
+            F.lit(check.test).alias("test"),
+            F.col(f"_{i}").alias("failures"),
+        )
+        for i, check in enumerate(checks)
+    ]
+    return rows.agg(*counts).select(F.inline(F.array(*rows_of)))
+
+
 def audit(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """(table, column, test, failures), one row per check.
 
-    All not_null checks of a table share one scan of just the checked columns; the other
-    checks add one narrow aggregate each. Everything runs as one query.
+    All checks of a table but those for uniqueness share one scan of just the checked columns;
+    these add one narrow aggregate each. Everything runs as one query.
     """
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)
 
-    def tagged(result: DataFrame, table: str, test: str) -> DataFrame:
-        label: list[Column] = [F.lit(table).alias("table"), F.col("column")]
-        return result.select(*label, F.lit(test).alias("test"), "failures")
+    def tagged(result: DataFrame, table: str) -> DataFrame:
+        return result.select(F.lit(table).alias("table"), "column", "test", "failures")
 
     parts = []
     for table, own in by_table.items():
         rows = tables[table]
-        nullable = [c.column for c in own if c.test == "not_null"]
-        if nullable:
-            parts.append(tagged(not_null(rows, nullable), table, "not_null"))
+        together = [c for c in own if c.test != "unique"]
+        if together:
+            parts.append(tagged(_in_one_pass(rows, together), table))
         for check in own:
             if check.test == "unique":
-                parts.append(tagged(unique(rows, check.column), table, check.test))
-            elif check.test == "accepted_values":
-                result = accepted_values(rows, check.column, check.values)
-                parts.append(tagged(result, table, check.test))
+                result = unique(rows, check.column).withColumn("test", F.lit("unique"))
+                parts.append(tagged(result, table))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Parts that the rows of one partition with the same count are dealt into.
+SALTS = 32
+
+
 def rank_by_count(
     grouped: DataFrame, counts: DataFrame, partition: str, count: str, rank: str
 ) -> DataFrame:
@@ -16,7 +20,8 @@ def rank_by_count(
     A rank only depends on how many rows of the partition have a higher count. So the
     window runs over the histogram of counts, whose size per partition is at most the
     square root of twice its total count, instead of sorting every row of a partition in
-    one task; the rank is then joined back by (partition, count).
+    one task; the rank is then joined back by (partition, count). Most rows of a partition
+    have a count of 1, so the join is salted: the few ranks are repeated for every salt.
 
     ``counts`` holds (partition, count) for every row of ``grouped``. It is passed
     separately so that it can be computed from a narrow scan.
@@ -30,9 +35,23 @@ def rank_by_count(
     ranks = histogram.select(
         partition,
         count,
-        (F.coalesce(F.sum("_ties").over(higher), F.lit(0)) + 1).cast("int").alias(rank),
+        (F.coalesce(F.sum("_ties").over(higher), F.lit(0)) + 1).alias(rank),
+    )
+    spread = ranks.select(
+        F.col(partition).alias("_partition"),
+        F.col(count).alias("_count"),
+        rank,
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_other_salt"),
+    )
+    others = [c for c in grouped.columns if c not in (partition, count)]
+    salted = grouped.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)))
+    joined = salted.join(
+        spread,
+        (F.col("_salt") == F.col("_other_salt"))
+        & (F.col(count) == F.col("_count"))
+        & F.col(partition).eqNullSafe(F.col("_partition")),
     )
-    return grouped.join(ranks, [partition, count])
+    return joined.select(*grouped.columns, rank)
 
 
 def top_n(ranked: DataFrame, n: int, rank: str = "daily_rank") -> DataFrame:

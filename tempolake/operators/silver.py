@@ -57,10 +57,24 @@ def _when() -> list[Column]:
     ]
 
 
-def _known_users(bronze: DataFrame, dedup_keys: Sequence[str] | None) -> DataFrame:
-    """Rows with a user id; with ``dedup_keys`` also one row per key (off by default)."""
-    rows = bronze.filter(F.col("userId").isNotNull())
-    return rows.dropDuplicates(list(dedup_keys)) if dedup_keys else rows
+def _known_users(bronze: DataFrame) -> DataFrame:
+    return bronze.filter(F.col("userId").isNotNull())
+
+
+def _one_per_key(rows: DataFrame, dedup_keys: Sequence[str] | None) -> DataFrame:
+    """With ``dedup_keys`` one row per key (off by default), after all filters.
+
+    The earliest row stays; the other columns in order break ties, so the choice does not
+    depend on how the rows lie in files.
+    """
+    if not dedup_keys:
+        return rows
+    first = ["ts", "itemInSession"]
+    order = [*first, *sorted(c for c in rows.columns if c not in first)]
+    kept = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in dedup_keys]).agg(
+        F.min(F.struct(*order)).alias("_row")
+    )
+    return kept.select("_row.*").select(*rows.columns)
 
 
 def silver_listen_events(
@@ -72,9 +86,10 @@ def silver_listen_events(
     NULL; the layer's not_null check is what reports it.
     """
     return (
-        _known_users(bronze, dedup_keys)
-        .filter(F.col("song").isNotNull() & F.col("artist").isNotNull())
-        .select(
+        _one_per_key(
+            _known_users(bronze).filter(F.col("song").isNotNull() & F.col("artist").isNotNull()),
+            dedup_keys,
+        ).select(
             *_ids(),
             clean_text(F.col("artist")).alias("artist"),
             clean_text(F.col("song")).alias("song"),
@@ -94,11 +109,12 @@ def silver_page_view_events(
     bronze: DataFrame, dedup_keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Page views of user-facing pages; rows without a page are dropped as well."""
+    cleaned = _known_users(bronze).withColumn("page", clean_text(F.col("page")))
     return (
-        _known_users(bronze, dedup_keys)
+        _one_per_key(cleaned.filter(~F.col("page").isin(*EXCLUDED_PAGES)), dedup_keys)
         .select(
             *_ids(),
-            clean_text(F.col("page")).alias("page"),
+            F.col("page"),
             _level(),
             _is_paid(),
             *_person(),
@@ -109,13 +125,12 @@ def silver_page_view_events(
             F.col("auth"),
             F.col("registration"),
         )
-        .filter(~F.col("page").isin(*EXCLUDED_PAGES))
     )
 
 
 def silver_auth_events(bronze: DataFrame, dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """Sign-in attempts with their outcome."""
-    return _known_users(bronze, dedup_keys).select(
+    return _one_per_key(_known_users(bronze), dedup_keys).select(
         *_ids(),
         F.col("success").alias("is_successful"),
         _level(),
@@ -140,7 +155,7 @@ def silver_status_change_events(
     bronze: DataFrame, dedup_keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Subscription changes with their direction."""
-    return _known_users(bronze, dedup_keys).select(
+    return _one_per_key(_known_users(bronze), dedup_keys).select(
         *_ids(),
         _level(),
         change_category(F.col("level")).alias("change_category"),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tempolake.operators import gold, silver
+from tempolake.schemas import TOPICS
 
 
 @dataclass(frozen=True)
@@ -96,6 +98,15 @@ _ALL = (
 MODELS: dict[str, Model] = {m.name: m for m in _ALL}
 
 
+def schema_of(spark: SparkSession, name: str) -> T.StructType:
+    """The columns of a model, or of a raw table, in order, whether or not it has rows."""
+    if name in TOPICS:
+        return TOPICS[name].bronze_schema
+    model = MODELS[name]
+    inputs = [spark.createDataFrame([], schema_of(spark, i)) for i in model.inputs]
+    return model.build(*inputs).schema
+
+
 def select_models(*selectors: str) -> list[Model]:
     """Models by layer (``silver``, ``gold``) or by name, inputs before their users.
 

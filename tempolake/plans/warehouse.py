@@ -1,8 +1,8 @@
 """Tables on shared storage: every build goes to its own run folder, readers follow a pointer.
 
 ``<root>/<layer>/run_id=<n>/<table>/`` holds the data. ``<root>/<layer>_published`` is an
-append-only list of (table, run_id, location) rows; the newest run of a table is the
-current one. Publishing appends one file with all tables of a run, so they become visible
+append-only list of (table, run_id, location, sequence) rows; the run of a table that was
+published last is the current one. Publishing appends one file with all tables of a run, so they become visible
 together, nothing is copied, and readers of the previous run are not disturbed.
 """
 
@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempolake.plans.registry import MODELS, schema_of
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -23,7 +25,7 @@ class NotPublished(LookupError):
 
 
 class Warehouse:
-    _POINTER = "table string, run_id bigint, location string"
+    _POINTER = "table string, run_id bigint, location string, sequence bigint"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -62,17 +64,26 @@ class Warehouse:
             writer = writer.partitionBy("event_date")
         writer.parquet(self.path(layer, run_id, table))
 
+    def _load(self, location: str, table: str) -> DataFrame:
+        """A stored table with its columns in order; a table of no rows has no file to ask."""
+        if table not in MODELS:
+            return self.spark.read.parquet(location)
+        schema = schema_of(self.spark, table)
+        return self.spark.read.schema(schema).parquet(location).select(*schema.names)
+
     def read_run(self, layer: str, run_id: int, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, run_id, table))
+        return self._load(self.path(layer, run_id, table), table)
 
     def publish(
         self, layer: str, run_id: int, tables: Iterable[str], built_in: str | None = None
     ) -> None:
         """Make a run's tables the current ones of ``layer``, all at once.
 
-        ``built_in`` names the layer they were written to, if another (a staging layer).
+        ``built_in`` names the layer they were written to, if another (a staging layer). An
+        older run that is published again becomes current again.
         """
-        rows = [(t, run_id, self.path(built_in or layer, run_id, t)) for t in tables]
+        now = time.time_ns()
+        rows = [(t, run_id, self.path(built_in or layer, run_id, t), now) for t in tables]
         entries = self.spark.createDataFrame(rows, self._POINTER)
         entries.coalesce(1).write.mode("append").parquet(f"{self.root}/{layer}_published")
 
@@ -84,7 +95,8 @@ class Warehouse:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return {}
             raise
-        newest = log.groupBy("table").agg(F.max_by("location", "run_id").alias("location"))
+        order = F.struct("sequence", "run_id")
+        newest = log.groupBy("table").agg(F.max_by("location", order).alias("location"))
         return {r.table: r.location for r in newest.collect()}
 
     def read_all(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
@@ -93,7 +105,7 @@ class Warehouse:
         missing = [t for t in tables if t not in current]
         if missing:
             raise NotPublished(f"{layer}: {', '.join(missing)}")
-        return {t: self.spark.read.parquet(current[t]) for t in tables}
+        return {t: self._load(current[t], t) for t in tables}
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.read_all(layer, [table])[table]
@@ -110,7 +122,11 @@ class Warehouse:
         self.create_layers([layer])
         current = self.published(layer)
         for table, location in current.items():
+            columns = "*"
+            if table in MODELS:
+                columns = ", ".join(f"`{c}`" for c in schema_of(self.spark, table).names)
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT * FROM parquet.`{location}`"
+                f"CREATE OR REPLACE VIEW {layer}.{table} AS "
+                f"SELECT {columns} FROM parquet.`{location}`"
             )
         return sorted(current)

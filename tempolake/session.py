@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,14 +33,12 @@ def require_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, else below the warehouse folder.
 
-    Only a local-mode session without that setting (as in tests) falls back to a temporary
-    folder of this machine; on a cluster the setting is required.
+    Both are shared by all executors. What runs write lies in ``<folder>/tempolake/``, whose
+    owner decides how long to keep it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tempolake-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    return f"{shared.rstrip('/')}/tempolake/{purpose}-{uuid.uuid4().hex}"

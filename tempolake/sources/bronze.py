@@ -1,20 +1,15 @@
 """Raw (bronze) tables written by the ingest.
 
-Two layouts, both Parquet by ``event_date``:
+Parquet by ``event_date``, written by the built-in streaming file sink. Always read through the
+table's folder, so that only committed files are seen.
 
-* ``FileSinkTable``: the built-in streaming file sink. Always read through the table's
-  folder, so that only committed files are seen.
-* ``SnapshotTable``: one folder per micro-batch and a small log of finished batches, which
-  allows reads as of an earlier batch. Batches are numbered without gaps and each starts
-  after the one before it has finished, so a snapshot is simply "batches up to n".
-
-Rows without a usable time sit in the NULL date partition: ``read`` prunes it, ``rejects``
-returns it.
+Rows without a usable time sit in the NULL date partition: ``dated`` prunes it, ``rejects``
+returns it. ``read`` returns everything, so that the audit of the layer built on it sees rows
+without a date and fails.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,100 +35,10 @@ class FileSinkTable:
         return rows.select(*self.topic.bronze_columns)
 
     def read(self) -> DataFrame:
+        return self._all()
+
+    def dated(self) -> DataFrame:
         return self._all().filter(_dated())
 
     def rejects(self) -> DataFrame:
         return self._all().filter(~_dated())
-
-
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, topic: Topic):
-        self.spark, self.topic = spark, topic
-        self.root = f"{root.rstrip('/')}/{topic.name}"
-
-    def _batch_path(self, batch_id: int) -> str:
-        return f"{self.root}/batches/batch_id={batch_id}"
-
-    def _compacted_path(self, batch_id: int) -> str:
-        return f"{self.root}/compacted/upto={batch_id}"
-
-    def _record(self, batch_id: int, compacted: bool) -> None:
-        entry = self.spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(compacted).alias("compacted")
-        )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
-
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch. Repeating a batch after a failure replaces it."""
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(self._batch_path(batch_id))
-        self._record(batch_id, compacted=False)
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("batch_id bigint, compacted boolean").parquet(
-                f"{self.root}/log"
-            )
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def versions(self, snapshot: int | None = None) -> tuple[int, int]:
-        """(newest finished batch, newest compaction), both up to ``snapshot``; -1 if none.
-
-        Batch numbers compare as numbers, so 10 is newer than 9.
-        """
-        log = self._log()
-        if log is None:
-            return -1, -1
-        if snapshot is not None:
-            log = log.filter(F.col("batch_id") <= snapshot)
-        newest = log.agg(
-            F.max(F.when(~F.col("compacted"), F.col("batch_id"))).alias("batch"),
-            F.max(F.when(F.col("compacted"), F.col("batch_id"))).alias("compaction"),
-        ).first()
-        return (
-            -1 if newest.batch is None else newest.batch,
-            -1 if newest.compaction is None else newest.compaction,
-        )
-
-    def _all(self, snapshot: int | None) -> DataFrame:
-        last, base = self.versions(snapshot)
-        schema = self.topic.bronze_schema
-        columns = self.topic.bronze_columns
-        folders = [(f"{self.root}/batches", [self._batch_path(i) for i in range(base + 1, last + 1)])]
-        if base >= 0:
-            folders.append((f"{self.root}/compacted", [self._compacted_path(base)]))
-        rows = None
-        for base_path, paths in folders:
-            if paths:
-                part = (
-                    self.spark.read.schema(schema)
-                    .option("basePath", base_path)
-                    .parquet(*paths)
-                    .select(*columns)
-                )
-                rows = part if rows is None else rows.unionByName(part)
-        return self.spark.createDataFrame([], schema) if rows is None else rows
-
-    def read(self, snapshot: int | None = None) -> DataFrame:
-        """All rows up to batch ``snapshot`` (default: the newest finished batch)."""
-        return self._all(snapshot).filter(_dated())
-
-    def rejects(self, snapshot: int | None = None) -> DataFrame:
-        return self._all(snapshot).filter(~_dated())
-
-    def compact(self) -> int:
-        """Merge the finished batches into few files per day; reads then start from those.
-
-        The rebalance merges the small files of quiet days and splits busy days, by size.
-        Earlier snapshots stay readable, because the batch folders are kept.
-        """
-        last, base = self.versions()
-        if last > base:
-            merged = self._all(last).hint("rebalance", "event_date")
-            merged.write.mode("overwrite").partitionBy("event_date").parquet(
-                self._compacted_path(last)
-            )
-            self._record(last, compacted=True)
-        return last

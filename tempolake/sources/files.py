@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempolake.functions import trim_all
 from tempolake.schemas import TOPICS, Topic
 from tempolake.sources.kafka import message_key
-from tempolake.streaming.decode import not_blank, parse_object
+from tempolake.streaming.decode import not_blank
 
 # A file named after a topic, or a part file in a folder named after one.
 _TOPIC_PATH = "/(" + "|".join(TOPICS) + ")(?:/[^/]*)?$"
@@ -25,11 +24,11 @@ def topic_lines(spark: SparkSession, directory: str) -> DataFrame:
 
     Lines of other files are filtered out. Fails when there is no topic file at all.
     """
+    recursive = spark.read.option("recursiveFileLookup", True)
+    listed = recursive.format("binaryFile").load(directory).select("path")
+    if listed.filter(F.col("path").rlike(_TOPIC_PATH)).isEmpty():
+        raise FileNotFoundError(f"{directory} has no file or folder with a topic's name")
     files = spark.read.option("recursiveFileLookup", True).text(directory)
-    if not any(re.search(_TOPIC_PATH, name) for name in files.inputFiles()):
-        raise FileNotFoundError(
-            f"no event files in {directory}; expected files named {', '.join(TOPICS)}"
-        )
     path = F.col("_metadata.file_path")
     return files.filter(path.rlike(_TOPIC_PATH)).select(
         "value",
@@ -47,35 +46,41 @@ def stream_lines(
 ) -> DataFrame:
     """Unbounded ``value`` lines of the files below ``directory``, oldest file first.
 
-    With ``topic`` only files named after it, so that the four queries can share one
-    directory; without, every file (a folder that belongs to one topic). ``max_files``
-    limits the files per trigger, which paces a backfill.
+    With ``topic`` only the files that ``topic_lines`` counts as its own, so that the four
+    queries can share one directory; without, every file (a folder that belongs to one
+    topic). ``max_files`` limits the files per trigger, which paces a backfill.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
-    if topic:
-        reader = reader.option("pathGlobFilter", topic.name)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(directory)
+    lines = reader.text(directory)
+    if topic:
+        # Known per file before it is read, so files of other topics are not scanned.
+        lines = lines.filter(_topic_of(F.col("_metadata.file_path")) == topic.name)
+    return lines.select("value")
 
 
 def replay_messages(lines: DataFrame) -> DataFrame:
     """(key, value, topic, ts) messages of ``topic_lines``, malformed lines skipped.
 
-    The payload is the trimmed line itself. ``ts`` is 0 where the event has none.
+    The payload is the trimmed line itself. ``ts`` is 0 where the event has none. A line must
+    be one object: two of them are malformed.
     """
-    parsed = not_blank(lines).select(
-        "*", parse_object(F.col("value"), ["userId", "ts"]).alias("_row")
-    )
+    fields = "array<struct<userId: string, ts: string>>"
+    trimmed = not_blank(lines).withColumn("value", trim_all(F.col("value")))
+    whole = F.concat(F.lit("["), "value", F.lit("]"))
+    parsed = trimmed.select("*", F.from_json(whole, fields).alias("_rows"))
     # The observation keeps Catalyst from parsing each line again for the filter.
     counted = parsed.observe("replay", F.count("*").alias("lines"))
-    kept = counted.filter(F.col("_row").isNotNull() & F.col("_row._corrupt_record").isNull())
+    one = (F.size("_rows") == 1) & F.col("value").startswith("{")
+    kept = counted.filter(one).withColumn("_row", F.get("_rows", F.lit(0)))
+    kept = kept.filter(F.col("_row").isNotNull())
     ts = F.col("_row.ts")
     number = F.coalesce(ts.try_cast("bigint"), ts.try_cast("double").try_cast("bigint"))
     position = [F.col(c) for c in ("path", "block") if c in lines.columns]
     return kept.select(
         message_key(F.col("_row.userId")).alias("key"),
-        F.trim("value").alias("value"),
+        "value",
         F.translate("topic", "_", "-").alias("topic"),
         F.coalesce(number, F.lit(0)).cast(T.LongType()).alias("ts"),
         *position,

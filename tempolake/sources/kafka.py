@@ -7,34 +7,35 @@ from pyspark.sql import functions as F
 
 from tempolake.schemas import Topic
 
-CONSUMER_GROUP = "tempolake-raw"
-
-# Producer settings of the replay client.
+# Producer settings of a replay. Batches close by size in bytes or after the linger time.
 PRODUCER_OPTIONS = {
     "kafka.compression.type": "snappy",
     "kafka.linger.ms": "50",
-    "kafka.batch.size": "10000",
+    "kafka.batch.size": "1048576",
 }
 
 
 def source_options(
     brokers: str,
     topic: Topic,
-    group: str = CONSUMER_GROUP,
+    group_prefix: str | None = None,
     max_offsets: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Reader options: earliest offsets on first start, later the checkpoint decides.
 
     ``min_partitions`` splits large bus partitions over several tasks, which is what
-    spreads a user who produces a large share of all messages.
+    spreads a user who produces a large share of all messages. Spark gives every query a
+    consumer group of its own, as queries in one group take messages from each other; for
+    brokers that authorise by group name ``group_prefix`` sets it to prefix and topic.
     """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic.bus_topic,
         "startingOffsets": "earliest",
-        "kafka.group.id": group,
     }
+    if group_prefix:
+        options["kafka.group.id"] = f"{group_prefix}-{topic.bus_topic}"
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if min_partitions:

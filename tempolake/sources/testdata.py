@@ -81,36 +81,51 @@ def star_listens(spark: SparkSession, sf_dir: str, blank_artist: str = "  ") ->
     return _as_bronze(rows, LISTEN)
 
 
-def _event_base(spark: SparkSession, sf_dir: str, blank_artist: str) -> DataFrame:
+def _event_base(
+    spark: SparkSession, sf_dir: str, blank_artist: str, undated: bool
+) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    joined = events.join(
-        table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey")
-    ).join(table(spark, sf_dir, "part"), F.col("event_id") % 200 == F.col("p_partkey"))
+    part = table(spark, sf_dir, "part")
+    # Every part is some event's song, however many there are.
+    parts = part.agg(F.count("*")).scalar()
+    joined = (
+        events.withColumn("partkey", F.col("event_id") % parts)
+        .join(table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
+        .join(part, F.col("partkey") == F.col("p_partkey"))
+    )
+    number = F.col("event_id")
     return joined.select(
         F.col("event_type"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.col("user_id").alias("userId"),
-        (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("sessionId"),
+        F.when(number % 89 != 0, F.col("user_id")).alias("userId"),
+        (F.col("user_id") * 100 + F.dayofmonth("ts") + number % 3 * 31).alias("sessionId"),
         (F.col("event_id") % 100).alias("itemInSession"),
         _artist(blank_artist).alias("artist"),
         F.col("p_name").alias("song"),
         F.col("value").alias("length"),
         _level().alias("level"),
-        _epoch_ms("ts").alias("ts"),
+        (F.when(number % 97 != 0, _epoch_ms("ts")) if undated else _epoch_ms("ts")).alias("ts"),
         _gender("user_id").alias("gender"),
         F.col("c_name").alias("firstName"),
-        F.lit("").alias("lastName"),
-        F.lit("browser").alias("userAgent"),
+        F.when(number % 5 == 0, "\tLee\u00a0")
+        .when(number % 5 == 1, "\t ")
+        .when(number % 5 == 2, F.lit(None))
+        .otherwise("")
+        .alias("lastName"),
+        F.concat(F.lit("browser "), number % 4).alias("userAgent"),
         F.lit("Logged In").alias("auth"),
-        F.lit(0).alias("registration"),
+        (_epoch_ms("ts") - number % 1000 * 86_400_000).alias("registration"),
     )
 
 
 def event_tables(
-    spark: SparkSession, sf_dir: str, blank_artist: str = "  "
+    spark: SparkSession, sf_dir: str, blank_artist: str = "  ", undated: bool = False
 ) -> dict[str, DataFrame]:
-    """The four raw tables from events: one month, millisecond timestamps."""
-    base = _event_base(spark, sf_dir, blank_artist)
+    """The four raw tables from events: one month, millisecond timestamps.
+
+    With ``undated`` one event in 97 has no time.
+    """
+    base = _event_base(spark, sf_dir, blank_artist, undated)
     last_digit = F.col("k") % 10
     page = (
         F.when(last_digit == 0, "Error")

@@ -30,11 +30,16 @@ def parse_object(value: Column, names: list[str]) -> Column:
 def _typed(text: Column, kind: T.DataType) -> Column:
     """One field from its text: NULL when it does not fit the type."""
     if isinstance(kind, (T.IntegerType, T.LongType)):
-        # A fractional number is truncated, as a typed JSON reader does.
+        # A fractional number is truncated, as a typed JSON reader does. A string that holds
+        # a number is read like that number: fields are read as text, which hides the quotes.
         whole = text.try_cast(kind)
         return F.coalesce(whole, text.try_cast("double").try_cast(kind))
     if isinstance(kind, T.BooleanType):
         return F.lower(trim_all(text)) == "true"
+    if isinstance(kind, T.DoubleType):
+        # NaN and infinities are no lengths or the like.
+        number = text.try_cast(kind)
+        return F.when((F.abs(number) < float("inf")) & ~F.isnan(number), number)
     return text.try_cast(kind)
 
 

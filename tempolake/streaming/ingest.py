@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tempolake.schemas import TOPICS, Topic
-from tempolake.sources.bronze import FileSinkTable, SnapshotTable
+from tempolake.sources.bronze import FileSinkTable
 from tempolake.streaming.decode import WATERMARK_DELAY, decode, to_bronze
 
 # Fixed value: how often the ingest commits.
@@ -30,7 +30,7 @@ def bronze_stream(lines: DataFrame, topic: Topic, files_per_batch: int | None =
 
 def start_ingest(
     lines: DataFrame,
-    table: FileSinkTable | SnapshotTable,
+    table: FileSinkTable,
     checkpoint: str,
     trigger: Mapping | None = None,
     files_per_batch: int | None = None,
@@ -43,8 +43,6 @@ def start_ingest(
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table.topic.name}")
         .trigger(**(trigger or COMMIT_INTERVAL))
     )
-    if isinstance(table, SnapshotTable):
-        return writer.foreachBatch(table.write_batch).start()
     return writer.format("parquet").partitionBy("event_date").start(table.path)
 
 
@@ -53,13 +51,14 @@ def start_all(
     source: Callable[[Topic], DataFrame],
     root: str,
     checkpoint: str,
-    snapshots: bool = False,
     trigger: Mapping | None = None,
+    files_per_batch: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the four queries. ``source`` returns the stream of lines of a topic."""
-    kind = SnapshotTable if snapshots else FileSinkTable
     return {
-        name: start_ingest(source(topic), kind(spark, root, topic), checkpoint, trigger)
+        name: start_ingest(
+            source(topic), FileSinkTable(spark, root, topic), checkpoint, trigger, files_per_batch
+        )
         for name, topic in TOPICS.items()
     }
 

@@ -2,39 +2,47 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+_COUNTS = ("lines", "malformed", "rejected")
+
 
 def summarize(query: StreamingQuery) -> dict:
-    """Rows and rates over the query's recent progress, with the decode counters."""
-    totals = {"batches": 0, "rows": 0, "lines": 0, "malformed": 0, "rejected": 0}
-    watermark, rate = None, None
-    for progress in query.recentProgress:
-        totals["batches"] += 1
-        totals["rows"] += progress.numInputRows
-        rate = progress.processedRowsPerSecond
-        watermark = progress.eventTime.get("watermark", watermark)
-        for metrics in progress.observedMetrics.values():
-            for name in ("lines", "malformed", "rejected"):
-                totals[name] += metrics[name]
-    return totals | {"rows_per_second": rate, "watermark": watermark}
+    """Rate and watermark of a query's last progress; totals come from ``ProgressCounters``."""
+    last = query.lastProgress
+    if last is None:
+        return {"rows_per_second": None, "watermark": None}
+    return {
+        "rows_per_second": last.processedRowsPerSecond,
+        "watermark": last.eventTime.get("watermark"),
+    }
 
 
 class ProgressCounters(StreamingQueryListener):
     """Running totals per query name; register with ``spark.streams.addListener``."""
 
     def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.totals: dict[str, dict[str, int]] = {}
         self.rows_per_second: dict[str, float] = {}
         self.failures: dict[str, str] = {}
 
+    def _of(self, name: str) -> dict[str, int]:
+        return self.totals.setdefault(name, defaultdict(int))
+
     def onQueryStarted(self, event) -> None:
-        self.rows.setdefault(event.name, 0)
+        self._of(event.name)
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        self.rows[progress.name] = self.rows.get(progress.name, 0) + progress.numInputRows
+        totals = self._of(progress.name)
+        totals["batches"] += 1
+        totals["rows"] += progress.numInputRows
+        for metrics in progress.observedMetrics.values():
+            for name in _COUNTS:
+                totals[name] += metrics[name]
         self.rows_per_second[progress.name] = progress.processedRowsPerSecond
 
     def onQueryIdle(self, event) -> None:

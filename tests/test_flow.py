@@ -10,6 +10,10 @@ from tempolake.sources.testdata import event_tables
 SF = "/root/testdata/sf0.001"
 
 
+def known(rows):
+    return rows.filter("userId is not null")
+
+
 @pytest.fixture(scope="module")
 def good(spark):
     return event_tables(spark, SF, blank_artist="Indie")
@@ -102,7 +106,7 @@ def test_rebuild_of_a_run_replaces_it(spark, tmp_path, good):
     for _ in range(2):
         Pipeline(warehouse, good, run_id=7).write_silver("silver_auth_events")
     rows = warehouse.read_run("silver_staging", 7, "silver_auth_events")
-    assert rows.count() == good["auth_events"].count()
+    assert rows.count() == known(good["auth_events"]).count()
 
 
 def test_dedup_option(spark, tmp_path, good):
@@ -112,7 +116,7 @@ def test_dedup_option(spark, tmp_path, good):
     pipeline = Pipeline(warehouse, twice, dedup_keys=keys)
     pipeline.write_silver("silver_auth_events")
     rows = warehouse.read_run("silver_staging", pipeline.run_id, "silver_auth_events")
-    assert rows.count() == good["auth_events"].select("userId", "ts").distinct().count()
+    assert rows.count() == known(good["auth_events"]).select("userId", "ts").distinct().count()
 
 
 def test_selection():
@@ -152,9 +156,28 @@ def test_layers_views_and_copy(spark, tmp_path, good):
     pipeline.write_silver("silver_auth_events")
     pipeline.publish_silver()
     assert warehouse.create_views("silver") == ["silver_auth_events"]
-    expected = good["auth_events"].count()
+    expected = known(good["auth_events"]).count()
     assert spark.sql("select count(*) from silver.silver_auth_events").first()[0] == expected
     source = ("silver_staging", pipeline.run_id, "silver_auth_events")
     for _ in range(2):  # forced: replaces an existing target
         warehouse.copy(source, ("silver", 1, "silver_auth_events"))
     assert warehouse.read_run("silver", 1, "silver_auth_events").count() == expected
+
+
+def test_empty_topic_does_not_stop_a_run(spark, tmp_path, good):
+    warehouse = Warehouse(spark, str(tmp_path))
+    quiet = good | {"status_change_events": good["status_change_events"].limit(0)}
+    Pipeline(warehouse, quiet).run()
+    changes = warehouse.read("silver", "silver_status_change_events")
+    assert changes.count() == 0 and changes.columns[:2] == ["user_id", "session_id"]
+    assert warehouse.read("gold", "gold_top_songs_daily").columns[0] == "event_date"
+
+
+def test_undated_rows_stop_the_publish(spark, tmp_path):
+    from tempolake.operators.quality import AuditFailed
+
+    warehouse = Warehouse(spark, str(tmp_path))
+    raw = event_tables(spark, "/root/testdata/sf0.001", blank_artist="Indie", undated=True)
+    with pytest.raises(AuditFailed, match="event_date"):
+        Pipeline(warehouse, raw).run()
+    assert warehouse.published("silver") == {}

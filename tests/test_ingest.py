@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tempolake.schemas import AUTH, LISTEN, PAGE_VIEW, TOPICS
 from tempolake.sources import files, kafka
-from tempolake.sources.bronze import FileSinkTable, SnapshotTable, between
+from tempolake.sources.bronze import FileSinkTable, between
 from tempolake.streaming.decode import decode, to_bronze
 from tempolake.streaming.ingest import await_all, start_all, start_ingest
 from tempolake.streaming.progress import ProgressCounters, summarize
@@ -74,21 +74,32 @@ def test_booleans(spark):
     assert [r.success for r in rows.collect()] == [True, False, True, False, None]
 
 
-@pytest.mark.parametrize("kind", [FileSinkTable, SnapshotTable])
-def test_stream_equals_batch_and_resumes(spark, tmp_path, kind):
+def counted_run(spark, query):
+    """Totals of a query's progress, as the listener adds them up."""
+    totals = {"rows": 0, "lines": 0, "malformed": 0, "rejected": 0}
+    for progress in query.recentProgress:
+        totals["rows"] += progress.numInputRows
+        for metrics in progress.observedMetrics.values():
+            for name in ("lines", "malformed", "rejected"):
+                totals[name] += metrics[name]
+    return totals
+
+
+def test_stream_equals_batch_and_resumes(spark, tmp_path):
     put(tmp_path / "in", "listen_events", *LINES)
-    table = kind(spark, str(tmp_path / "bronze"), LISTEN)
+    table = FileSinkTable(spark, str(tmp_path / "bronze"), LISTEN)
 
     def ingest():
         lines = files.stream_lines(spark, str(tmp_path / "in"))
         query = start_ingest(lines, table, str(tmp_path / "cp"), ONCE)
         query.awaitTermination()
-        return summarize(query)
+        return counted_run(spark, query)
 
     counted = ingest()
     assert (counted["lines"], counted["malformed"], counted["rejected"]) == (12, 4, 1)
-    assert triples(table.read()) == {t for t in EXPECTED if t[1] is not None}
+    assert triples(table.dated()) == {t for t in EXPECTED if t[1] is not None}
     assert triples(table.rejects()) == {(3, None, "None")}
+    assert triples(table.read()) == EXPECTED
     assert table.read().schema == LISTEN.bronze_schema
 
     # Resume: only the new file is read, and a row 55 years late is kept.
@@ -97,40 +108,24 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path, kind):
     late = triples(table.read()) - EXPECTED
     assert late == {(50, 1, "1970-01-01"), (51, 1767225600000, "2026-01-01")}
     assert ingest()["rows"] == 0
-    assert table.read().count() == 9
-
-
-def test_snapshots_and_compaction(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "bronze"), LISTEN)
-    assert table.read().count() == 0 and table.versions() == (-1, -1)
-    line = '{{"userId":{0},"ts":{0}}}'
-    # Eleven batches: numbers, not text, order the versions, so 10 comes after 9.
-    for numbers in (range(5), range(5, 11)):
-        for i in numbers:
-            put(tmp_path / "in", f"f{i:02d}", line.format(i))
-        lines = files.stream_lines(spark, str(tmp_path / "in"), max_files=1)
-        start_ingest(lines, table, str(tmp_path / "cp"), ONCE).awaitTermination()
-        if table.versions() == (4, -1):
-            assert table.compact() == 4
-    assert table.versions() == (10, 4)
-    assert sorted(r.userId for r in table.read().collect()) == list(range(11))
-    assert table.read(snapshot=2).count() == 3 and table.read(snapshot=9).count() == 10
-    assert table.read(snapshot=4).exceptAll(table.read(snapshot=9)).count() == 0
-
-
-def test_repeated_and_unfinished_batches(spark, tmp_path):
-    """A batch written again after a failure replaces itself; an unfinished one is invisible."""
-    table = SnapshotTable(spark, str(tmp_path), LISTEN)
-    rows = to_bronze(
-        decode(spark.createDataFrame([('{"userId":1,"ts":1}',)], "value string"), LISTEN), LISTEN
-    )
-    table.write_batch(rows, 0)
-    table.write_batch(rows, 0)
-    assert table.read().count() == 1
-    rows.write.partitionBy("event_date").parquet(table._batch_path(1))  # no log entry
-    assert table.read().count() == 1
-    table.write_batch(rows, 1)
-    assert table.read().count() == 2
+    assert table.dated().count() == 9
+
+
+def test_stream_and_batch_read_the_same_files(spark, tmp_path):
+    put(tmp_path / "in" / "auth_events", "part-0", '{"userId":1,"ts":1}', '{"userId":2,"ts":2}')
+    put(tmp_path / "in", "auth_events.json", '{"userId":9,"ts":9}')
+    put(tmp_path / "in" / "more", "auth_events", '{"userId":3,"ts":3}')
+    batch = files.topic_lines(spark, str(tmp_path / "in")).filter("topic = 'auth_events'")
+    table = FileSinkTable(spark, str(tmp_path / "bronze"), AUTH)
+    lines = files.stream_lines(spark, str(tmp_path / "in"), AUTH)
+    start_ingest(lines, table, str(tmp_path / "cp"), ONCE).awaitTermination()
+    assert batch.count() == table.read().count() == 3
+
+
+def test_lengths_that_are_no_numbers(spark):
+    lines = [(f'{{"userId":1,"ts":1,"duration":{d}}}',) for d in ('"NaN"', '"Infinity"', "1.5")]
+    rows = to_bronze(decode(spark.createDataFrame(lines, "value string"), LISTEN), LISTEN)
+    assert sorted(str(r["length"]) for r in rows.collect()) == ["1.5", "None", "None"]
 
 
 def test_all_topics_at_once(spark, tmp_path):
@@ -154,7 +149,8 @@ def test_all_topics_at_once(spark, tmp_path):
     for i, (name, topic) in enumerate(TOPICS.items()):
         table = FileSinkTable(spark, str(tmp_path / "bronze"), topic)
         assert table.read().count() == i + 1
-        assert summarize(queries[name])["rows"] == i + 1
+        assert counters.totals[name]["rows"] == counters.totals[name]["lines"] == i + 1
+        assert set(summarize(queries[name])) == {"rows_per_second", "watermark"}
     assert not counters.failures
 
 
@@ -213,10 +209,11 @@ def test_bus_options():
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "page-view-events",
         "startingOffsets": "earliest",
-        "kafka.group.id": "tempolake-raw",
         "maxOffsetsPerTrigger": "10",
         "minPartitions": "4",
     }
+    named = kafka.source_options("host:9092", PAGE_VIEW, group_prefix="raw")
+    assert named["kafka.group.id"] == "raw-page-view-events"
     assert kafka.PRODUCER_OPTIONS["kafka.compression.type"] == "snappy"
 
 
@@ -233,11 +230,12 @@ def test_replay_pace():
 def test_max_files_per_trigger_paces_a_backfill(spark, tmp_path):
     for i in range(4):
         put(tmp_path / "in", f"f{i}", f'{{"userId":{i},"ts":{i}}}')
-    table = SnapshotTable(spark, str(tmp_path / "bronze"), LISTEN)
+    table = FileSinkTable(spark, str(tmp_path / "bronze"), LISTEN)
     lines = files.stream_lines(spark, str(tmp_path / "in"), max_files=2)
-    start_ingest(lines, table, str(tmp_path / "cp"), ONCE).awaitTermination()
-    assert table.versions()[0] == 1
-    assert table.read(0).count() == 2 and table.read().count() == 4
+    query = start_ingest(lines, table, str(tmp_path / "cp"), ONCE)
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [2, 2]
+    assert table.read().count() == 4
 
 
 def test_watermark_is_declared(spark, tmp_path):

@@ -59,10 +59,10 @@ def test_gold_schemas(spark):
         "paid_play_pct double",
         gold.top_artists_daily(plays): "event_date date, artist string, play_count bigint, "
         "unique_listeners bigint, unique_songs bigint, total_listening_hours double, "
-        "daily_rank int",
+        "daily_rank bigint",
         gold.top_songs_daily(plays): "event_date date, song string, artist string, "
         "play_count bigint, unique_listeners bigint, avg_duration_minutes double, "
-        "daily_rank int",
+        "daily_rank bigint",
         gold.user_activity_daily(plays, views, changes): "event_date date, user_id bigint, "
         "first_name string, last_name string, gender string, level string, play_count bigint, "
         "sessions_with_plays bigint, unique_artists bigint, total_listening_minutes double, "

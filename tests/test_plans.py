@@ -2,7 +2,7 @@
 
 import pytest
 
-from tempolake.operators import gold, silver
+from tempolake.operators import gold, quality, silver
 from tempolake.sources.testdata import event_tables
 
 
@@ -86,3 +86,35 @@ def test_activity_joins_reuse_the_aggregates_partitioning(stored):
         if above.startswith("Sort [") and "false, 0" in above:
             if below.startswith("Exchange"):
                 assert "Aggregate" in lines[lines.index(above) - 1]
+
+
+def test_activity_scans_each_table_once(stored):
+    frame = gold.user_activity_daily(
+        stored["silver_listen_events"],
+        stored["silver_page_view_events"],
+        stored["silver_status_change_events"],
+    )
+    assert len(scans(frame)) == 3
+
+
+def test_audit_scans_each_table_once(stored):
+    own = [c for c in quality.SILVER_CHECKS if c.table in stored]
+    tables = {c.table: stored[c.table] for c in own}
+    assert len(scans(quality.audit(tables, own))) == len(tables)
+
+
+def test_rank_join_is_salted(stored):
+    text = plan(gold.top_songs_daily(stored["silver_listen_events"]))
+    assert "_salt" in text
+
+
+def test_ranks_of_a_day_of_single_plays(spark, listens):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        rows = [("2024-01-01", i, 1, "a", f"s{i}", 1.0, True) for i in range(300)]
+        rows += [("2024-01-01", 1, 1, "a", "hit", 1.0, True)] * 2
+        ranks = gold.top_songs_daily(listens(rows)).collect()
+        assert {(r.song == "hit", r.daily_rank) for r in ranks} == {(True, 1), (False, 2)}
+        assert len(ranks) == 301
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
