@@ -41,7 +41,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts that a model of the labelled ones doesn't predict as toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     docs = docs.select(*COLUMNS)
-    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     return toxicity.score(docs, model).filter(F.col("predicted") == 0).select(*COLUMNS)
 
 

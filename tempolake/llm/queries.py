@@ -66,7 +66,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
     held_out = language.held_out("doc_id", 5, 0)
-    model = toxicity.train(documents.join(labels.filter(~held_out), "doc_id"))
+    model = toxicity.train(documents, labels.filter(~held_out))
     found = toxicity.score(documents, model, keep=["doc_id"])
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

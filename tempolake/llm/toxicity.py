@@ -12,6 +12,7 @@ each text once and adds up numbers.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tempolake.llm import arrowtext, pretoken
 
 #: Labelled texts per class in the training sample, the bound of what the driver gets.
-SAMPLE = {0: 3000, 1: 1500}
+SAMPLE = {0: 2400, 1: 1200}
 BUCKETS_LOG2 = 17
 SIZES = (3, 4, 5, 6)
 DIMENSIONS = 8
@@ -110,17 +111,28 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield last - first, *features(points, bounds)
 
 
-def _sample(labelled: DataFrame, sample: dict[int, int]) -> DataFrame:
+def _sample(documents: DataFrame, labels: DataFrame, sample: dict[int, int]) -> DataFrame:
     """(toxic, buckets, counts) of a bounded number of labelled texts per class."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "text")
+    one_each = (
+        labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+        .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(*sample))
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("toxic"))
+        .join(documents.filter("text is not null").select("doc_id"), "doc_id", "left_semi")
+    )
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     most = F.create_map(*[F.lit(x) for pair in sample.items() for x in pair])
-    chosen = (
-        labelled.select(F.col("toxic").cast("int").alias("toxic"), "text")
-        .filter(F.col("toxic").isin(*sample) & F.col("text").isNotNull())
-        .withColumn("n", F.row_number().over(order))
+    ids = (
+        one_each.withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= max(sample.values()))
         .filter(F.col("n") <= most[F.col("toxic")])
+        .select("doc_id", "toxic")
     )
+    # As many rows as the sample at most, so texts outside it never leave the scan.
+    joined = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    again = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    chosen = joined.filter("text is not null").withColumn("n", F.row_number().over(again))
+    chosen = chosen.filter(F.col("n") == 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,16 +194,21 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> Model | None:
     return Model(weights.astype(np.float64), float(bias[1] - bias[0]))
 
 
-def train(labelled: DataFrame, sample: dict[int, int] = SAMPLE) -> Model | None:
-    """A model from the columns ``text`` and ``toxic`` (0 or 1); None without a labelled text.
+def train(
+    documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE
+) -> Model | None:
+    """A model from texts (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
-    The sample takes texts in the order of a hash, whole, up to the given number per class.
+    The sample takes labelled texts in the order of a hash of their id, whole, up to the given
+    number per class; of rows with the same doc_id one text and the larger label. None without
+    a labelled text.
     """
     bags = [
         (r["toxic"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["counts"], "<i4"))
-        for r in _sample(labelled, sample).collect()
+        for r in _sample(documents, labels, sample).toLocalIterator()
     ]
-    bags.sort(key=lambda bag: (bag[0], bag[1].tobytes(), bag[2].tobytes()))
+    # In an order of their own, whichever task was first.
+    bags.sort(key=lambda bag: (bag[0], len(bag[1]), zlib.crc32(bag[1]), zlib.crc32(bag[2])))
     return fit(bags)
 
 
