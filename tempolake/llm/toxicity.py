@@ -30,8 +30,9 @@ SIZES = (3, 4, 5, 6)
 DIMENSIONS = 8
 #: Zeros in every mean.
 ZEROS = 200
-EPOCHS = 16
-RATE = 0.7
+#: Training steps, a text each: small samples are gone over more often.
+STEPS = 40_000
+RATE = 2.0
 _SEED = 7
 
 _U32 = np.uint32
@@ -167,8 +168,9 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> Model | None:
     bias = np.log(np.array([len(bags) - toxic + 1, toxic + 1], np.float32) / len(bags))
     squares = np.full(1 << BUCKETS_LOG2, 1e-4, np.float32)
     softmax_squares, bias_squares = np.full_like(softmax, 1e-4), np.full_like(bias, 1e-2)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = -(-STEPS // len(bags))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         for i in random.permutation(len(bags)):
             label, buckets, counts = bags[i]
             if not len(buckets):
