@@ -148,7 +148,7 @@ def train(
         after = np.where(known_first, table[0], 0)  # where a phrase that starts here goes
         missing = table < 0
         ended = missing & (np.arange(len(table)) > 0)[:, None]
-        phrases = ended + (missing & ~known_first)
+        phrases = ended.astype(np.int64) + (missing & ~known_first)
         following = np.where(missing, after, table)
         full[start : start + table.size] = (
             ((following.astype(np.int64) * width + start) << 2) | phrases
