@@ -460,7 +460,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages``.
 
     The text is the blocks of the main text in page order, joined by a line end; white space
-    within a block is one blank. It is empty for null and empty pages and for those without main
+    within a block is one blank. A text that never changes is only told from the main text where
+    it has a slot of its own: in a repeated group it stays. The text is empty for null and empty pages and for those without main
     text. Rows without URL share one wrapper. Repeated rows each give a row; an empty table
     gives none; other columns are ignored.
     """

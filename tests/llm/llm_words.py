@@ -1,3 +1,5 @@
+"""Invented text for the tests."""
+
 import random
 
 import pytest

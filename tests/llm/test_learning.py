@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm_words import words  # noqa: F401
+
 from tempolake.llm import language, toxicity
 
 ODD = [None, "", "   ", "12 34 !?", "🙂", "\n"]

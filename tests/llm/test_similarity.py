@@ -6,6 +6,8 @@ import re
 import numpy as np
 import pytest
 
+from llm_words import words  # noqa: F401
+
 from tempolake.llm import ann, components, jaccard, near_vectors
 
 

@@ -10,6 +10,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from llm_words import words  # noqa: F401
+
 from tempolake.llm import bpe, packing, pretoken
 from tempolake.llm.queries import vocabulary
 
