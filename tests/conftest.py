@@ -24,6 +24,8 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    # Python workers import the package from here, whatever folder the tests start in.
+    session.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     yield session
     session.stop()
 
