@@ -29,7 +29,7 @@ from tempolake.llm import arrowtext
 
 #: Repeated groups are found up to this many tokens.
 _WIDEST = 16
-#: Partial wrappers of a host before they are merged: spreads a host with many expressions.
+#: Parts that a host's expressions, and its pages, are dealt into.
 _SALTS = 32
 #: Pages with the same expression from which a text that never changes counts as boilerplate.
 _CONSTANT_PAGES = 3
@@ -466,8 +466,13 @@ def extract(pages: DataFrame) -> DataFrame:
     gives none; other columns are ignored.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    decisions = _decisions(_shapes(pages))
-    joined = _parsed(pages).join(decisions, ["host", "shape_id"], "left")
+    # Many pages share a host and an expression: deal them out, and repeat the few decisions.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    decisions = _decisions(_shapes(pages)).select("*", salts)
+    salt = F.pmod(F.xxhash64("page_id", "url", F.size("blocks")), F.lit(_SALTS)).cast("int")
+    joined = _parsed(pages).withColumn("salt", salt).join(
+        decisions, ["host", "shape_id", "salt"], "left"
+    )
     kept = F.filter(
         F.transform(
             F.arrays_zip("blocks", "slots"),
