@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -121,14 +122,15 @@ def _sample(documents: DataFrame, labels: DataFrame, sample: dict[int, int]) ->
         .agg(F.max("toxic").alias("toxic"))
         .join(documents.filter("text is not null").select("doc_id"), "doc_id", "left_semi")
     )
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    most = F.create_map(*[F.lit(x) for pair in sample.items() for x in pair])
-    ids = (
-        one_each.withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= max(sample.values()))
-        .filter(F.col("n") <= most[F.col("toxic")])
+    # The first few of each class: every task keeps that many at most, whatever the class holds.
+    first = [
+        one_each.filter(F.col("toxic") == label)
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most)
         .select("doc_id", "toxic")
-    )
+        for label, most in sample.items()
+    ]
+    ids = reduce(DataFrame.union, first)
     # As many rows as the sample at most, so texts outside it never leave the scan.
     joined = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     again = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
