@@ -7,9 +7,11 @@ The wrapper of a host starts as one page's expression and is aligned with one af
 the others: what both have is matched, a mismatch becomes an optional group, a group that stands
 next to an equal one becomes a repeated group, and texts that differ become text slots.
 
-The wrapper tells in which region the host's pages hold their main text, and which slots
-outside the usual regions hold the same text on every page, as notices do. That gives, for each
-distinct expression of the host, the slots to keep; pages are then joined with these.
+Every slot of the wrapper carries the least and greatest hash of its texts. Each expression is
+then mapped onto its host's wrapper, slot by slot: a slot outside the usual regions whose place in
+the wrapper holds the same text on all pages of the host, whatever their expressions, is a notice
+or the like. That gives, for each distinct expression of the host, the slots to keep; pages are
+then joined with these.
 """
 
 from __future__ import annotations
@@ -25,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempolake.llm import arrowtext
+from tempolake.llm import arrowtext, scratch
 
 #: Repeated groups are found up to this many tokens.
 _WIDEST = 16
 #: Parts that a host's expressions, and its pages, are dealt into.
 _SALTS = 32
-#: Pages with the same expression from which a text that never changes counts as boilerplate.
+#: Pages of a host from which a text that never changes counts as boilerplate.
 _CONSTANT_PAGES = 3
 
 # HTML elements by what they mean for the text.
@@ -213,15 +215,26 @@ def _folded(items: list[tuple]) -> tuple[tuple, list[list[int]]]:
 # -- wrappers ------------------------------------------------------------------------------
 
 
-def leaves(expression: tuple) -> list[str]:
-    """The slots of an expression in order."""
+class Slot(str):
+    """A slot that carries the least and greatest hash of its texts; it equals its name."""
+
+    def __new__(cls, name: str, low: int, high: int):
+        slot = super().__new__(cls, name)
+        slot.low, slot.high = low, high
+        return slot
+
+
+def flat(expression: tuple) -> tuple:
+    """Tags and slots of an expression in order, those of a group once."""
     out: list[str] = []
     for item in expression:
-        if isinstance(item, tuple):
-            out += leaves(item[1])
-        elif item[0] == "#":
-            out.append(item)
-    return out
+        out += flat(item[1]) if isinstance(item, tuple) else (item,)
+    return tuple(out)
+
+
+def leaves(expression: tuple) -> list[str]:
+    """The slots of an expression in order."""
+    return [item for item in flat(expression) if item[0] == "#"]
 
 
 def _core(item) -> tuple:
@@ -229,26 +242,49 @@ def _core(item) -> tuple:
     return item[1] if isinstance(item, tuple) else (item,)
 
 
-def _fits(left, right) -> bool:
-    a, b = _core(left), _core(right)
-    return a == b or (
-        isinstance(left, tuple) and isinstance(right, tuple) and a[:1] == b[:1]
-    )
+def _codes(items: tuple, numbers: dict) -> np.ndarray:
+    """By item, numbers of its core, of the start of a longer group, and of its only text.
+
+    Items that have none get numbers below zero.
+    """
+
+    def number(key) -> int:
+        return numbers.setdefault(key, len(numbers))
+
+    out = np.full((3, len(items)), -1, np.int64)
+    for i, item in enumerate(items):
+        core = _core(item)
+        out[0, i] = number(core)
+        if isinstance(item, tuple) and len(core) > 1:
+            out[1, i] = number((core[0], "group"))
+        slot = core[0] if len(core) == 1 else None
+        if isinstance(slot, Slot) and slot.low == slot.high:
+            out[2, i] = number(slot.low)
+    return out
 
 
 def _pairs(left: tuple, right: tuple) -> list[tuple[int, int]]:
-    """A longest common subsequence of items that fit."""
+    """A longest common subsequence of items that fit, of these one with most equal texts.
+
+    Items fit when their cores are equal or they are groups that start alike.
+    """
     n, m = len(left), len(right)
-    best = np.zeros((n + 1, m + 1), np.int32)
-    fits = [[_fits(x, y) for y in right] for x in left]
+    numbers: dict = {}
+    a, b = _codes(left, numbers), _codes(right, numbers)
+    best = np.zeros((n + 1, m + 1), np.int64 if min(n, m) > 40_000 else np.int32)
+
+    def weights(i: int, columns=slice(None)) -> np.ndarray:
+        fits = (b[0, columns] == a[0, i]) | ((b[1, columns] == a[1, i]) & (a[1, i] >= 0))
+        same = (b[2, columns] == a[2, i]) & (a[2, i] >= 0)
+        return fits * (min(n, m) + 1 + same)
+
     for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i, j] = (
-                best[i + 1, j + 1] + 1 if fits[i][j] else max(best[i + 1, j], best[i, j + 1])
-            )
+        row = np.maximum(best[i + 1, 1:] + weights(i), best[i + 1, :-1])
+        best[i, :-1] = np.maximum.accumulate(row[::-1])[::-1]
     out, i, j = [], 0, 0
     while i < n and j < m:
-        if fits[i][j]:
+        weight = weights(i, j)
+        if weight and best[i, j] == best[i + 1, j + 1] + weight:
             out.append((i, j))
             i, j = i + 1, j + 1
         elif best[i + 1, j] >= best[i, j + 1]:
@@ -259,21 +295,27 @@ def _pairs(left: tuple, right: tuple) -> list[tuple[int, int]]:
 
 
 def _optional(items: tuple) -> tuple:
-    if len(items) == 1 and isinstance(items[0], tuple) and items[0][0] in "?*":
-        return items
-    if len(items) == 1 and isinstance(items[0], tuple):
-        return (("*", items[0][1]),)
-    return (("?", items),) if items else ()
+    """Each item by itself as an optional one, so that pages without the group fit as well."""
+    return tuple(
+        (("*" if x[0] == "+" else x[0]), x[1]) if isinstance(x, tuple) else ("?", (x,))
+        for x in items
+    )
+
+
+def _both(left: str, right: str) -> str:
+    """One tag or slot for two equal ones, with the texts of both."""
+    slots = [x for x in (left, right) if isinstance(x, Slot)]
+    if not slots:
+        return left
+    return Slot(str(left), min(x.low for x in slots), max(x.high for x in slots))
 
 
 def aligned(left: tuple, right: tuple) -> tuple:
-    """The expression that both expressions match.
+    """The expression that both expressions match; its slots carry the texts of both.
 
     Equal items stay, items of one side alone become optional, an item that the other side
     repeats becomes repeated. ``*`` is a group that is both optional and repeated.
     """
-    if left == right:
-        return left
     out: list = []
     i = j = 0
     for a, b in [*_pairs(left, right), (len(left), len(right))]:
@@ -282,7 +324,7 @@ def aligned(left: tuple, right: tuple) -> tuple:
         if a < len(left):
             x, y = left[a], right[b]
             if not isinstance(x, tuple) and not isinstance(y, tuple):
-                out.append(x)
+                out.append(_both(x, y))
             else:
                 kinds = {z[0] if isinstance(z, tuple) else "" for z in (x, y)}
                 optional, repeated = kinds & {"?", "*"}, kinds & {"+", "*"}
@@ -294,19 +336,35 @@ def aligned(left: tuple, right: tuple) -> tuple:
 
 def infer(expressions: list[tuple]) -> tuple:
     """The wrapper of expressions, aligned one after another, short ones first."""
-    ordered = sorted(set(expressions), key=lambda e: (len(e), json.dumps(e)))
+    ordered = sorted(expressions, key=lambda e: (len(e), json.dumps(e)))
     wrapper = ordered[0]
     for expression in ordered[1:]:
         wrapper = aligned(wrapper, expression)
     return wrapper
 
 
-def kept_slots(wrapper: tuple, expression: tuple, constant: set[int]) -> list[int]:
-    """The slots of ``expression`` that hold main text, judged by its host's wrapper."""
-    on_host = [slot[1] for slot in leaves(wrapper)]
+def places(wrapper: tuple, expression: tuple) -> list[int]:
+    """For each slot of ``expression`` in order, which slot of its host's wrapper it is.
+
+    A wrapper has all items of the expressions it was inferred from in their order, so each
+    slot has a place; -1 would stand for none.
+    """
+    whole, own = flat(wrapper), flat(expression)
+    taken = {b: a for a, b in _pairs(whole, own)}
+    number = np.cumsum([item[0] == "#" for item in whole]) - 1
+    return [
+        int(number[taken[b]]) if b in taken else -1 for b, item in enumerate(own) if item[0] == "#"
+    ]
+
+
+def kept_slots(expression: tuple, constant: set[int]) -> list[int]:
+    """The slots of ``expression`` that hold main text.
+
+    ``constant`` are its slots whose place in the host's wrapper holds one text on all pages.
+    """
     on_page = [slot[1] for slot in leaves(expression)]
     for region in (ARTICLE, MAIN, CONTENT):
-        if region in on_host and region in on_page:
+        if region in on_page:
             # Elements of a narrower region lie in the wider ones as well.
             return [i for i, r in enumerate(on_page) if r == region]
     return [
@@ -314,8 +372,35 @@ def kept_slots(wrapper: tuple, expression: tuple, constant: set[int]) -> list[in
     ]
 
 
-def _tuples(value):
-    return tuple(_tuples(x) for x in value) if isinstance(value, list) else value
+def _with_texts(expression: tuple, texts: Iterator[tuple[int, int]]) -> tuple:
+    """``expression`` with slots that carry the next of ``texts`` each."""
+    return tuple(
+        (x[0], _with_texts(x[1], texts))
+        if isinstance(x, tuple)
+        else Slot(x, *next(texts)) if x[0] == "#" else x
+        for x in expression
+    )
+
+
+def _dumped(expression: tuple) -> str:
+    def plain(x):
+        if isinstance(x, Slot):
+            return f"{x}|{x.low}|{x.high}"
+        return [x[0], [plain(y) for y in x[1]]] if isinstance(x, tuple) else x
+
+    return json.dumps([plain(x) for x in expression])
+
+
+def _loaded(text: str) -> tuple:
+    def item(x):
+        if isinstance(x, list):
+            return x[0], tuple(item(y) for y in x[1])
+        if x[0] == "#" and "|" in x:
+            name, low, high = x.split("|")
+            return Slot(name, int(low), int(high))
+        return x
+
+    return tuple(item(x) for x in json.loads(text))
 
 
 # -- jobs ----------------------------------------------------------------------------------
@@ -374,40 +459,97 @@ def _shapes(pages: DataFrame) -> DataFrame:
     )
 
 
+def _by_shape(shapes: DataFrame) -> DataFrame:
+    """(host, shape, marked, pages): each expression, and with the texts of its slots."""
+    texts = F.sort_array(F.collect_list(F.struct("slot", "low", "high")))
+    grouped = shapes.filter("slot >= 0").groupBy("host", "shape").agg(
+        texts.alias("texts"), F.max("pages").alias("pages")
+    )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("shape").to_pylist(), batch.column("texts").to_pylist())
+            marked = [
+                _dumped(_with_texts(_loaded(s), ((x["low"], x["high"]) for x in t)))
+                for s, t in rows
+            ]
+            columns = [batch.column("host"), batch.column("shape"), pa.array(marked, pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, batch.column("pages")], ["host", "shape", "marked", "pages"]
+            )
+
+    return grouped.mapInArrow(task, "host string, shape string, marked string, pages long")
+
+
 def _merged(groups: DataFrame, keys: list[str]) -> DataFrame:
     """One wrapper per group of expressions."""
 
     def task(rows: pa.Table) -> pa.Table:
-        found = infer([_tuples(json.loads(x)) for x in rows.column("shape").to_pylist()])
-        return pa.table({"host": rows.column("host")[:1], "shape": [json.dumps(found)]})
+        found = infer([_loaded(x) for x in rows.column("wrapper").to_pylist()])
+        return pa.table({"host": rows.column("host")[:1], "wrapper": [_dumped(found)]})
 
-    return groups.groupBy(*keys).applyInArrow(task, "host string, shape string")
+    return groups.groupBy(*keys).applyInArrow(task, "host string, wrapper string")
 
 
 def wrappers(shapes: DataFrame) -> DataFrame:
     """(host, wrapper): partial wrappers of a host's expressions, then theirs."""
-    single = shapes.select("host", "shape").distinct()
-    salted = single.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(_SALTS)))
-    return _merged(_merged(salted, ["host", "salt"]), ["host"]).withColumnRenamed(
-        "shape", "wrapper"
+    single = shapes.select("host", F.col("marked").alias("wrapper"))
+    salted = single.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(_SALTS)))
+    return _merged(_merged(salted, ["host", "salt"]), ["host"])
+
+
+def _placed(shapes: DataFrame) -> DataFrame:
+    """(host, shape, slot, place, low, high, pages): the slots of expressions in the wrapper."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[str, list] = {n: [] for n in ("row", "slot", "place", "low", "high")}
+            whole, wrapper = None, ()
+            pairs = zip(batch.column("wrapper").to_pylist(), batch.column("marked").to_pylist())
+            for number, (text, marked) in enumerate(pairs):
+                if text != whole:
+                    whole, wrapper = text, _loaded(text)
+                expression = _loaded(marked)
+                for slot, place in enumerate(places(wrapper, expression)):
+                    for name, value in (("row", number), ("slot", slot), ("place", place)):
+                        rows[name].append(value)
+                rows["low"] += [slot.low for slot in leaves(expression)]
+                rows["high"] += [slot.high for slot in leaves(expression)]
+            at = pa.array(rows.pop("row"), pa.int64())
+            shared = {n: batch.column(n).take(at) for n in ("host", "shape", "pages")}
+            own = {n: pa.array(v, pa.int64()) for n, v in rows.items()}
+            yield pa.RecordBatch.from_pydict({**shared, **own})
+
+    return (
+        shapes.join(wrappers(shapes), "host")
+        .select("host", "shape", "marked", "pages", "wrapper")
+        .mapInArrow(
+            task,
+            "host string, shape string, pages long, slot long, place long, low long, high long",
+        )
     )
 
 
 def _decisions(shapes: DataFrame) -> DataFrame:
     """(host, shape_id, keep): the slots with main text of each expression."""
-    constant = (F.col("low") == F.col("high")) & (F.col("pages") >= _CONSTANT_PAGES)
-    by_shape = shapes.groupBy("host", "shape").agg(
-        F.collect_list(F.when(constant, F.col("slot"))).alias("constant")
+    placed = scratch.written(_placed(scratch.written(_by_shape(shapes), "shapes")), "places")
+    constant = (
+        placed.groupBy("host", "place")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages"))
+        .filter((F.col("low") == F.col("high")) & (F.col("pages") >= _CONSTANT_PAGES))
+        .filter("place >= 0")
+        .select("host", "place", F.lit(True).alias("constant"))
+    )
+    judged = (
+        placed.join(constant, ["host", "place"], "left")
+        .groupBy("host", "shape")
+        .agg(F.collect_list(F.when(F.col("constant"), F.col("slot"))).alias("constant"))
     )
-    judged = by_shape.join(wrappers(shapes), "host")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("wrapper", "shape", "constant")))
-            keep = [
-                kept_slots(_tuples(json.loads(w)), _tuples(json.loads(s)), set(c))
-                for w, s, c in rows
-            ]
+            rows = zip(batch.column("shape").to_pylist(), batch.column("constant").to_pylist())
+            keep = [kept_slots(_loaded(s), set(c)) for s, c in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("host"),
@@ -417,9 +559,7 @@ def _decisions(shapes: DataFrame) -> DataFrame:
                 ["host", "shape_id", "keep"],
             )
 
-    return judged.select("host", "shape", "constant", "wrapper").mapInArrow(
-        task, "host string, shape_id long, keep array<int>"
-    )
+    return judged.mapInArrow(task, "host string, shape_id long, keep array<int>")
 
 
 def _parsed(pages: DataFrame) -> DataFrame:

@@ -53,6 +53,37 @@ def test_repeated_notices_outside_articles_go(spark):
     assert {r.text for r in texts(spark, rows)} == {f"Body {n}\nAnd {n} more" for n in range(5)}
 
 
+def test_notices_go_from_pages_that_differ_in_structure(spark):
+    bodies = [
+        "<p>a{n}</p>", "<ul><li>b{n}<li>c</ul>", "<h2>d{n}</h2><p>e</p>", "<pre>f{n}</pre>",
+        "<table><tr><td>g{n}</table><p>h</p>", "<blockquote>i{n}</blockquote><h3>j</h3>",
+    ]
+    want = ["a{n}", "b{n}\nc", "d{n}\ne", "f{n}", "g{n}\nh", "i{n}\nj"]
+    page = "<body><section>Same everywhere</section>{}<div>All rights kept</div></body>"
+    rows = [(n, "http://g.example/", page.format(b.format(n=n)), "") for n, b in enumerate(bodies)]
+    assert len({wrapper.Page(r[2]).key for r in rows}) == len(rows)  # no two are alike
+    got = {r.page_id: r.text for r in texts(spark, rows)}
+    assert got == {n: w.format(n=n) for n, w in enumerate(want)}
+
+
+def test_expressions_are_mapped_onto_their_wrapper():
+    shown = [
+        wrapper._with_texts(e, iter(t))
+        for e, t in [
+            (("s", "#o", "/s", "#op"), [(7, 7), (1, 1)]),
+            (("#oh2", "s", "#o", "/s", ("+", ("#op",))), [(3, 3), (7, 7), (2, 5)]),
+            (("d", "#o", "/d", "s", "#o", "/s"), [(9, 9), (7, 7)]),
+        ]
+    ]
+    whole = wrapper._loaded(wrapper._dumped(wrapper.infer(shown)))
+    slots = wrapper.leaves(whole)
+    found = [wrapper.places(whole, e) for e in shown]
+    notice = {found[0][0], found[1][1], found[2][1]}
+    assert len(notice) == 1 and slots[notice.pop()].high == 7
+    body = found[0][1]
+    assert body == found[1][2] and (slots[body].low, slots[body].high) == (1, 5)
+
+
 def test_equal_articles_stay(spark):
     rows = [(n, "http://e.example/x", PAGE.format(n=1), "") for n in range(5)]
     assert {r.text for r in texts(spark, rows)} == {TEXT.format(n=1)}
