@@ -16,6 +16,7 @@ then joined with these.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_escapes
 import json
 import re
@@ -24,7 +25,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempolake.llm import arrowtext, scratch
@@ -33,7 +34,7 @@ from tempolake.llm import arrowtext, scratch
 _WIDEST = 16
 #: Parts that a host's expressions, and its pages, are dealt into.
 _SALTS = 32
-#: Pages of a host from which a text that never changes counts as boilerplate.
+#: Different pages of a host from which a text that never changes counts as boilerplate.
 _CONSTANT_PAGES = 3
 
 # HTML elements by what they mean for the text.
@@ -418,23 +419,40 @@ def _hash(texts: list[str]) -> np.ndarray:
     return arrowtext.span_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
 
 
+def _content(page: Page, hashes: np.ndarray) -> int:
+    """A hash of the page's blocks outside boilerplate, in order."""
+    slots = zip(leaves(page.key), page.slots, strict=True)
+    blocks = sorted(b for slot, own in slots if slot[1] != BOILER for b in own)
+    digest = hashlib.blake2b(hashes[blocks].tobytes(), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def _different(pages: str) -> Column:
+    """The least page hashes of a group, enough to tell whether there are _CONSTANT_PAGES."""
+    hashes = F.array_sort(F.array_distinct(F.flatten(F.collect_set(pages))))
+    return F.slice(hashes, 1, _CONSTANT_PAGES).alias(pages)
+
+
 def _shapes(pages: DataFrame) -> DataFrame:
     """(host, shape, slot, low, high, pages): the least and greatest text hash of each slot.
 
+    ``pages`` are hashes of different pages, so that copies of a page count once: the least
+    few of them, as no more are asked for. Pages that differ only in boilerplate are the same.
+
     Each task first combines its own pages, so a host or an expression shared by many pages
     sends a few rows per task. A page without slots has the single slot -1.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["host", "shape", "slot", "low", "high", "pages"]
-        types = [pa.string(), pa.string(), *[pa.int64()] * 4]
+        types = [pa.string(), pa.string(), *[pa.int64()] * 3, pa.list_(pa.int64())]
         for batch in batches:
             seen: dict[tuple[str, str], list] = {}
             for url, html in zip(*(batch.column(c).to_pylist() for c in ("url", "html"))):
                 page = Page(html or "")
-                entry = seen.setdefault((host_of(url), json.dumps(page.key)), [0, {}])
-                entry[0] += 1
+                entry = seen.setdefault((host_of(url), json.dumps(page.key)), [set(), {}])
                 hashes = _hash(page.blocks)
+                entry[0].add(_content(page, hashes))
                 for slot, blocks in enumerate(page.slots):
                     own = hashes[blocks]
                     low, high = int(own.min()), int(own.max())
@@ -443,8 +461,8 @@ def _shapes(pages: DataFrame) -> DataFrame:
                         low, high = min(low, have[0]), max(high, have[1])
                     entry[1][slot] = (low, high)
             rows = [
-                (host, shape, slot, low, high, count)
-                for (host, shape), (count, slots) in seen.items()
+                (host, shape, slot, low, high, sorted(different)[:_CONSTANT_PAGES])
+                for (host, shape), (different, slots) in seen.items()
                 for slot, (low, high) in (slots or {-1: (0, 0)}).items()
             ]
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
@@ -453,9 +471,12 @@ def _shapes(pages: DataFrame) -> DataFrame:
 
     return (
         pages.select("url", "html")
-        .mapInArrow(task, "host string, shape string, slot long, low long, high long, pages long")
+        .mapInArrow(
+            task,
+            "host string, shape string, slot long, low long, high long, pages array<long>",
+        )
         .groupBy("host", "shape", "slot")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages"))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), _different("pages"))
     )
 
 
@@ -463,7 +484,7 @@ def _by_shape(shapes: DataFrame) -> DataFrame:
     """(host, shape, marked, pages): each expression, and with the texts of its slots."""
     texts = F.sort_array(F.collect_list(F.struct("slot", "low", "high")))
     grouped = shapes.filter("slot >= 0").groupBy("host", "shape").agg(
-        texts.alias("texts"), F.max("pages").alias("pages")
+        texts.alias("texts"), F.first("pages").alias("pages")
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,7 +499,7 @@ def _by_shape(shapes: DataFrame) -> DataFrame:
                 [*columns, batch.column("pages")], ["host", "shape", "marked", "pages"]
             )
 
-    return grouped.mapInArrow(task, "host string, shape string, marked string, pages long")
+    return grouped.mapInArrow(task, "host string, shape string, marked string, pages array<long>")
 
 
 def _merged(groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -525,7 +546,8 @@ def _placed(shapes: DataFrame) -> DataFrame:
         .select("host", "shape", "marked", "pages", "wrapper")
         .mapInArrow(
             task,
-            "host string, shape string, pages long, slot long, place long, low long, high long",
+            "host string, shape string, pages array<long>, slot long, place long, low long, "
+            "high long",
         )
     )
 
@@ -535,8 +557,8 @@ def _decisions(shapes: DataFrame) -> DataFrame:
     placed = scratch.written(_placed(scratch.written(_by_shape(shapes), "shapes")), "places")
     constant = (
         placed.groupBy("host", "place")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages"))
-        .filter((F.col("low") == F.col("high")) & (F.col("pages") >= _CONSTANT_PAGES))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), _different("pages"))
+        .filter((F.col("low") == F.col("high")) & (F.size("pages") >= _CONSTANT_PAGES))
         .filter("place >= 0")
         .select("host", "place", F.lit(True).alias("constant"))
     )

@@ -89,6 +89,16 @@ def test_equal_articles_stay(spark):
     assert {r.text for r in texts(spark, rows)} == {TEXT.format(n=1)}
 
 
+def test_copies_of_a_page_without_an_article_stay(spark):
+    page = "<body><nav>{n}</nav><div>Some text</div><p>And more</p><footer>{n}</footer></body>"
+    rows = [(n, "http://h.example/x", page.format(n=n // 2), "") for n in range(8)]
+    other = "<body><h2>Title</h2><p>One</p></body>"
+    rows += [(n, "http://i.example/x", other, "") for n in range(8, 12)]
+    got = {r.page_id: r.text for r in texts(spark, rows)}
+    assert {got[n] for n in range(8)} == {"Some text\nAnd more"}
+    assert {got[n] for n in range(8, 12)} == {"Title\nOne"}
+
+
 def test_folding_and_alignment():
     page = wrapper.Page("<ul><li>a<li>b<li>c</ul><div><p>x</p></div><div><p>y</p></div>")
     assert page.key == ("ul.o", ("+", ("#oli",)), "/ul", ("+", ("div.o", "#op", "/div")))
