@@ -39,7 +39,8 @@ _CONSTANT_PAGES = 3
 
 # HTML elements by what they mean for the text.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SKIPPED = "script style noscript template svg math iframe object canvas head"
+_SKIPPED = "noscript template svg math iframe object canvas".split()
+_HEAD = set("meta link base basefont bgsound noscript template html".split())
 _BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol "
@@ -65,12 +66,16 @@ _MARKED = set(
 _CONTENT = set("article content post entry story articlebody".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{'|'.join(_SKIPPED.split())})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+    r"<!--.*?(?:-->|\Z)|<(?P<skip>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
     r"(?<!/)>.*?(?:</(?P=skip)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+_SKIPPED_TAG = re.compile(
+    rf"<(?P<close>/?)(?P<tag>{'|'.join(_SKIPPED)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
+    re.IGNORECASE,
+)
 _ATTRIBUTE = re.compile(
     r"\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
     re.IGNORECASE,
@@ -80,6 +85,19 @@ _WORD = re.compile(r"[a-z]+")
 ARTICLE, MAIN, CONTENT, OTHER, BOILER = "amcob"
 
 
+def _skipped_ends(html: str) -> dict[int, int]:
+    """Where skipped elements end, by their start; those that are never closed are not skipped."""
+    opened: dict[str, list[int]] = {name: [] for name in _SKIPPED}
+    ends: dict[int, int] = {}
+    for tag in _SKIPPED_TAG.finditer(html):
+        starts = opened[tag["tag"].lower()]
+        if not tag["close"] and not tag[0].endswith("/>"):
+            starts.append(tag.start())
+        elif tag["close"] and starts:
+            ends[starts.pop()] = tag.end()
+    return ends
+
+
 class Page:
     """The text blocks of a page, their slots and the page's expression.
 
@@ -105,15 +123,43 @@ class Page:
                 self.blocks.append(text)
 
         at = 0
-        for token in _TOKEN.finditer(html):
-            buffer.append(html[at : token.start()])
+        head = ""  # "head" or "title" inside of these
+        ends: dict[int, int] | None = None
+        while token := _TOKEN.search(html, at):
+            between = html[at : token.start()]
             at = token.end()
+            if head == "head" and between.strip():
+                head = ""  # text starts the body
+            if not head:
+                buffer.append(between)
             tag = token["tag"]
             if tag is None:
                 if token["skip"]:
                     buffer.append(" ")
                 continue
             tag = tag.lower()
+            if tag in _SKIPPED and not token["close"]:
+                ends = _skipped_ends(html) if ends is None else ends
+                if token.start() in ends:
+                    at = ends[token.start()]
+                    buffer.append(" ")
+                    if head == "head" and tag not in _HEAD:
+                        head = ""
+                    continue
+            if tag == "head" and not token["close"]:
+                flush()
+                head = "head"
+                continue
+            if head:
+                if tag == "title":
+                    head = "head" if token["close"] else "title"
+                    continue
+                if head == "title" and tag not in ("head", "body"):
+                    continue
+                if tag not in ("head", "body", "html", "br") if token["close"] else tag in _HEAD:
+                    continue
+                # The end tag is optional: what can only stand in a body ends the head.
+                head = ""
             if tag == "br":
                 buffer.append(" ")
                 continue
@@ -146,7 +192,8 @@ class Page:
             stack.append((tag, inside))
             if tag in _BLOCKS and tag not in _LEAVES:
                 items.append((f"{tag}.{inside}", []))
-        buffer.append(html[at:])
+        if head != "title":
+            buffer.append(html[at:])
         flush()
         self.key, self.slots = _folded(items)
 

@@ -89,6 +89,29 @@ def test_equal_articles_stay(spark):
     assert {r.text for r in texts(spark, rows)} == {TEXT.format(n=1)}
 
 
+def test_what_is_not_closed_does_not_take_the_page():
+    def blocks(page):
+        page = wrapper.Page(page)
+        slots = zip(wrapper.leaves(page.key), page.slots, strict=True)
+        kept = sorted(b for slot, own in slots if slot[1] != wrapper.BOILER for b in own)
+        return [page.blocks[b] for b in kept]
+
+    head = "<html><head><meta x><title>t <b>u</title><link y><script>var a</script>"
+    for start in ("<body>", "</head><body>", "", "</head>", "</meta><body class='b'>", "<div>"):
+        assert blocks(f"{head}{start}<article><p>Text</p></article>") == ["Text"]
+    assert blocks(head + "Text") == ["Text"] and blocks(head) == []
+    assert blocks("<head><title>t<body><p>Text") == ["Text"]
+    for tag in wrapper._SKIPPED:
+        page = f"<body><{tag} id='x'><article><p>Text</p></article>"
+        assert blocks(page) == ["Text"]
+        assert blocks(f"{page}<{tag}>no</{tag}><p>more") == ["Text", "more"]
+        assert blocks(f"<{tag}>a<p>b<{tag}>c</{tag}>d</{tag}><p>Text") == ["Text"]
+        assert blocks(f"<{tag}/><p>Text") == ["Text"]
+        assert blocks(f"<head><noscript>n</noscript><{tag}>no</{tag}><p>Text") == ["Text"]
+    for tag in ("script", "style"):
+        assert blocks(f"<p>Text<{tag}>never closed <p>no") == ["Text"]
+
+
 def test_copies_of_a_page_without_an_article_stay(spark):
     page = "<body><nav>{n}</nav><div>Some text</div><p>And more</p><footer>{n}</footer></body>"
     rows = [(n, "http://h.example/x", page.format(n=n // 2), "") for n in range(8)]
