@@ -34,6 +34,8 @@ from tempolake.llm import arrowtext, scratch
 _WIDEST = 16
 #: Parts that a host's expressions, and its pages, are dealt into.
 _SALTS = 32
+#: Expressions or partial wrappers that are aligned in one group, on average.
+_MERGED = 16
 #: Different pages of a host from which a text that never changes counts as boilerplate.
 _CONSTANT_PAGES = 3
 
@@ -559,11 +561,24 @@ def _merged(groups: DataFrame, keys: list[str]) -> DataFrame:
     return groups.groupBy(*keys).applyInArrow(task, "host string, wrapper string")
 
 
+def _dealt(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """``parts`` in as many groups per host as keep these small whatever the host's ``n`` is."""
+    groups = F.ceil(F.col("n") / _MERGED)
+    return parts.join(counts, "host").withColumn(
+        "salt", F.pmod(F.xxhash64("wrapper"), groups)
+    )
+
+
 def wrappers(shapes: DataFrame) -> DataFrame:
-    """(host, wrapper): partial wrappers of a host's expressions, then theirs."""
-    single = shapes.select("host", F.col("marked").alias("wrapper"))
-    salted = single.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(_SALTS)))
-    return _merged(_merged(salted, ["host", "salt"]), ["host"])
+    """(host, wrapper): expressions, then partial wrappers, merged in rounds of small groups."""
+    parts = shapes.select("host", F.col("marked").alias("wrapper"))
+    while True:
+        counts = parts.groupBy("host").agg(F.count("*").alias("n"))
+        if (counts.agg(F.max("n")).first()[0] or 0) <= 1:
+            return parts
+        merged = _merged(_dealt(parts, counts), ["host", "salt"])
+        # Equal ones would stay together in every round.
+        parts = scratch.written(merged.distinct(), "wrappers")
 
 
 def _placed(shapes: DataFrame) -> DataFrame:
@@ -588,8 +603,12 @@ def _placed(shapes: DataFrame) -> DataFrame:
             own = {n: pa.array(v, pa.int64()) for n, v in rows.items()}
             yield pa.RecordBatch.from_pydict({**shared, **own})
 
+    # Many expressions may share a host: deal them out, and repeat the wrappers.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("shape"), F.lit(_SALTS)).cast("int")
     return (
-        shapes.join(wrappers(shapes), "host")
+        shapes.withColumn("salt", salt)
+        .join(wrappers(shapes).select("*", salts), ["host", "salt"])
         .select("host", "shape", "marked", "pages", "wrapper")
         .mapInArrow(
             task,

@@ -89,6 +89,25 @@ def test_equal_articles_stay(spark):
     assert {r.text for r in texts(spark, rows)} == {TEXT.format(n=1)}
 
 
+def test_many_expressions_of_a_host_are_merged_in_small_groups(spark):
+    def shape(n):  # n in binary, as tags
+        tags = [("div.o", "pre.o")[n >> k & 1] for k in range(12)]
+        return wrapper._dumped((*tags, wrapper.Slot("#o", n, n)))
+
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([("h", shape(n)) for n in range(3000)], "host string, wrapper string")
+    counts = frame.groupBy("host").agg(F.count("*").alias("n"))
+    groups = wrapper._dealt(frame, counts).groupBy("host", "salt").count().collect()
+    assert max(g["count"] for g in groups) <= 3 * wrapper._MERGED
+    some = frame.limit(300).withColumnRenamed("wrapper", "marked")
+    rows = wrapper.wrappers(some).collect()
+    assert len(rows) == 1
+    whole = wrapper._loaded(rows[0].wrapper)
+    found = {tuple(wrapper.places(whole, wrapper._loaded(r.marked))) for r in some.collect()}
+    assert len(found) == 1 and found != {(-1,)}
+
+
 def test_what_is_not_closed_does_not_take_the_page():
     def blocks(page):
         page = wrapper.Page(page)
