@@ -25,8 +25,8 @@ from tempolake.llm import arrowtext, pretoken
 
 #: Letters sampled per language, the bound of what is collected and broadcast.
 SAMPLE_LETTERS = 40_000
-#: Labelled texts per language that the sample is taken from, and their longest length: a few
-#: of them make up the sample, so that no single text decides.
+#: Different labelled texts per language that the sample is taken from, and how much of a text
+#: is taken: a few of them make up the sample, so that no single text decides.
 SAMPLE_TEXTS, SAMPLE_TEXT_CHARS = 200, 8_000
 #: Letters told apart; others count as one that no sample has.
 ALPHABET = 62
@@ -107,17 +107,32 @@ def train(
 ) -> Model | None:
     """A model of the languages of ``labelled``, or None without a labelled letter.
 
-    Takes whole texts in the order of a hash of text and label, up to ``letters`` letters per
-    language; rows without text or label are left out.
+    Takes different texts in the order of a hash of text and label, up to ``letters`` letters per
+    language: whole ones of at most SAMPLE_TEXT_CHARS characters, then the starts of longer ones.
+    Equal texts of a language count once; rows without text or label are left out.
     """
-    usable = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("text").isNotNull()
-        & F.col("lang").isNotNull()
-        & F.length("text").between(1, SAMPLE_TEXT_CHARS)
+    usable = (
+        labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+        .filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
+        .select(
+            F.substring("text", 1, SAMPLE_TEXT_CHARS).alias("text"),
+            "lang",
+            (F.length("text") > SAMPLE_TEXT_CHARS).alias("cut"),
+        )
+        .withColumn("print", F.xxhash64("text", "lang"))
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text", "lang"), "text")
-    sample = usable.withColumn("n", F.row_number().over(order)).filter(
-        F.col("n") <= SAMPLE_TEXTS
+    # The hashes are ranked first, so that only the texts chosen are moved.
+    order = Window.partitionBy("lang").orderBy("cut", "print")
+    chosen = (
+        usable.groupBy("lang", "print")
+        .agg(F.min("cut").alias("cut"))
+        .withColumn("n", F.row_number().over(order))
+        .filter(F.col("n") <= SAMPLE_TEXTS)
+    )
+    sample = (
+        usable.join(F.broadcast(chosen), ["lang", "print", "cut"])
+        .groupBy("lang", "n")
+        .agg(F.min("text").alias("text"))
     )
     texts: dict[str, list[str]] = {}
     sizes: Counter = Counter()

@@ -61,6 +61,22 @@ def test_languages_of_odd_rows(spark, words):
     assert language.identify(frame.limit(0), model).count() == 0
 
 
+def test_sample_of_long_and_repeated_texts(spark, words):
+    stems = [("qu", "xi", "zo", "wy"), ("ka", "lu", "me", "po")]
+    long = [(words(i, 4000, stems[0]), "long") for i in range(2)]
+    assert all(len(t) > language.SAMPLE_TEXT_CHARS for t, _ in long)
+    copies = [("same text again and again " * 60, "many")] * 500
+    varied = [(words(i, 60, stems[1]), "many") for i in range(40)]
+    frame = spark.createDataFrame(long + copies + varied, "text string, lang string")
+    model = language.train(frame)
+    assert model.languages == ["long", "many"]
+    rows = [(0, words(9, 40, stems[0])), (1, words(9, 40, stems[1]))]
+    asked = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in language.identify(asked, model).collect()}
+    assert [got[i].lang_pred for i in range(2)] == ["long", "many"]
+    assert got[1].bits_per_letter < 6.5
+
+
 def test_without_labels(spark):
     nothing = spark.createDataFrame([("a", None)], "text string, lang string")
     assert language.train(nothing) is None
