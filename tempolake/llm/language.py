@@ -28,8 +28,10 @@ SAMPLE_LETTERS = 40_000
 #: Different labelled texts per language that the sample is taken from, and how much of a text
 #: is taken: a few of them make up the sample, so that no single text decides.
 SAMPLE_TEXTS, SAMPLE_TEXT_CHARS = 200, 8_000
-#: Letters told apart; others count as one that no sample has.
-ALPHABET = 62
+#: Symbols for letters, which bound the width of the table. When the samples have more letters,
+#: the most common keep a symbol each and the others are spelled with DIGITS symbols of these.
+#: Letters in no sample count as one symbol that no sample has.
+ALPHABET, DIGITS = 62, 32
 #: Letters per block. Phrases end with their block, the same for a text wherever it is parsed.
 BLOCK = 1024
 
@@ -46,14 +48,27 @@ class Model:
     bits: np.ndarray  # of a phrase, by language
     roots: np.ndarray
     table: np.ndarray  # 4 * (place in the table of the next state) + phrases that end here
+    spelled: str = ""  # letters of more than one symbol
+
+    @property
+    def width(self) -> int:
+        return len(self.letters) + 2 + (DIGITS if self.spelled else 0)
 
     def symbols(self) -> np.ndarray:
-        """The symbol of every code point."""
-        table = np.where(pretoken.classes() == pretoken.LETTER, _RARE, _GAP).astype(np.uint8)
-        for i, letter in enumerate(self.letters):
+        """The symbol of every code point, or up to four, the first in the lowest byte."""
+        table = np.where(pretoken.classes() == pretoken.LETTER, _RARE, _GAP)
+        table = table.astype(np.uint32 if self.spelled else np.uint8)
+        codes = list(range(2, len(self.letters) + 2))
+        digits = 1
+        while DIGITS**digits < len(self.spelled):
+            digits += 1
+        for i in range(len(self.spelled)):
+            places = [i // DIGITS**d % DIGITS for d in range(digits)]
+            codes.append(sum((len(self.letters) + 2 + x) << 8 * d for d, x in enumerate(places)))
+        for letter, code in zip(self.letters + self.spelled, codes, strict=True):
             for form in {letter, letter.upper()}:
                 if len(form) == 1:
-                    table[ord(form)] = i + 2
+                    table[ord(form)] = code
         return table
 
 
@@ -102,6 +117,17 @@ def _squeezed(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return symbols[keep], places[bounds]
 
 
+def _spelled(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Single symbols instead of packed ones, and the new offsets of the rows."""
+    if symbols.dtype == np.uint8:
+        return symbols, bounds
+    parts = np.ascontiguousarray(symbols, dtype="<u4").view(np.uint8).reshape(-1, 4)
+    keep = parts != 0
+    keep[:, 0] = True  # a gap is zero
+    places = np.concatenate([[0], np.cumsum(keep.sum(axis=1))])
+    return parts[keep], places[bounds]
+
+
 def train(
     labelled: DataFrame, text: str = "text", lang: str = "lang", letters: int = SAMPLE_LETTERS
 ) -> Model | None:
@@ -146,14 +172,18 @@ def train(
             counts.update(c for c in part.lower() if c.isalpha())
     if not counts:
         return None
-    known = "".join(sorted(c for c, _ in counts.most_common(ALPHABET)))
-    model = Model(sorted(texts), known, np.empty(0), np.empty(0), np.empty(0))
-    symbols, width = model.symbols(), len(known) + 2
+    ordered = sorted(counts, key=lambda c: (-counts[c], c))
+    single = ALPHABET if len(ordered) <= ALPHABET else ALPHABET - DIGITS
+    known, spelled = ("".join(sorted(part)) for part in (ordered[:single], ordered[single:]))
+    model = Model(sorted(texts), known, np.empty(0), np.empty(0), np.empty(0), spelled)
+    symbols, width = model.symbols(), model.width
     tables, bits = [], []
     for language in model.languages:
         data = pa.array(texts[language], pa.string())
         _, points, bounds = arrowtext.code_points(*arrowtext.byte_rows(data))
-        sequence, _ = _squeezed(symbols[points], bounds)
+        found = symbols[points]
+        found[found == _RARE] = _GAP  # a form without a symbol of its own
+        sequence, _ = _spelled(*_squeezed(found, bounds))
         tables.append(automaton(sequence, width))
         bits.append(np.log2(max(2, len(sequence))))
     starts = np.cumsum([0] + [t.size for t in tables])
@@ -169,7 +199,9 @@ def train(
             ((following.astype(np.int64) * width + start) << 2) | phrases
         ).ravel()
     kind = np.int32 if full.max(initial=0) < 2**31 else np.int64
-    return Model(model.languages, known, np.array(bits), starts[:-1], full.astype(kind))
+    return Model(
+        model.languages, known, np.array(bits), starts[:-1], full.astype(kind), spelled
+    )
 
 
 def phrases(model: Model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -215,7 +247,8 @@ def _results(model: Model | None, table: np.ndarray, column: pa.Array) -> Iterat
         symbols, at = _squeezed(table[points], bounds)
         lettered = np.concatenate([[0], np.cumsum(symbols != _GAP)])
         letters = lettered[at[1:]] - lettered[at[:-1]]
-        cost = phrases(model, symbols, at) * model.bits / np.maximum(1, np.diff(at))[:, None]
+        parsed = phrases(model, *_spelled(symbols, at))
+        cost = parsed * model.bits / np.maximum(1, np.diff(at))[:, None]
         best = cost.argmin(axis=1)
         least = cost[np.arange(rows), best]
         others = cost.copy()

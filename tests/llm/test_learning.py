@@ -77,6 +77,31 @@ def test_sample_of_long_and_repeated_texts(spark, words):
     assert got[1].bits_per_letter < 6.5
 
 
+def test_many_scripts(spark, words):
+    def script(first, size, seed, count):
+        rng = random.Random(seed)
+        known = random.Random(first)
+        vocabulary = ["".join(chr(first + known.randrange(size)) for _ in range(3)) for _ in range(150)]
+        return " ".join(rng.choice(vocabulary) for _ in range(count))
+
+    # Two languages share a script of thousands of letters, as Chinese and Japanese do.
+    scripts = {
+        "cyrillic": (0x430, 32), "greek": (0x3B1, 17), "arabic": (0x628, 19), "han": (0x4E00, 1500),
+        "kan": (0x4F00, 1500), "hangul": (0xAC00, 1500),
+    }
+    labelled = [(script(*v, i, 200), k) for k, v in scripts.items() for i in range(5)]
+    labelled += [(words(i, 2000), "latin") for i in range(5)]
+    model = language.train(spark.createDataFrame(labelled, "text string, lang string"))
+    assert model.width <= language.ALPHABET + 2
+    rows = [(k, script(*v, 99, 40)) for k, v in scripts.items()] + [("latin", words(99, 40))]
+    unknown = [("thai", script(0xE01, 40, 7, 40)), ("hebrew", script(0x5D0, 27, 7, 40))]
+    asked = spark.createDataFrame(rows + unknown, "doc_id string, text string")
+    got = {r.doc_id: r for r in language.identify(asked, model).collect()}
+    for k, _ in rows:
+        assert got[k].lang_pred == k and got[k].bits_per_letter < 6.5
+    assert all(got[k].bits_per_letter > 6.5 for k, _ in unknown)
+
+
 def test_without_labels(spark):
     nothing = spark.createDataFrame([("a", None)], "text string, lang string")
     assert language.train(nothing) is None
