@@ -324,13 +324,21 @@ def _with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.table(spark, sf_dir, "events").select("event_id", value.alias("value"))
 
 
+_BAD_TOPIC = Topic("bad", (("event_id", "bigint"), ("k", "int"), ("ts", "bigint")), ("event_id",))
+
+
 def _json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = Topic("bad", (("event_id", "bigint"), ("k", "int"), ("ts", "bigint")), ("event_id",))
     lines = _with_bad_lines(spark, sf_dir)
     # Of several values on a line the ingest takes the first, and an array has no fields, so
-    # these lines are left to the replay.
+    # these lines are left to the replay and to json_all_lines.
     single = lines.filter(~(F.col("event_id") % 11).isin(2, 6, 7))
-    return decode(single.select("value"), topic).select("event_id", "k")
+    return decode(single.select("value"), _BAD_TOPIC).select("event_id", "k")
+
+
+def _json_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines decoded: the first of several objects; an array is no object and is skipped."""
+    lines = _with_bad_lines(spark, sf_dir)
+    return decode(lines.select("value"), _BAD_TOPIC).select("event_id", "k")
 
 
 def _replay_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,6 +558,7 @@ def _registered() -> dict[str, Query]:
         "top_songs_top1": _star_model(lambda s: ranking.top_n(gold.top_songs_daily(s), 1)),
         "presented_order": _presented_order,
         "json_bad_lines": _json_bad_lines,
+        "json_all_lines": _json_all_lines,
         "replay_bad_lines": _replay_bad_lines,
         "replay_order": _replay_order,
         "stream_restart": _stream_restart,

@@ -352,6 +352,11 @@ def _more() -> dict[str, str]:
             select="""SELECT event_id, event_id::INT AS k FROM lines
             WHERE kind NOT IN (1, 2, 3, 4, 5, 6, 7)""",
         ),
+        "json_all_lines": _with(
+            _BAD_LINES,
+            select="""SELECT event_id, event_id::INT AS k FROM lines
+            WHERE kind NOT IN (1, 3, 4, 5, 6)""",
+        ),
         "replay_bad_lines": _with(
             _BAD_LINES,
             select="""SELECT event_id::VARCHAR AS key, 'auth-events' AS topic, event_id AS ts,
