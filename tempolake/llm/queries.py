@@ -16,6 +16,7 @@ from tempolake.llm import (
     language,
     near_vectors,
     packing,
+    quality,
     toxicity,
     wrapper,
 )
@@ -106,6 +107,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = language.held_out("doc_id", 4, 2)
+    model = quality.train(documents, labels.filter(~held_out))
+    found = quality.score(documents, model, threshold=0.7, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 _OP9 = r"""
 WITH turns AS (
     SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -136,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_chat_format": op9_chat_format,
         "op10_html_extraction": op10_html_extraction,
+        "op11_quality": op11_quality,
     }
 
 
