@@ -15,6 +15,7 @@ from tempolake.llm import (
     jaccard,
     language,
     near_vectors,
+    negatives,
     packing,
     quality,
     toxicity,
@@ -116,6 +117,12 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 _OP9 = r"""
 WITH turns AS (
     SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -133,6 +140,30 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
+_OP13 = """
+WITH moved AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM moved a JOIN moved b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT
+           AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -147,9 +178,10 @@ def queries() -> dict[str, Query]:
         "op9_chat_format": op9_chat_format,
         "op10_html_extraction": op10_html_extraction,
         "op11_quality": op11_quality,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express on whole tables."""
-    return {"op9_chat_format": _OP9}
+    return {"op9_chat_format": _OP9, "op13_hard_negatives": _OP13}
