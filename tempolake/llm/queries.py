@@ -18,6 +18,7 @@ from tempolake.llm import (
     negatives,
     packing,
     quality,
+    structure,
     toxicity,
     wrapper,
 )
@@ -117,6 +118,11 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return structure.reports(structure.damaged(turns), turns.select("conv_id"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -140,6 +146,99 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
+#: The least (cost, audit, text) by last role after each row; CRC-32 by a table of bytes.
+_OP12 = r"""
+WITH RECURSIVE bits(i, c, step) AS (
+    SELECT i, i, 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1
+    FROM bits WHERE step < 8
+), names AS (
+    SELECT DISTINCT coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+    FROM conversations
+), crc(name, pos, c) AS (
+    SELECT name, 0, 4294967295 FROM names
+    UNION ALL
+    SELECT crc.name, pos + 1, xor(crc.c // 256, bits.c)
+    FROM crc JOIN bits ON step = 8 AND i = xor(crc.c % 256, ascii(substr(crc.name, pos + 1, 1)))
+    WHERE pos < length(crc.name)
+), kinds AS (
+    SELECT name, xor(c, 4294967295) % 20 AS kind FROM crc WHERE pos = length(name)
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+           CASE WHEN kind = 1 THEN ''
+                WHEN kind = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+                ELSE coalesce(text, ' ') END AS text
+    FROM conversations
+    JOIN kinds ON name = coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')
+    JOIN range(2) copies(copy) ON kind <> 0 AND (copy = 0 OR kind = 3)
+), placed AS (
+    SELECT *, substr(role, 1, 1) AS g, 
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+               AS i
+    FROM damaged
+), faulty AS (
+    SELECT *, cut = '' AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+           right(cut, 1) NOT IN ('.', '!', '?') AS open,
+           coalesce(lag(g) OVER (PARTITION BY conv_id ORDER BY i) || g NOT IN ('su', 'ua', 'au'),
+                    FALSE) AS illegal
+    FROM placed
+), coded AS (
+    SELECT conv_id, i, role || ':' || text || chr(10) AS line, text || chr(10) AS body, g,
+           NOT blank AND NOT seen AS stays, (open AND NOT blank AND NOT seen)::INT AS extra
+    FROM faulty
+), walk(conv_id, i, n, s, u, a) AS (
+    SELECT DISTINCT conv_id, 0::BIGINT, {'c': 0, 'e': '', 't': ''}, {'c': 9999999, 'e': '', 't': ''},
+           {'c': 2, 'e': 'I', 't': 'user:' || chr(10)},
+           {'c': 4, 'e': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}
+    FROM coded
+    UNION ALL
+    SELECT conv_id, i, n, s, v,
+           list_min([a, {'c': v.c + 2, 'e': v.e || 'I', 't': v.t || 'assistant:' || chr(10)}])
+    FROM (
+        SELECT conv_id, i, n, s, a,
+               list_min([u] || [{'c': x.c + 2, 'e': x.e || 'I', 't': x.t || 'user:' || chr(10)}
+                                FOR x IN [n, s, a]]) AS v
+        FROM (
+            SELECT w.conv_id, r.i,
+                   {'c': n.c + 3, 'e': n.e || 'D', 't': n.t} AS n,
+                   list_min([{'c': s.c + 3, 'e': s.e || 'D', 't': s.t}]
+                     || [{'c': x.c + extra, 'e': x.e || 'K', 't': x.t || line}
+                         FOR x IN [n] IF stays AND g = 's']) AS s,
+                   list_min([{'c': u.c + 3, 'e': u.e || 'D', 't': u.t}]
+                     || [{'c': x.c + extra, 'e': x.e || 'K', 't': x.t || line}
+                         FOR x IN [n, s, a] IF stays AND g = 'u']
+                     || [{'c': x.c + 2 + extra, 'e': x.e || 'R', 't': x.t || 'user:' || body}
+                         FOR x IN [n, s, a] IF stays]) AS u,
+                   list_min([{'c': a.c + 3, 'e': a.e || 'D', 't': a.t}]
+                     || [{'c': x.c + extra, 'e': x.e || 'K', 't': x.t || line}
+                         FOR x IN [u] IF stays AND g = 'a']
+                     || [{'c': x.c + 2 + extra, 'e': x.e || 'R', 't': x.t || 'assistant:' || body}
+                         FOR x IN [u] IF stays]) AS a
+            FROM walk w JOIN coded r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+        )
+    )
+), ends AS (
+    SELECT conv_id, arg_max(list_min([n, a]), i) AS best FROM walk GROUP BY conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate,
+           count(*) FILTER (open AND NOT blank AND NOT seen) AS truncated,
+           count(*) FILTER (illegal) AS illegal
+    FROM faulty GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.e, '') AS audit,
+       sha256(coalesce(left(best.t, length(best.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 _OP13 = """
 WITH moved AS (
     SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
@@ -178,10 +277,15 @@ def queries() -> dict[str, Query]:
         "op9_chat_format": op9_chat_format,
         "op10_html_extraction": op10_html_extraction,
         "op11_quality": op11_quality,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express on whole tables."""
-    return {"op9_chat_format": _OP9, "op13_hard_negatives": _OP13}
+    return {
+        "op9_chat_format": _OP9,
+        "op12_conversation_repair": _OP12,
+        "op13_hard_negatives": _OP13,
+    }
