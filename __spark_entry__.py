@@ -328,11 +328,14 @@ _BAD_TOPIC = Topic("bad", (("event_id", "bigint"), ("k", "int"), ("ts", "bigint"
 
 
 def _json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of line: how many come through the decoding, and the ids among them."""
     lines = _with_bad_lines(spark, sf_dir)
-    # Of several values on a line the ingest takes the first, and an array has no fields, so
-    # these lines are left to the replay and to json_all_lines.
-    single = lines.filter(~(F.col("event_id") % 11).isin(2, 6, 7))
-    return decode(single.select("value"), _BAD_TOPIC).select("event_id", "k")
+    decoded = decode(lines.select("value"), _BAD_TOPIC).withColumn("kind", F.col("event_id") % 11)
+    return decoded.groupBy("kind").agg(
+        F.count("*").alias("rows"),
+        F.count("k").alias("with_k"),
+        F.count_distinct("event_id").alias("events"),
+    )
 
 
 def _json_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
