@@ -135,6 +135,11 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """The least vector of every vec_id, whichever order the rows come in."""
+    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def search(
     table: DataFrame,
     queries: DataFrame,
@@ -150,14 +155,14 @@ def search(
     results. Returns query_id, rank from 1, vec_id and score, the Euclidean distance in double
     precision; ties go to the smaller vec_id. Vectors that are null, zero or hold null or
     non-finite components, and rows without vec_id, take no part; vectors are compared with
-    those of their own length. Rows that repeat a vec_id count once. With fewer than ``k``
-    other vectors all are returned, and none for an empty table. Other columns are ignored.
+    those of their own length. Of several usable vectors with one vec_id the least one counts,
+    as a row and as a query. With fewer than ``k`` other vectors all are returned, and none for an empty table. Other columns are ignored.
     """
     spark = table.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     everything = vectors.rows(table)
     kind = vectors.dtype(everything)
-    valid = vectors.usable(everything).dropDuplicates(["vec_id"])
+    valid = _one_per_id(vectors.usable(everything))
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     # Of equal vectors only the k + 1 smallest ids can be results.
     listed = valid.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1)
@@ -169,7 +174,9 @@ def search(
     size = index.agg(F.count("*"), F.avg(_length())).first()
     # Rounded: the order in which an average adds up must not decide buckets.
     unit = float(f"{size[1] or 1.0:.4g}") * width
-    asked = vectors.usable(vectors.rows(queries)).dropDuplicates(["vec_id"])
+    # A query is the row that its vec_id stands for in the table.
+    ids = vectors.rows(queries).select("vec_id").distinct()
+    asked = valid.join(ids, "vec_id", "left_semi")
     asked = scratch.written(
         asked.select(
             F.col("vec_id").alias("id"), "embedding", F.size("embedding").alias("dim")

@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempolake.llm import scratch
@@ -42,6 +42,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _NAMES = uuid.UUID("6f0e7c1e-5d0b-5a57-9d5c-6a1f4be0a4f1")
+#: Parts that the records of one payload are dealt into.
+SALTS = 16
 _ID_MARK = "#page_id="
 
 RECORD = (
@@ -268,8 +270,9 @@ def _read(spark: SparkSession, path: str, schema: str, names: list[str], rows_of
 
 
 def page_uri(url: str | None, page_id: int | None) -> str:
-    """A URI without blanks that carries the page's id."""
+    """A URI without blanks that carries the page's id; a mark in the URL itself is escaped."""
     escaped = quote(url or "about:blank", safe="!#$%&'()*+,/:;=?@[]~", errors="surrogatepass")
+    escaped = escaped.replace(_ID_MARK, quote(_ID_MARK, safe="="))
     return escaped if page_id is None else f"{escaped}{_ID_MARK}{page_id}"
 
 
@@ -316,8 +319,14 @@ def read_arc_records(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, RECORD, names, rows_of)
 
 
-def to_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Writes ``RECORD`` rows as WARC files, equal payloads once.
+def _all_salts() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+
+
+def to_warc(
+    records: DataFrame, path: str, least_bytes: int = 0, date: str = "20240101000000"
+) -> None:
+    """Writes ``RECORD`` rows as WARC files, converted at ``date``, equal payloads once.
 
     Of records with equal payloads of at least ``least_bytes`` bytes the one with the largest
     page_id is the response, the others revisit it; smaller ones are all responses. Records
@@ -331,9 +340,11 @@ def to_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
             F.max(F.struct("page_id", "url", "date")).alias("kept"),
         )
         .filter("copies > 1")
-        .select("digest", "kept")
+        .select("digest", "kept", _all_salts().alias("salt"))
     )
-    joined = records.join(many, "digest", "left").select(
+    # Many pages may share a payload, such as the empty one: its few facts go to all salts.
+    salted = records.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    joined = salted.join(many, ["digest", "salt"], "left").select(
         *[f.split()[0] for f in RECORD.split(", ")],
         F.col("kept.page_id").alias("kept_id"),
         F.col("kept.url").alias("kept_url"),
@@ -347,7 +358,7 @@ def to_warc(records: DataFrame, path: str, least_bytes: int = 0) -> None:
             [
                 ("WARC-Type", "warcinfo"),
                 ("WARC-Record-ID", record_id(name, "", sha1_base32(about))),
-                ("WARC-Date", iso_date("")),
+                ("WARC-Date", iso_date(date)),
                 ("WARC-Filename", name),
                 ("Content-Type", "application/warc-fields"),
             ],
@@ -420,8 +431,11 @@ def read_warc_records(spark: SparkSession, path: str) -> DataFrame:
 def convert_pages(pages: DataFrame) -> DataFrame:
     """Pages written as ARC files, converted to WARC files and read back.
 
-    One row of ``PAGE_RECORD`` per row of ``pages``; repeated rows give a record each. An empty
-    table gives no rows; other columns are ignored.
+    One row of ``PAGE_RECORD`` per row of ``pages``; repeated rows give a record each, all of
+    the same type and id. Null pages are empty, null URLs about:blank, and rows without page_id
+    come back without it whatever their URL says. Of pages with equal payloads the one with the
+    largest page_id is the response; rows that share this page_id and payload are all responses.
+    An empty table gives no rows; other columns are ignored.
     """
     spark = pages.sparkSession
     arc, warc = scratch.folder(spark, "arc"), scratch.folder(spark, "warc")

@@ -104,3 +104,30 @@ def test_query_equals_brute_force(spark):
         assert (row.payload_bytes, row.payload_digest) == (len((p.html or "").encode()), key)
         assert row.refers_to == (None if kept == p.page_id else kept)
         assert row.record_type == ("response" if kept == p.page_id else "revisit")
+
+
+def test_marks_in_urls_and_shared_ids(spark):
+    pages = [
+        (None, "http://a/#page_id=abc", "one"), (None, "http://a/#page_id=7", "two"),
+        (7, "http://b/#page_id=9", "three"), (8, "http://c", "three"), (8, "http://c", "three"),
+        (8, "http://d", "three"),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = archive.convert_pages(frame).collect()
+    found = sorted((r.page_id or 0, r.record_type, r.refers_to or 0, r.payload_digest) for r in got)
+    three = digest("three")
+    assert found == sorted(
+        [(0, "response", 0, digest("one")), (0, "response", 0, digest("two"))]
+        + [(7, "revisit", 8, three)] + [(8, "response", 0, three)] * 3
+    )
+
+
+def test_a_payload_that_most_pages_share(spark):
+    frame = spark.range(3000).selectExpr(
+        "id AS page_id", "concat('http://h/', id) AS url", "if(id % 10 < 7, '', string(id)) AS html"
+    )
+    got = archive.convert_pages(frame).collect()
+    empty = [r for r in got if r.payload_bytes == 0]
+    assert len(empty) == 2100 and len(got) == 3000
+    assert {r.page_id for r in empty if r.record_type == "response"} == {2996}
+    assert {r.refers_to for r in empty if r.record_type == "revisit"} == {2996}

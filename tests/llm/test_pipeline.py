@@ -77,3 +77,43 @@ def test_registered():
     assert "pipeline" in names
     for number in range(1, 11):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
+
+
+def test_rows_that_differ_in_where_a_null_stands_both_stay(spark, documents):
+    schema = documents.schema
+    text = "one two three four five six seven"
+    rows = [
+        (1, text, None, "x", 3), (1, text, "x", None, 3), (1, text, "x", None, 3),
+        (None, text, None, None, 3), (None, text, None, None, 3), (None, text, None, None, None),
+        (2, None, None, None, None), (2, "", None, None, None), (None, None, None, None, None),
+    ]
+    frame = spark.createDataFrame(rows, schema)
+    got = corpus_pipeline.near_duplicates(spark, frame, FOLDER).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, set(rows)))
+
+
+def test_stages_take_odd_rows(spark, documents):
+    schema = documents.schema
+    odd = [
+        (None, None, None, None, None), (90_001, None, None, None, None), (90_002, "", None, None, 0),
+        (90_003, "¿?", None, None, 2), (90_004, "word " * 100_000, "en", "s", 500_000),
+        (90_004, "word " * 100_000, "en", "s", 500_000),
+    ]
+    rows = documents.unionByName(spark.createDataFrame(odd, schema))
+    toxic = corpus_pipeline.toxic(spark, rows, FOLDER)
+    assert toxic.filter("doc_id > 90000 OR doc_id IS NULL").count() == 6
+    packed = corpus_pipeline.pack(spark, spark.createDataFrame(odd, schema), FOLDER)
+    totals = packed.filter("doc_id = 90004").agg(F.sum("length"), F.max("doc_tokens")).first()
+    assert totals[0] == 2 * totals[1] > 2 * 100_000
+    lone = packed.filter("doc_id IN (90001, 90002) OR doc_id IS NULL").collect()
+    assert [(r.length, r.doc_tokens) for r in lone] == [(1, 1)] * 3
+    for stage in (corpus_pipeline.toxic, corpus_pipeline.near_duplicates, corpus_pipeline.pack):
+        assert stage(spark, documents.limit(0), FOLDER).count() == 0
+
+
+def test_short_foreign_texts_go_and_short_known_ones_stay(spark, documents):
+    texts = ["это другой", "другое слово здесь", "the", "of the", "x"]
+    rows = [(70_000 + i, t, None, None, len(t)) for i, t in enumerate(texts)]
+    more = documents.unionByName(spark.createDataFrame(rows, documents.schema))
+    kept = corpus_pipeline.language_id(spark, more, FOLDER).filter("doc_id >= 70000")
+    assert {r.doc_id - 70_000 for r in kept.collect()} == {2, 3, 4}

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from llm_words import words  # noqa: F401
+from pyspark.sql import functions as F
 
 from tempolake.llm import ann, components, jaccard, near_vectors
 
@@ -199,3 +200,14 @@ def test_recall(spark):
         assert len(found) == 10
         hits, total = hits + len(found & expected), total + 10
     assert hits / total >= 0.9
+
+
+def test_of_vectors_with_one_id_the_least_counts(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 9)] + [(3, [0.5, 1.0]), (3, [7.5, 1.0])]
+    rows += [(0, [4.0, 1.0]), (0, [8.0, 1.0]), (0, None)]
+    for seed in range(3):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").orderBy(F.rand(seed))
+        got = ann.search(frame, frame.filter("vec_id = 0"), k=3).collect()
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [
+            (4, 0.0), (5, 1.0), (2, 2.0),
+        ]
