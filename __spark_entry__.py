@@ -21,10 +21,12 @@ import oracles
 from tempolake import Pipeline, Warehouse, functions, require_utc
 from tempolake.operators import gold, quality, ranking, silver
 from tempolake.schemas import AUTH, LISTEN, PAGE_VIEW, STATUS_CHANGE, TOPICS, Topic
+from tempolake.plans.wap import ChangedDays
 from tempolake.session import scratch_dir
 from tempolake.sources import bronze, files, kafka, testdata
 from tempolake.streaming.decode import decode
-from tempolake.streaming.ingest import await_all, start_all, start_ingest
+from tempolake.streaming import replay
+from tempolake.streaming.ingest import await_all, start_all, start_counted_ingest, start_ingest
 
 try:
     import corpus_pipeline
@@ -402,6 +404,172 @@ def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, "run int, table_name string, rows bigint")
 
 
+DAY_MS = 86_400_000
+
+
+def _staged(spark: SparkSession, sf_dir: str, topic: Topic, folder: str, days: int) -> str:
+    """A topic's messages stored in slices of some days of event time."""
+    messages = _messages(testdata.event_tables(spark, sf_dir)[topic.name], topic).select(
+        kafka.message_key(F.col("userId")).alias("key"),
+        F.to_json(F.struct("*")).alias("value"),
+        F.lit(topic.bus_topic).alias("topic"),
+        "ts",
+    )
+    replay.stage_slices(messages, f"{folder}/staged", days * DAY_MS)
+    return f"{folder}/staged"
+
+
+def _sent_twice(spark: SparkSession, staged: str, folder: str) -> replay.Send:
+    """Sends each slice, and then the one before it once more."""
+    deliver = replay.to_files(folder)
+
+    def send(messages: DataFrame, number: int) -> None:
+        deliver(messages, number)
+        deliver(replay.read_slice(spark, staged, number - 1), number)
+
+    return send
+
+
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views of which all but the last days' come twice, over several triggers."""
+    folder = scratch_dir(spark, "dedup")
+    staged = _staged(spark, sf_dir, PAGE_VIEW, folder, 6)
+    replay.replay(spark, staged, _sent_twice(spark, staged, f"{folder}/lines"), 6 * DAY_MS)
+    table = bronze.FileSinkTable(spark, f"{folder}/bronze", PAGE_VIEW)
+    start_ingest(
+        files.stream_lines(spark, f"{folder}/lines", max_files=6),
+        table,
+        f"{folder}/checkpoint",
+        BACKFILL,
+        once="13 days",
+        state_partitions=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    return table.read()
+
+
+def _stream_dedup_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, stopped after every second slice: what the state forgot would come twice."""
+    folder = scratch_dir(spark, "dedup")
+    staged = _staged(spark, sf_dir, AUTH, folder, 8)
+    table = bronze.FileSinkTable(spark, f"{folder}/bronze", AUTH)
+    deliver, counts = _sent_twice(spark, staged, f"{folder}/lines"), []
+
+    def send(messages: DataFrame, number: int) -> None:
+        deliver(messages, number)
+        if number % 2 == 1:
+            run()
+
+    def run() -> None:
+        start_ingest(
+            files.stream_lines(spark, f"{folder}/lines"),
+            table,
+            f"{folder}/checkpoint",
+            BACKFILL,
+            once="17 days",
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+        rows = table.read()
+        counts.append((len(counts) + 1, rows.count(), rows.distinct().count()))
+
+    replay.replay(spark, staged, send, 8 * DAY_MS)
+    return spark.createDataFrame(counts, "run int, rows bigint, different bigint")
+
+
+def _ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lasting counts after two runs over good and bad lines."""
+    folder = scratch_dir(spark, "counts")
+    lines = _with_bad_lines(spark, sf_dir)
+    half = lines.agg(F.floor(F.max("event_id") / 2)).scalar()
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        lines.filter(part).select("value").write.mode("append").text(f"{folder}/lines")
+        table = bronze.BatchTable(spark, f"{folder}/bronze", AUTH)
+        source = files.stream_lines(spark, f"{folder}/lines")
+        start_counted_ingest(source, table, f"{folder}/checkpoint", BACKFILL).awaitTermination()
+    return bronze.BatchTable(spark, f"{folder}/bronze", AUTH).totals()
+
+
+def _paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays replayed in slices of five days, a trigger each: the times of every batch."""
+    folder = scratch_dir(spark, "paced")
+    staged = _staged(spark, sf_dir, LISTEN, folder, 5)
+    table = bronze.BatchTable(spark, f"{folder}/bronze", LISTEN)
+    deliver = replay.to_files(f"{folder}/lines")
+
+    def send(messages: DataFrame, number: int) -> None:
+        deliver(messages, number)
+        source = files.stream_lines(spark, f"{folder}/lines")
+        start_counted_ingest(source, table, f"{folder}/checkpoint", BACKFILL).awaitTermination()
+
+    replay.replay(spark, staged, send, 5 * DAY_MS)
+    times = table.batches().groupBy("batch_id").agg(
+        F.count("*").alias("rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    )
+    before = F.lag("last_ts").over(Window.orderBy("batch_id"))
+    return times.withColumn("overlaps", F.coalesce(F.col("first_ts") <= before, F.lit(False)))
+
+
+def _ingested(
+    spark: SparkSession, folder: str, rows: dict[str, DataFrame]
+) -> dict[str, bronze.BatchTable]:
+    """Raw tables with a ledger after one more batch of ``rows``."""
+    tables = {}
+    for name, part in rows.items():
+        topic = TOPICS[name]
+        _write_lines(_messages(part, topic), f"{folder}/lines/{name}")
+        tables[name] = bronze.BatchTable(spark, f"{folder}/bronze", topic)
+        source = files.stream_lines(spark, f"{folder}/lines/{name}")
+        start_counted_ingest(
+            source, tables[name], f"{folder}/checkpoint", BACKFILL
+        ).awaitTermination()
+    return tables
+
+
+def _after_late_events(
+    spark: SparkSession, sf_dir: str, topics: list[Topic], steps: Callable[[ChangedDays], object]
+) -> tuple[Warehouse, ChangedDays]:
+    """A full run, and one after late events of women on two days came in."""
+    folder = scratch_dir(spark, "changed")
+    events = testdata.event_tables(spark, sf_dir, blank_artist="Indie")
+    raw = {topic.name: events[topic.name] for topic in topics}
+    two_days = F.col("event_date").isin("2024-01-10", "2024-01-20")
+    late = two_days & (F.col("gender") == "F")
+    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    for part in (~late, late):
+        tables = _ingested(spark, folder, {name: rows.filter(part) for name, rows in raw.items()})
+        run = ChangedDays(warehouse, tables)
+        steps(run)
+    return warehouse, run
+
+
+def _changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User activity after late events, and whether a row's file is of the second run."""
+    topics = [LISTEN, PAGE_VIEW, STATUS_CHANGE]
+
+    def steps(run: ChangedDays) -> None:
+        run.write_silver(*[f"silver_{topic.name}" for topic in topics])
+        run.audit_silver()
+        run.publish_silver()
+        run.build_gold("gold_user_activity_daily")
+
+    warehouse, run = _after_late_events(spark, sf_dir, topics, steps)
+    rows = warehouse.read("gold", "gold_user_activity_daily", origin="file")
+    rebuilt = F.col("file").contains(f"run_id={run.run_id}/").alias("rebuilt")
+    return rows.select(*[c for c in rows.columns if c != "file"], rebuilt)
+
+
+def _changed_days_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table after late events, and how many the second run wrote."""
+    warehouse, run = _after_late_events(spark, sf_dir, list(TOPICS.values()), ChangedDays.run)
+    parts = []
+    for layer in ("silver", "gold"):
+        tables = warehouse.read_all(layer, warehouse.published(layer), origin="file")
+        for name, rows in tables.items():
+            new = F.count_if(F.col("file").contains(f"run_id={run.run_id}/")).alias("new_rows")
+            counts = rows.agg(F.count("*").alias("rows"), new)
+            parts.append(counts.select(F.lit(name).alias("table_name"), "rows", "new_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _bronze_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     listens = _event_silver(spark, sf_dir)["silver_listen_events"]
     days = bronze.between(listens, "2024-01-10", "2024-01-12")
@@ -550,6 +718,12 @@ def _registered() -> dict[str, Query]:
         "replay_messages": _replay_messages,
         **{f"stream_ingest_{name}": _stream_ingest(name) for name in TOPICS},
         "stream_rejects": _stream_rejects,
+        "stream_dedup": _stream_dedup,
+        "stream_dedup_restart": _stream_dedup_restart,
+        "ingest_counts": _ingest_counts,
+        "paced_replay": _paced_replay,
+        "changed_days": _changed_days,
+        "changed_days_tables": _changed_days_tables,
         "bronze_between": _bronze_between,
         "silver_dedup": _silver_dedup,
         "wap_run": _wap_run,

@@ -325,6 +325,38 @@ def _rows(tables: dict[str, str], count: str = "count(*)") -> str:
     )
 
 
+def _late(table: str) -> str:
+    """The days for which late events came in."""
+    return (
+        f"(SELECT event_date FROM {table} WHERE gender = 'F' "
+        "AND event_date IN (DATE '2024-01-10', DATE '2024-01-20'))"
+    )
+
+
+def _rebuilt(table: str, late: str) -> str:
+    """A table's rows, and those a run of the changed days writes anew."""
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS rows, count(*) FILTER ({late}) AS new_rows "
+        f"FROM {table}"
+    )
+
+
+_CHANGED_DAYS = "\nUNION ALL ".join(
+    [
+        *[_rebuilt(f"silver_{t}", f"event_date IN {_late(t)}") for t in _TOPICS],
+        *[
+            _rebuilt(f"gold_{t}", f"event_date IN {_late('listen_events')}")
+            for t in ("daily_listening_stats", "top_artists_daily", "top_songs_daily")
+        ],
+        _rebuilt("gold_user_activity_daily", f"event_date IN {_late('page_view_events')}"),
+        *[
+            _rebuilt(f"gold_{t}", f"EXISTS {_late('listen_events')}")
+            for t in ("hourly_listening_heatmap", "qoq_listener_growth")
+        ],
+    ]
+)
+
+
 def _more() -> dict[str, str]:
     """Missing times, bad lines, order, restarts and the steps of the flow one by one."""
     undated = {
@@ -348,6 +380,41 @@ def _more() -> dict[str, str]:
               row_number() OVER (ORDER BY day_of_week, hour_of_day) AS position
             FROM gold_hourly_listening_heatmap""",
         ),
+        "stream_dedup": _on_events(
+            select=f"SELECT DISTINCT {_BRONZE['page_view_events']} FROM page_view_events"
+        ),
+        "stream_dedup_restart": _on_events(
+            select=f"""SELECT (slice // 2 + 1)::INT AS run,
+              sum(sum(n)) OVER (ORDER BY slice // 2)::BIGINT AS rows,
+              sum(sum(n)) OVER (ORDER BY slice // 2)::BIGINT AS different
+            FROM (
+              SELECT (ts - (SELECT min(ts) FROM auth_events)) // 691200000 AS slice, count(*) AS n
+              FROM (SELECT DISTINCT {_BRONZE['auth_events']} FROM auth_events) GROUP BY 1)
+            GROUP BY slice // 2"""
+        ),
+        "ingest_counts": _with(
+            _BAD_LINES,
+            select="""SELECT 2::BIGINT AS batches, count(*) FILTER (kind <> 1) AS lines,
+              count(*) FILTER (kind IN (3, 4, 5, 6)) AS malformed, 0::BIGINT AS rejected,
+              count(*) FILTER (kind NOT IN (1, 3, 4, 5, 6)) AS rows
+            FROM lines""",
+        ),
+        "paced_replay": _on_events(
+            select="""SELECT batch_id, rows, first_ts, last_ts,
+              coalesce(first_ts <= lag(last_ts) OVER (ORDER BY batch_id), FALSE) AS overlaps
+            FROM (
+              SELECT dense_rank() OVER (ORDER BY slice) - 1 AS batch_id, count(*) AS rows,
+                min(ts) AS first_ts, max(ts) AS last_ts
+              FROM (SELECT ts, (ts - min(ts) OVER ()) // 432000000 AS slice FROM listen_events)
+              GROUP BY slice)"""
+        ),
+        "changed_days": _on_events(
+            _ACTIVITY,
+            blank="'Indie'",
+            select=f"""SELECT *, event_date IN {_late('page_view_events')} AS rebuilt
+            FROM gold_user_activity_daily""",
+        ),
+        "changed_days_tables": _on_events(*_GOLD, blank="'Indie'", select=_CHANGED_DAYS),
         "json_bad_lines": _with(
             _BAD_LINES,
             select="""SELECT kind, count(*) AS rows, count(event_id) AS with_k,

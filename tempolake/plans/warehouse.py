@@ -1,15 +1,23 @@
 """Tables on shared storage: every build goes to its own run folder, readers follow a pointer.
 
 ``<root>/<layer>/run_id=<n>/<table>/`` holds the data. ``<root>/<layer>_published`` is an
-append-only list of (table, run_id, location, sequence) rows; the run of a table that was
-published last is the current one. Publishing appends one file with all tables of a run, so they become visible
-together, nothing is copied, and readers of the previous run are not disturbed.
+append-only list of (table, run_id, location, sequence, days, batch) rows; the run of a table that
+was published last is the current one. Publishing appends one file with all tables of a run, so
+they become visible together, nothing is copied, and readers of the previous run are not disturbed.
+
+A run that built some days only is published for these ``days``: the others stay with the runs
+that built them. Unlike an overwrite of partitions in place, this leaves no moment in which a
+reader sees some of the new days, or none of a day. ``batch`` says up to which batch of the ingest
+a table was built.
 """
 
 from __future__ import annotations
 
+import datetime
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +32,39 @@ class NotPublished(LookupError):
     """The table has no published run yet."""
 
 
+Day = datetime.date | None
+
+
+def on_days(days: Iterable[Day]) -> str:
+    """The condition that a row's event_date is one of ``days``, None being no date."""
+    known = sorted(d for d in days if d is not None)
+    parts = [f"event_date IN ({', '.join(f'DATE {str(d)!r}' for d in known)})"] if known else []
+    if None in days:
+        parts.append("event_date IS NULL")
+    return f"({' OR '.join(parts)})" if parts else "FALSE"
+
+
+@dataclass(frozen=True)
+class Part:
+    """The days of a table that one run built: ``days``, or all but ``other``."""
+
+    location: str
+    days: tuple[Day, ...] | None
+    other: tuple[Day, ...] = ()
+
+    @property
+    def condition(self) -> str | None:
+        if self.days is not None:
+            return on_days(self.days)
+        # Not true or unknown: rows without a date are kept unless None is among the others.
+        return f"NOT coalesce({on_days(self.other)}, FALSE)" if self.other else None
+
+
 class Warehouse:
-    _POINTER = "table string, run_id bigint, location string, sequence bigint"
+    _POINTER = (
+        "table string, run_id bigint, location string, sequence bigint, "
+        "days array<date>, batch bigint"
+    )
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -71,44 +110,108 @@ class Warehouse:
         schema = schema_of(self.spark, table)
         return self.spark.read.schema(schema).parquet(location).select(*schema.names)
 
+    def _load_parts(self, parts: list[Part], table: str, origin: str | None) -> DataFrame:
+        rows = []
+        for part in parts:
+            own = self._load(part.location, table)
+            if part.condition:
+                own = own.filter(part.condition)
+            if origin:
+                own = own.select("*", F.col("_metadata.file_path").alias(origin))
+            rows.append(own)
+        return reduce(DataFrame.unionByName, rows)
+
     def read_run(self, layer: str, run_id: int, table: str) -> DataFrame:
         return self._load(self.path(layer, run_id, table), table)
 
     def publish(
-        self, layer: str, run_id: int, tables: Iterable[str], built_in: str | None = None
+        self,
+        layer: str,
+        run_id: int,
+        tables: Iterable[str],
+        built_in: str | None = None,
+        days: Mapping[str, Iterable[Day]] | None = None,
+        batches: Mapping[str, int] | None = None,
     ) -> None:
         """Make a run's tables the current ones of ``layer``, all at once.
 
         ``built_in`` names the layer they were written to, if another (a staging layer). An
-        older run that is published again becomes current again.
+        older run that is published again becomes current again. Tables in ``days`` are
+        replaced for these days only. ``batches`` notes the batch a table was built up to.
         """
         now = time.time_ns()
-        rows = [(t, run_id, self.path(built_in or layer, run_id, t), now) for t in tables]
+        rows = [
+            (
+                t,
+                run_id,
+                self.path(built_in or layer, run_id, t),
+                now,
+                list(days[t]) if days and t in days else None,
+                (batches or {}).get(t),
+            )
+            for t in tables
+        ]
         entries = self.spark.createDataFrame(rows, self._POINTER)
         entries.coalesce(1).write.mode("append").parquet(f"{self.root}/{layer}_published")
 
-    def published(self, layer: str) -> dict[str, str]:
-        """Folder of the current version of each table of a layer (a handful of rows)."""
+    def _log(self, layer: str) -> DataFrame:
         try:
-            log = self.spark.read.schema(self._POINTER).parquet(f"{self.root}/{layer}_published")
+            return self.spark.read.schema(self._POINTER).parquet(f"{self.root}/{layer}_published")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
+                return self.spark.createDataFrame([], self._POINTER)
             raise
-        order = F.struct("sequence", "run_id")
-        newest = log.groupBy("table").agg(F.max_by("location", order).alias("location"))
-        return {r.table: r.location for r in newest.collect()}
 
-    def read_all(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-        """The current versions of several tables, as of one moment."""
+    def published(self, layer: str) -> dict[str, list[Part]]:
+        """The parts of the current version of each table of a layer.
+
+        Collects the publications since each table's last full one, a handful of rows.
+        """
+        order = F.struct("sequence", "run_id")
+        log = self._log(layer)
+        full = log.filter("days IS NULL").groupBy("table").agg(F.max(order).alias("full"))
+        since = log.join(full, "table").filter(F.struct("sequence", "run_id") >= F.col("full"))
+        found: dict[str, list[Part]] = {}
+        for entry in since.orderBy(F.desc("sequence"), F.desc("run_id")).collect():
+            parts = found.setdefault(entry.table, [])
+            newer = [d for part in parts for d in part.days]
+            if entry.days is None:
+                parts.append(Part(entry.location, None, tuple(newer)))
+            else:
+                own = tuple(d for d in entry.days if d not in newer)
+                if own:
+                    parts.append(Part(entry.location, own))
+        return found
+
+    def built_upto(self, layer: str, table: str) -> int:
+        """The batch of the ingest up to which a table was built; -1 if there is none."""
+        last = self._log(layer).filter(F.col("table") == table).agg(F.max("batch")).first()[0]
+        return -1 if last is None else last
+
+    def read_all(
+        self, layer: str, tables: Iterable[str], origin: str | None = None
+    ) -> dict[str, DataFrame]:
+        """The current versions of several tables, as of one moment.
+
+        ``origin`` names an additional column with the file that a row comes from.
+        """
         current = self.published(layer)
         missing = [t for t in tables if t not in current]
         if missing:
             raise NotPublished(f"{layer}: {', '.join(missing)}")
-        return {t: self._load(current[t], t) for t in tables}
+        return {t: self._load_parts(current[t], t, origin) for t in tables}
+
+    def read(self, layer: str, table: str, origin: str | None = None) -> DataFrame:
+        return self.read_all(layer, [table], origin)[table]
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.read_all(layer, [table])[table]
+    def compact(self, layer: str, table: str, run_id: int) -> None:
+        """Write the current version of a table that is stored by day as one run.
+
+        Every publication of some days adds a part that readers have to union; this starts anew.
+        """
+        batch = self.built_upto(layer, table)
+        self.write(self.read(layer, table), layer, run_id, table, by_day=True, rebalance=True)
+        self.publish(layer, run_id, [table], batches={table: batch})
 
     def copy(self, source: tuple[str, int, str], target: tuple[str, int, str]) -> None:
         """Force-copy a table: the target is replaced in full."""
@@ -121,12 +224,16 @@ class Warehouse:
         """Expose the current tables to SQL as ``<layer>.<table>``; rerun after publishing."""
         self.create_layers([layer])
         current = self.published(layer)
-        for table, location in current.items():
+        for table, parts in current.items():
             columns = "*"
             if table in MODELS:
                 columns = ", ".join(f"`{c}`" for c in schema_of(self.spark, table).names)
+            selects = [
+                f"SELECT {columns} FROM parquet.`{part.location}`"
+                + (f" WHERE {part.condition}" if part.condition else "")
+                for part in parts
+            ]
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {layer}.{table} AS "
-                f"SELECT {columns} FROM parquet.`{location}`"
+                f"CREATE OR REPLACE VIEW {layer}.{table} AS {' UNION ALL '.join(selects)}"
             )
         return sorted(current)

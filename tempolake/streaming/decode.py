@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +43,13 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def decode(lines: DataFrame, topic: Topic) -> DataFrame:
+def decode(lines: DataFrame, topic: Topic, counts: Observation | None = None) -> DataFrame:
     """Typed message fields of a (streaming or batch) DataFrame with a ``value`` column.
 
     Blank and unparsable lines are skipped, a field of the wrong type becomes NULL. The
     counts of lines read, malformed lines and rows without a usable time are observed
-    under the topic's name, so they show up in the query progress. (Observing between
-    parse and filter also keeps the filter from parsing every line a second time.)
+    under the topic's name, so they show up in the query progress, or by ``counts``. (Observing
+    between parse and filter also keeps the filter from parsing every line a second time.)
     """
     names = [n for n, _ in topic.fields]
     text = F.col("value").cast("string").alias("value")
@@ -59,7 +59,7 @@ def decode(lines: DataFrame, topic: Topic) -> DataFrame:
     corrupt = F.col(f"_row.{_CORRUPT}").isNotNull() | F.col("_row").isNull()
     ts = _typed(F.col("_row.ts"), T.LongType())
     counted = parsed.observe(
-        topic.name,
+        counts or topic.name,
         F.count("*").alias("lines"),
         F.count_if(corrupt).alias("malformed"),
         F.count_if(~corrupt & valid_ms(ts).isNull()).alias("rejected"),
@@ -69,18 +69,39 @@ def decode(lines: DataFrame, topic: Topic) -> DataFrame:
     )
 
 
-def to_bronze(messages: DataFrame, topic: Topic, watermark: str | None = None) -> DataFrame:
+def to_bronze(
+    messages: DataFrame, topic: Topic, watermark: str | None = None, once: bool = False
+) -> DataFrame:
     """Raw-table columns, in order, with the UTC ``event_date`` of the event time.
 
     A message without a usable ``ts`` keeps a NULL date: the sink files it under the NULL
-    partition, the rejects. ``watermark`` declares the event-time watermark; the job holds
-    no state, so no late row is ever dropped.
+    partition, the rejects. ``watermark`` declares the event-time watermark. Without ``once``
+    the job holds no state, so no late row is ever dropped.
+
+    With ``once`` an event that comes again within the watermark's delay is dropped: equal
+    events meet at a hash of all their fields, which is all the state holds, until the watermark
+    passes their time. Events older than the watermark are dropped, too (the query progress
+    counts them); rejects have no time to forget them by and all stay.
     """
     ts = valid_ms(F.col("ts"))
     rows = messages.withColumn("event_time", event_time(ts)).withColumn(
         "event_date", utc_date(ts)
     )
-    if watermark:
-        rows = rows.withWatermark("event_time", watermark)
     renamed = rows.withColumnsRenamed(dict(topic.renames))
+    if once:
+        return _once(renamed, topic, watermark or WATERMARK_DELAY)
+    if watermark:
+        renamed = renamed.withWatermark("event_time", watermark)
     return renamed.select(*topic.bronze_columns)
+
+
+def _once(rows: DataFrame, topic: Topic, watermark: str) -> DataFrame:
+    fields = F.to_json(F.struct(*topic.bronze_columns))
+    dated = (
+        rows.filter(F.col("event_time").isNotNull())
+        .withWatermark("event_time", watermark)
+        .withColumn("_event", F.unhex(F.sha2(fields, 256)))
+        .dropDuplicatesWithinWatermark(["_event"])
+    )
+    undated = rows.filter(F.col("event_time").isNull())
+    return dated.select(*topic.bronze_columns).union(undated.select(*topic.bronze_columns))
