@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 import oracles
 from tempolake import Pipeline, Warehouse, functions, require_utc
-from tempolake.operators import gold, quality, ranking, silver
+from tempolake.operators import gold, quality, ranking, sets, silver
+from tempolake.operators.intervals import join_ranges
 from tempolake.schemas import AUTH, LISTEN, PAGE_VIEW, STATUS_CHANGE, TOPICS, Topic
 from tempolake.plans.wap import ChangedDays
 from tempolake.session import scratch_dir
@@ -110,6 +111,62 @@ def _star_model(model: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: model(_star_silver(spark, sf_dir))
 
 
+def _top(model: Callable[..., DataFrame], n: int) -> Query:
+    return _star_model(lambda silver: ranking.top_n(model(silver, n), n))
+
+
+def _stored_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listeners of every hour, stored; queries of them don't read plays."""
+    path = f"{scratch_dir(spark, 'sets')}/listener_sets"
+    sets.listener_sets(_star_silver(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _qoq_from_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.qoq_growth_of_sets(_stored_sets(spark, sf_dir))
+
+
+def _listeners_from_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different listeners per day, per cell of the heatmap and per year."""
+    stored = _stored_sets(spark, sf_dir)
+    weekday = functions.day_of_week(F.col("event_date")).alias("day_of_week")
+    spans = {
+        "day": ["event_date"],
+        "cell": [weekday, "hour_of_day"],
+        "year": [F.year("event_date").alias("year")],
+    }
+    parts = []
+    for span, keys in spans.items():
+        counted = sets.count_members(stored, keys, "unique_listeners")
+        names = counted.columns[:-1]
+        key = F.concat_ws(" ", *[F.col(c).cast("string") for c in names])
+        parts.append(counted.select(F.lit(span).alias("span"), key.alias("key"), "unique_listeners"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cohort_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays and days per cohort and quarter, clipped to the span of each user's orders."""
+    spans = (
+        testdata.table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").cast("int").alias("userId"))
+        .agg(
+            F.to_date(F.min("o_orderdate")).alias("start"),
+            F.to_date(F.max("o_orderdate")).alias("end"),
+        )
+    )
+    calendar = functions.quarter_ranges(F.col("start"), F.col("end"))
+    ranges = spans.select("userId", F.inline(calendar))
+    plays = testdata.star_listens(spark, sf_dir).select("userId", "event_date")
+    labelled = join_ranges(plays, ranges, "event_date", "range_start", "range_end", ["userId"])
+    cohort = functions.cohort(F.col("userId"), control_users=700).alias("cohort")
+    return labelled.groupBy(cohort, "label").agg(
+        F.count("*").alias("plays"),
+        F.count_distinct("userId").alias("users"),
+        F.min("event_date").alias("first_day"),
+        F.max("event_date").alias("last_day"),
+    )
+
+
 def _undated_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _silver_of(testdata.event_tables(spark, sf_dir, undated=True))
 
@@ -691,8 +748,8 @@ def _registered() -> dict[str, Query]:
         "daily_listening_stats": _star_model(gold.daily_listening_stats),
         "top_artists_daily": _star_model(gold.top_artists_daily),
         "top_songs_daily": _star_model(gold.top_songs_daily),
-        "top_artists_top3": _star_model(lambda s: ranking.top_n(gold.top_artists_daily(s), 3)),
-        "top_songs_top10": _star_model(lambda s: ranking.top_n(gold.top_songs_daily(s), 10)),
+        "top_artists_top3": _top(gold.top_artists_daily, 3),
+        "top_songs_top10": _top(gold.top_songs_daily, 10),
         "hourly_listening_heatmap": _star_model(gold.hourly_listening_heatmap),
         "qoq_listener_growth": _star_model(gold.qoq_listener_growth),
         "daily_listening_stats_events": _event_gold_model("gold_daily_listening_stats"),
@@ -724,6 +781,9 @@ def _registered() -> dict[str, Query]:
         "paced_replay": _paced_replay,
         "changed_days": _changed_days,
         "changed_days_tables": _changed_days_tables,
+        "qoq_from_sets": _qoq_from_sets,
+        "listeners_from_sets": _listeners_from_sets,
+        "cohort_quarters": _cohort_quarters,
         "bronze_between": _bronze_between,
         "silver_dedup": _silver_dedup,
         "wap_run": _wap_run,
@@ -732,7 +792,7 @@ def _registered() -> dict[str, Query]:
         "undated_songs": _undated_gold("gold_top_songs_daily"),
         "undated_activity": _undated_gold("gold_user_activity_daily"),
         "dq_undated": _dq_undated,
-        "top_songs_top1": _star_model(lambda s: ranking.top_n(gold.top_songs_daily(s), 1)),
+        "top_songs_top1": _top(gold.top_songs_daily, 1),
         "presented_order": _presented_order,
         "json_bad_lines": _json_bad_lines,
         "json_all_lines": _json_all_lines,

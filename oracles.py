@@ -415,6 +415,35 @@ def _more() -> dict[str, str]:
             FROM gold_user_activity_daily""",
         ),
         "changed_days_tables": _on_events(*_GOLD, blank="'Indie'", select=_CHANGED_DAYS),
+        "qoq_from_sets": _on_star(_QOQ, select="SELECT * FROM gold_qoq_listener_growth"),
+        "listeners_from_sets": _on_star(
+            select="\nUNION ALL ".join(
+                f"SELECT '{span}' AS span, {key} AS key, "
+                "count(DISTINCT user_id) AS unique_listeners FROM silver_listen_events GROUP BY 2"
+                for span, key in (
+                    ("day", "event_date::VARCHAR"),
+                    ("cell", "day_of_week || ' ' || hour_of_day"),
+                    ("year", "year(event_date)::VARCHAR"),
+                )
+            )
+        ),
+        "cohort_quarters": _with(
+            _star(),
+            """spans AS (
+              SELECT o_custkey AS user, min(o_orderdate)::DATE AS low, max(o_orderdate)::DATE AS high
+              FROM orders GROUP BY 1),
+            quarters AS (
+              SELECT DISTINCT make_date(1992 + q // 4, q % 4 * 3 + 1, 1) AS first
+              FROM range(40) r(q))""",
+            select="""SELECT CASE WHEN "userId" <= 700 THEN 'control' ELSE 'test' END AS cohort,
+              year(first) || '_Q' || quarter(first) AS label, count(*) AS plays,
+              count(DISTINCT "userId") AS users, min(event_date) AS first_day,
+              max(event_date) AS last_day
+            FROM star JOIN spans ON "userId" = "user" JOIN quarters
+              ON event_date BETWEEN greatest(first, low)
+                AND least((first + INTERVAL 3 MONTH)::DATE - 1, high)
+            GROUP BY 1, 2""",
+        ),
         "json_bad_lines": _with(
             _BAD_LINES,
             select="""SELECT kind, count(*) AS rows, count(event_id) AS with_k,

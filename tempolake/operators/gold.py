@@ -21,7 +21,8 @@ from tempolake.functions import (
     total_minutes,
 )
 from tempolake.operators.distinct import aggregate
-from tempolake.operators.ranking import lag_over_all, rank_by_count
+from tempolake.operators.ranking import lag_over_all, rank_by_count, rows_of, survivors
+from tempolake.operators.sets import count_members
 
 # The gold tables a status row is written for.
 STATUS_TABLES = (
@@ -89,17 +90,21 @@ def daily_listening_stats(listens: DataFrame) -> DataFrame:
     )
 
 
-def top_artists_daily(listens: DataFrame) -> DataFrame:
-    """Per day and artist: plays, listeners, songs, hours and the rank within the day."""
+def top_artists_daily(listens: DataFrame, n: int | None = None) -> DataFrame:
+    """Per day and artist: plays, listeners, songs, hours and the rank within the day.
+
+    With ``n`` only artists that rank ``n`` or better, ties included; the plays of all others
+    are dropped before listeners and songs are counted.
+    """
     named = listens.filter(F.col("artist").isNotNull())
     keys = ["event_date", "artist"]
+    counts = named.groupBy(*keys).agg(_plays())
     artists = aggregate(
-        named,
+        rows_of(named, survivors(counts, keys, "play_count", n)) if n else named,
         keys,
         [_plays(), *_durations()],
         {"unique_listeners": "user_id", "unique_songs": "song"},
     )
-    counts = named.groupBy(*keys).agg(_plays())
     return rank_by_count(artists, counts, "event_date", "play_count", "daily_rank").select(
         "event_date",
         "artist",
@@ -111,12 +116,16 @@ def top_artists_daily(listens: DataFrame) -> DataFrame:
     )
 
 
-def top_songs_daily(listens: DataFrame) -> DataFrame:
-    """Per day, song and artist (which may be NULL): plays, listeners, length and rank."""
+def top_songs_daily(listens: DataFrame, n: int | None = None) -> DataFrame:
+    """Per day, song and artist (which may be NULL): plays, listeners, length and rank.
+
+    With ``n`` only songs that rank ``n`` or better, as for artists.
+    """
     named = listens.filter(F.col("song").isNotNull())
     keys = ["event_date", "song", "artist"]
-    songs = aggregate(named, keys, [_plays(), *_durations()], {"unique_listeners": "user_id"})
     counts = named.groupBy(*keys).agg(_plays())
+    chosen = rows_of(named, survivors(counts, keys, "play_count", n)) if n else named
+    songs = aggregate(chosen, keys, [_plays(), *_durations()], {"unique_listeners": "user_id"})
     return rank_by_count(songs, counts, "event_date", "play_count", "daily_rank").select(
         "event_date",
         "song",
@@ -218,14 +227,26 @@ def trend(growth_pct: Column) -> Column:
 
 def qoq_listener_growth(listens: DataFrame) -> DataFrame:
     """Distinct listeners per quarter and their growth over the previous existing quarter."""
-    quarters = (
-        listens.groupBy(quarter_start(F.col("event_date")).alias("quarter_start"))
-        .agg(F.count_distinct("user_id").alias("unique_listeners"))
-        .select(
-            "quarter_start",
-            quarter_label(F.col("quarter_start")).alias("quarter_label"),
-            "unique_listeners",
-        )
+    quarters = listens.groupBy(_quarter()).agg(
+        F.count_distinct("user_id").alias("unique_listeners")
+    )
+    return _growth(quarters)
+
+
+def qoq_growth_of_sets(sets: DataFrame) -> DataFrame:
+    """The same from stored sets of listeners (see ``sets``), without their plays."""
+    return _growth(count_members(sets, [_quarter()], "unique_listeners"))
+
+
+def _quarter() -> Column:
+    return quarter_start(F.col("event_date")).alias("quarter_start")
+
+
+def _growth(listeners: DataFrame) -> DataFrame:
+    quarters = listeners.select(
+        "quarter_start",
+        quarter_label(F.col("quarter_start")).alias("quarter_label"),
+        "unique_listeners",
     )
     now, before = F.col("unique_listeners"), F.col("prev_quarter_listeners")
     grown = lag_over_all(

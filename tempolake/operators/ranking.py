@@ -12,6 +12,49 @@ from pyspark.sql import functions as F
 SALTS = 32
 
 
+def _ranks(counts: DataFrame, partition: str, count: str, rank: str) -> DataFrame:
+    """(partition, count, rank) of every count that occurs in a partition."""
+    histogram = counts.groupBy(partition, count).agg(F.count("*").alias("_ties"))
+    higher = (
+        Window.partitionBy(partition)
+        .orderBy(F.desc(count))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return histogram.select(
+        partition,
+        count,
+        (F.coalesce(F.sum("_ties").over(higher), F.lit(0)) + 1).alias(rank),
+    )
+
+
+def survivors(counts: DataFrame, keys: Sequence[str], count: str, n: int) -> DataFrame:
+    """The keys that rank ``n`` or better by ``count`` within the first key; ties all stay.
+
+    The ranks of the counts that occur give each partition's smallest surviving count, one row
+    per partition; the keys below it go before anything else is computed of them.
+    """
+    partition = keys[0]
+    least = (
+        _ranks(counts, partition, count, "_rank")
+        .filter(F.col("_rank") <= n)
+        .groupBy(F.col(partition).alias("_partition"))
+        .agg(F.min(count).alias("_least"))
+    )
+    kept = counts.join(
+        least,
+        F.col(partition).eqNullSafe(F.col("_partition")) & (F.col(count) >= F.col("_least")),
+        "left_semi",
+    )
+    return kept.select(*keys)
+
+
+def rows_of(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose keys, nulls included, are among ``kept``."""
+    renamed = kept.toDF(*[f"_kept_{c}" for c in kept.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in kept.columns]
+    return rows.join(renamed, same, "left_semi")
+
+
 def rank_by_count(
     grouped: DataFrame, counts: DataFrame, partition: str, count: str, rank: str
 ) -> DataFrame:
@@ -26,25 +69,16 @@ def rank_by_count(
     ``counts`` holds (partition, count) for every row of ``grouped``. It is passed
     separately so that it can be computed from a narrow scan.
     """
-    histogram = counts.groupBy(partition, count).agg(F.count("*").alias("_ties"))
-    higher = (
-        Window.partitionBy(partition)
-        .orderBy(F.desc(count))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranks = histogram.select(
-        partition,
-        count,
-        (F.coalesce(F.sum("_ties").over(higher), F.lit(0)) + 1).alias(rank),
-    )
+    ranks = _ranks(counts, partition, count, rank)
     spread = ranks.select(
         F.col(partition).alias("_partition"),
         F.col(count).alias("_count"),
         rank,
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_other_salt"),
     )
-    others = [c for c in grouped.columns if c not in (partition, count)]
-    salted = grouped.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)))
+    # The ranked thing's name, which is all that many rows of a count differ in.
+    name = next(c for c in grouped.columns if c not in (partition, count))
+    salted = grouped.withColumn("_salt", F.pmod(F.xxhash64(name), F.lit(SALTS)))
     joined = salted.join(
         spread,
         (F.col("_salt") == F.col("_other_salt"))
