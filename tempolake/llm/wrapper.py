@@ -8,10 +8,12 @@ the others: what both have is matched, a mismatch becomes an optional group, a g
 next to an equal one becomes a repeated group, and texts that differ become text slots.
 
 Every slot of the wrapper carries the least and greatest hash of its texts. Each expression is
-then mapped onto its host's wrapper, slot by slot: a slot outside the usual regions whose place in
-the wrapper holds the same text on all pages of the host, whatever their expressions, is a notice
-or the like. That gives, for each distinct expression of the host, the slots to keep; pages are
-then joined with these.
+then mapped onto its host's wrapper, slot by slot: a slot whose place in the wrapper holds the same
+text on all pages of the host, whatever their expressions, is a notice or the like, also inside an
+article. Of the regions of a page the one with the most text that varies over the host is the
+main one. Class names only raise a suspicion: what they mark is left out as long as the page has
+other text that varies. That gives, for each distinct expression of the host, the slots to keep;
+pages are then joined with these.
 """
 
 from __future__ import annotations
@@ -36,8 +38,11 @@ _WIDEST = 16
 _SALTS = 32
 #: Expressions or partial wrappers that are aligned in one group, on average.
 _MERGED = 16
-#: Different pages of a host from which a text that never changes counts as boilerplate.
-_CONSTANT_PAGES = 3
+#: Different pages of a host from which a text that never changes counts as boilerplate, and
+#: those it takes inside an article or the like.
+_CONSTANT_PAGES, _CONSTANT_INSIDE = 3, 10
+#: Pairs of items that are aligned by a whole table; longer sequences are halved first.
+_TABLE = 1 << 21
 
 # HTML elements by what they mean for the text.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +71,21 @@ _MARKED = set(
     "pager toolbar widget widgets search copyright".split()
 )
 _CONTENT = set("article content post entry story articlebody".split())
+#: Words that a mark may be compounded with.
+_COMPOUND = (
+    _MARKED
+    | _CONTENT
+    | set(
+        "site page top bottom global box bar list area links buttons form wrapper container block "
+        "section item items articles posts entries stories".split()
+    )
+)
+#: Marks that an article inside does not lift: what they hold often comes as articles.
+_NESTED = set(
+    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored sponsors promo "
+    "promotion comment comments commentlist disqus respond reply replies discussion related "
+    "recommended recommendations widget widgets".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<skip>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
@@ -84,7 +104,8 @@ _ATTRIBUTE = re.compile(
 )
 _WORD = re.compile(r"[a-z]+")
 
-ARTICLE, MAIN, CONTENT, OTHER, BOILER = "amcob"
+#: Regions. What only a class name marks is suspect; COMMENTS stay that around articles, too.
+ARTICLE, MAIN, CONTENT, OTHER, FORM, BOILER, SUSPECT, COMMENTS = "amcofbsx"
 
 
 def _skipped_ends(html: str) -> dict[int, int]:
@@ -204,7 +225,8 @@ class Page:
         """The region inside an element, given that around it."""
         if outer == BOILER:
             return BOILER
-        words: set[str] = set()
+        marks: set[str] = set()
+        contents: set[str] = set()
         role = ""
         if attributes:
             for name, value in _ATTRIBUTE.findall(attributes):
@@ -213,20 +235,34 @@ class Page:
                     return BOILER
                 if name == "role":
                     role = value
-                else:
-                    words.update(_WORD.findall(value))
+                    continue
+                for token in value.split():
+                    # A mark is a whole name: no-comments and with-sidebar are none.
+                    words = set(_WORD.findall(token))
+                    if words <= _COMPOUND:
+                        marks |= words & _MARKED
+                    if not words & _MARKED:
+                        contents |= words & _CONTENT
         heading = tag == "header" and outer in (ARTICLE, MAIN)
-        if (tag in _BOILERPLATE or tag == "header" or role in _ROLES) and not heading:
-            return BOILER
-        if words & _MARKED and tag not in ("body", "html", "article", "main") and not heading:
+        if (tag in _BOILERPLATE and tag != "form" or tag == "header" or role in _ROLES) and (
+            not heading
+        ):
             return BOILER
-        if tag == "article":
-            return BOILER if words & {"comment", "comments", "reply", "ad", "promo"} else ARTICLE
-        if tag == "main" or role == "main":
+        if tag == "article" and not marks & _NESTED and outer != COMMENTS:
+            return ARTICLE
+        if (tag == "main" or role == "main") and outer != COMMENTS:
             return outer if outer == ARTICLE else MAIN
-        if outer == OTHER and words & _CONTENT:
+        if outer == COMMENTS or marks & _NESTED and tag not in ("body", "html", "main"):
+            return COMMENTS
+        if outer in (OTHER, FORM, SUSPECT) and contents:
             return CONTENT
-        return outer
+        marked = marks and tag not in ("body", "html") and not heading
+        if outer in (ARTICLE, MAIN, CONTENT):
+            # There is no doubt here: what is around it is the text.
+            return BOILER if tag == "form" or marked else outer
+        if marked:
+            return SUSPECT
+        return FORM if tag == "form" and outer == OTHER else outer
 
 
 def _folded(items: list[tuple]) -> tuple[tuple, list[list[int]]]:
@@ -313,27 +349,62 @@ def _codes(items: tuple, numbers: dict) -> np.ndarray:
     return out
 
 
+def _weights(a: np.ndarray, b: np.ndarray, i: int, one: int, columns=slice(None)):
+    """What matching item ``i`` of ``a`` with items of ``b`` is worth: ``one``, more for a text."""
+    fits = (b[0, columns] == a[0, i]) | ((b[1, columns] == a[1, i]) & (a[1, i] >= 0))
+    same = (b[2, columns] == a[2, i]) & (a[2, i] >= 0)
+    return fits * (one + same)
+
+
+def _last_row(a: np.ndarray, b: np.ndarray, one: int) -> np.ndarray:
+    """The best worth of all of ``a`` with each start of ``b``, held row by row."""
+    row = np.zeros(b.shape[1] + 1, np.int64)
+    for i in range(a.shape[1]):
+        best = np.maximum(row[1:], row[:-1] + _weights(a, b, i, one))
+        row[1:] = np.maximum.accumulate(best)
+    return row
+
+
 def _pairs(left: tuple, right: tuple) -> list[tuple[int, int]]:
     """A longest common subsequence of items that fit, of these one with most equal texts.
 
-    Items fit when their cores are equal or they are groups that start alike.
+    Items fit when their cores are equal or they are groups that start alike. Memory grows with
+    the sum of the lengths: long sequences are halved where the best pairing passes.
     """
-    n, m = len(left), len(right)
     numbers: dict = {}
     a, b = _codes(left, numbers), _codes(right, numbers)
-    best = np.zeros((n + 1, m + 1), np.int64 if min(n, m) > 40_000 else np.int32)
+    one = min(len(left), len(right)) + 1
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(left), 0, len(right))]
+    while todo:
+        i, n, j, m = todo.pop()
+        # Ends that agree in all respects need no search.
+        while i < n and j < m and (a[:, i] == b[:, j]).all():
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        if i == n or j == m:
+            continue
+        if n - i > 1 and (n - i) * (m - j) > _TABLE:
+            half = (i + n) // 2
+            ahead = _last_row(a[:, i:half], b[:, j:m], one)
+            behind = _last_row(a[:, half:n][:, ::-1], b[:, j:m][:, ::-1], one)[::-1]
+            cut = j + int(np.argmax(ahead + behind))
+            todo += [(i, half, j, cut), (half, n, cut, m)]
+        else:
+            out += [(i + x, j + y) for x, y in _table_pairs(a[:, i:n], b[:, j:m], one)]
+    return sorted(out)
 
-    def weights(i: int, columns=slice(None)) -> np.ndarray:
-        fits = (b[0, columns] == a[0, i]) | ((b[1, columns] == a[1, i]) & (a[1, i] >= 0))
-        same = (b[2, columns] == a[2, i]) & (a[2, i] >= 0)
-        return fits * (min(n, m) + 1 + same)
 
+def _table_pairs(a: np.ndarray, b: np.ndarray, one: int) -> list[tuple[int, int]]:
+    """The pairs of short sequences, read off a whole table."""
+    n, m = a.shape[1], b.shape[1]
+    best = np.zeros((n + 1, m + 1), np.int64)
     for i in range(n - 1, -1, -1):
-        row = np.maximum(best[i + 1, 1:] + weights(i), best[i + 1, :-1])
+        row = np.maximum(best[i + 1, 1:] + _weights(a, b, i, one), best[i + 1, :-1])
         best[i, :-1] = np.maximum.accumulate(row[::-1])[::-1]
     out, i, j = [], 0, 0
     while i < n and j < m:
-        weight = weights(i, j)
+        weight = _weights(a, b, i, one, j)
         if weight and best[i, j] == best[i + 1, j + 1] + weight:
             out.append((i, j))
             i, j = i + 1, j + 1
@@ -407,19 +478,37 @@ def places(wrapper: tuple, expression: tuple) -> list[int]:
     ]
 
 
-def kept_slots(expression: tuple, constant: set[int]) -> list[int]:
+def kept_slots(expression: tuple, constant: dict[int, int], chars: dict[int, int]) -> list[int]:
     """The slots of ``expression`` that hold main text.
 
-    ``constant`` are its slots whose place in the host's wrapper holds one text on all pages.
+    ``constant``: its slots whose place in the host's wrapper holds one text on all pages, and on
+    how many different ones (as far as that matters). ``chars``: by slot, the length of its text.
+
+    Of articles, main and content containers the region with the most text that is not constant
+    is taken, articles unless another has twice as much; a page without these has the rest of its
+    text (that of a form if it has four times as much), else what is suspect.
     """
-    on_page = [slot[1] for slot in leaves(expression)]
-    for region in (ARTICLE, MAIN, CONTENT):
-        if region in on_page:
-            # Elements of a narrower region lie in the wider ones as well.
-            return [i for i, r in enumerate(on_page) if r == region]
-    return [
-        i for i, r in enumerate(on_page) if r != BOILER and not (r == OTHER and i in constant)
-    ]
+    regions = [slot[1] for slot in leaves(expression)]
+    inside = (ARTICLE, MAIN, CONTENT)
+
+    def varies(slot: int) -> bool:
+        least = _CONSTANT_INSIDE if regions[slot] in inside else _CONSTANT_PAGES
+        return constant.get(slot, 0) < least
+
+    def of(region: str) -> list[int]:
+        return [i for i, r in enumerate(regions) if r == region and varies(i)]
+
+    def fullest(weights: dict[str, int]) -> list[int]:
+        sizes = {r: w * sum(chars.get(i, 0) for i in of(r)) for r, w in weights.items()}
+        return of(max(sizes, key=sizes.__getitem__))
+
+    if slots := fullest({ARTICLE: 2, MAIN: 1, CONTENT: 1}):
+        return slots
+    # All of a region may be constant, such as a page that has copies only.
+    for region in inside:
+        if region in regions:
+            return [i for i, r in enumerate(regions) if r == region]
+    return fullest({OTHER: 4, FORM: 1}) or fullest({SUSPECT: 1, COMMENTS: 1})
 
 
 def _with_texts(expression: tuple, texts: Iterator[tuple[int, int]]) -> tuple:
@@ -477,24 +566,28 @@ def _content(page: Page, hashes: np.ndarray) -> int:
 
 
 def _different(pages: str) -> Column:
-    """The least page hashes of a group, enough to tell whether there are _CONSTANT_PAGES."""
+    """The least page hashes of a group, enough to tell whether there are _CONSTANT_INSIDE.
+
+    Every batch of pages sends that many at most, so a group gathers eight bytes for some
+    hundred pages.
+    """
     hashes = F.array_sort(F.array_distinct(F.flatten(F.collect_set(pages))))
-    return F.slice(hashes, 1, _CONSTANT_PAGES).alias(pages)
+    return F.slice(hashes, 1, _CONSTANT_INSIDE).alias(pages)
 
 
 def _shapes(pages: DataFrame) -> DataFrame:
-    """(host, shape, slot, low, high, pages): the least and greatest text hash of each slot.
+    """(host, shape, slot, low, high, pages, chars): the least and greatest text hash of each slot.
 
     ``pages`` are hashes of different pages, so that copies of a page count once: the least
-    few of them, as no more are asked for. Pages that differ only in boilerplate are the same.
+    few of them, as no more are asked for. Pages that differ only in boilerplate are the same. ``chars`` is the length of all texts of the slot.
 
     Each task first combines its own pages, so a host or an expression shared by many pages
     sends a few rows per task. A page without slots has the single slot -1.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "shape", "slot", "low", "high", "pages"]
-        types = [pa.string(), pa.string(), *[pa.int64()] * 3, pa.list_(pa.int64())]
+        names = ["host", "shape", "slot", "low", "high", "pages", "chars"]
+        types = [pa.string(), pa.string(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.int64()]
         for batch in batches:
             seen: dict[tuple[str, str], list] = {}
             for url, html in zip(*(batch.column(c).to_pylist() for c in ("url", "html"))):
@@ -505,14 +598,16 @@ def _shapes(pages: DataFrame) -> DataFrame:
                 for slot, blocks in enumerate(page.slots):
                     own = hashes[blocks]
                     low, high = int(own.min()), int(own.max())
+                    chars = sum(len(page.blocks[b]) for b in blocks)
                     if slot in entry[1]:
                         have = entry[1][slot]
                         low, high = min(low, have[0]), max(high, have[1])
-                    entry[1][slot] = (low, high)
+                        chars += have[2]
+                    entry[1][slot] = (low, high, chars)
             rows = [
-                (host, shape, slot, low, high, sorted(different)[:_CONSTANT_PAGES])
+                (host, shape, slot, low, high, sorted(different)[:_CONSTANT_INSIDE], chars)
                 for (host, shape), (different, slots) in seen.items()
-                for slot, (low, high) in (slots or {-1: (0, 0)}).items()
+                for slot, (low, high, chars) in (slots or {-1: (0, 0, 0)}).items()
             ]
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -522,18 +617,26 @@ def _shapes(pages: DataFrame) -> DataFrame:
         pages.select("url", "html")
         .mapInArrow(
             task,
-            "host string, shape string, slot long, low long, high long, pages array<long>",
+            "host string, shape string, slot long, low long, high long, pages array<long>, "
+            "chars long",
         )
         .groupBy("host", "shape", "slot")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), _different("pages"))
+        .agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            _different("pages"),
+            F.sum("chars").alias("chars"),
+        )
     )
 
 
 def _by_shape(shapes: DataFrame) -> DataFrame:
-    """(host, shape, marked, pages): each expression, and with the texts of its slots."""
+    """(host, shape, marked, pages, chars): each expression, and with the texts of its slots."""
     texts = F.sort_array(F.collect_list(F.struct("slot", "low", "high")))
     grouped = shapes.filter("slot >= 0").groupBy("host", "shape").agg(
-        texts.alias("texts"), F.first("pages").alias("pages")
+        texts.alias("texts"),
+        F.first("pages").alias("pages"),
+        F.map_from_entries(F.collect_list(F.struct("slot", "chars"))).alias("chars"),
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -545,10 +648,14 @@ def _by_shape(shapes: DataFrame) -> DataFrame:
             ]
             columns = [batch.column("host"), batch.column("shape"), pa.array(marked, pa.string())]
             yield pa.RecordBatch.from_arrays(
-                [*columns, batch.column("pages")], ["host", "shape", "marked", "pages"]
+                [*columns, batch.column("pages"), batch.column("chars")],
+                ["host", "shape", "marked", "pages", "chars"],
             )
 
-    return grouped.mapInArrow(task, "host string, shape string, marked string, pages array<long>")
+    return grouped.mapInArrow(
+        task,
+        "host string, shape string, marked string, pages array<long>, chars map<long, long>",
+    )
 
 
 def _merged(groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -620,24 +727,35 @@ def _placed(shapes: DataFrame) -> DataFrame:
 
 def _decisions(shapes: DataFrame) -> DataFrame:
     """(host, shape_id, keep): the slots with main text of each expression."""
-    placed = scratch.written(_placed(scratch.written(_by_shape(shapes), "shapes")), "places")
+    by_shape = scratch.written(_by_shape(shapes), "shapes")
+    placed = scratch.written(_placed(by_shape.drop("chars")), "places")
+    in_place = ["host", "place"]
+    same = (
+        placed.filter("place >= 0")
+        .groupBy(*in_place)
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .filter("low = high")
+    )
     constant = (
-        placed.groupBy("host", "place")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), _different("pages"))
-        .filter((F.col("low") == F.col("high")) & (F.size("pages") >= _CONSTANT_PAGES))
-        .filter("place >= 0")
-        .select("host", "place", F.lit(True).alias("constant"))
+        placed.select(*in_place, F.explode("pages").alias("page"))
+        .distinct()
+        .groupBy(*in_place)
+        .agg(F.count("*").alias("different"))
+        .filter(F.col("different") >= _CONSTANT_PAGES)
+        .join(same.select(*in_place), in_place)
     )
+    marked = F.when(F.col("different") > 0, F.struct("slot", "different"))
     judged = (
-        placed.join(constant, ["host", "place"], "left")
+        placed.join(constant, in_place, "left")
         .groupBy("host", "shape")
-        .agg(F.collect_list(F.when(F.col("constant"), F.col("slot"))).alias("constant"))
+        .agg(F.map_from_entries(F.collect_list(marked)).alias("constant"))
+        .join(by_shape.select("host", "shape", "chars"), ["host", "shape"])
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("shape").to_pylist(), batch.column("constant").to_pylist())
-            keep = [kept_slots(_loaded(s), set(c)) for s, c in rows]
+            columns = (batch.column(c).to_pylist() for c in ("shape", "constant", "chars"))
+            keep = [kept_slots(_loaded(s), dict(c), dict(n)) for s, c, n in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("host"),
@@ -688,9 +806,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of ``pages``.
 
     The text is the blocks of the main text in page order, joined by a line end; white space
-    within a block is one blank. A text that never changes is only told from the main text where
-    it has a slot of its own: in a repeated group it stays. The text is empty for null and empty pages and for those without main
-    text. Rows without URL share one wrapper. Repeated rows each give a row; an empty table
+    within a block is one blank. A text that never changes over three different pages of a host
+    goes (ten inside an article or the like), but only where it has a slot of its own: in a
+    repeated group it stays. The text is empty for null and empty pages and for those without
+    main text. Rows without URL share one wrapper. Repeated rows each give a row; an empty table
     gives none; other columns are ignored.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")

@@ -165,3 +165,114 @@ def test_query_equals_brute_force(spark):
         blocks = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
         plain = (" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in blocks)
         assert got[page.page_id] == "\n".join(b for b in plain if b)
+
+
+def test_class_words_do_not_blank_a_page(spark):
+    body = "<p>Story {n} goes on and on</p><p>Until it ends {n}</p>"
+    shells = [
+        '<div class="layout with-sidebar">{}</div>',
+        '<div class="layout with-sidebar"><article>{}</article></div>',
+        '<div class="has-header-image"><article>{}</article></div>',
+        '<div class="post no-comments">{}</div>', '<div class="content sidebar-right">{}</div>',
+        '<div class="social-share-enabled">{}</div>', '<section class="discussion">{}</section>',
+        '<form action="/">{}</form>', '<div id="sidebar"><article>{}</article></div>',
+    ]
+    side = '<nav>Menu</nav><div class="site-footer">Foot</div><div class="cookie-notice">Cookies</div>'
+    rows, want = [], {}
+    for i, shell in enumerate(shells):
+        for n in range(4):
+            page = f"<body>{side}{shell.format(body.format(n=n))}</body>"
+            rows.append((10 * i + n, f"http://h{i}.example/{n}", page, ""))
+            want[10 * i + n] = f"Story {n} goes on and on\nUntil it ends {n}"
+    assert {r.page_id: r.text for r in texts(spark, rows)} == want
+
+
+def test_comments_stay_out_however_they_are_marked(spark):
+    page = (
+        "<body><article><p>Story {n}</p></article><section class='post-comments'><article><p>Says {n}"
+        "</p></article></section><div class='comment-list'><p>Reply {n}</p></div>"
+        "<div class='related-articles'><article>Other {n}</article></div></body>"
+    )
+    rows = [(n, "http://k.example/", page.format(n=n), "") for n in range(5)]
+    assert {r.page_id: r.text for r in texts(spark, rows)} == {n: f"Story {n}" for n in range(5)}
+
+
+def test_the_fuller_region_is_the_main_one(spark):
+    story = "<p>A long story {n} that takes more room than any teaser does</p>" * 3
+    main = "<body><main><h1>Head {n}</h1>" + story + "<article>teaser {n}</article></main></body>"
+    usual = "<body><main><p>Path {n}</p><article>" + story + "</article></main></body>"
+    rows = [(n, "http://m.example/", main.format(n=n), "") for n in range(4)]
+    rows += [(10 + n, "http://n.example/", usual.format(n=n), "") for n in range(4)]
+    got = {r.page_id: r.text for r in texts(spark, rows)}
+    for n in range(4):
+        told = "\n".join([f"A long story {n} that takes more room than any teaser does"] * 3)
+        assert got[n] == f"Head {n}\n{told}" and got[10 + n] == told
+
+
+def test_the_wrapper_decides_inside_articles(spark, tmp_path, monkeypatch):
+    """Without what the wrapper found constant, rows of the query change."""
+    from tempolake.llm.queries import op10_html_extraction
+
+    bodies = ["<p>a{n}</p>", "<ul><li>b{n}<li>c</ul>", "<h2>d{n}</h2><p>e</p>", "<pre>f{n}</pre>"]
+    page = "<body><article><h1>H{n}</h1>{b}<div>Our terms apply</div></article></body>"
+    rows = []
+    for n in range(24):
+        html_ = page.format(n=n, b=bodies[n % 4].format(n=n))
+        rows.append((n, "http://w.example/", html_))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+
+    def found():
+        return {r.page_id: r.text for r in op10_html_extraction(spark, str(tmp_path)).collect()}
+
+    got = found()
+    want = ["H{n}\na{n}", "H{n}\nb{n}\nc", "H{n}\nd{n}\ne", "H{n}\nf{n}"]
+    assert got == {n: want[n % 4].format(n=n) for n in range(24)}
+    monkeypatch.setattr(wrapper, "_CONSTANT_PAGES", 10**9)
+    assert found() == {n: f"{text}\nOur terms apply" for n, text in got.items()}
+
+
+def test_an_article_that_never_changes_stays(spark):
+    page = "<body><nav>{n}</nav><article><h1>One</h1><p>Text</p></article><p>Visit {n}</p></body>"
+    rows = [(n, "http://o.example/", page.format(n=n), "") for n in range(30)]
+    assert {r.text for r in texts(spark, rows)} == {"One\nText"}
+
+
+def _worth(left, right, pairs):
+    numbers = {}
+    a, b = wrapper._codes(left, numbers), wrapper._codes(right, numbers)
+    one = min(len(left), len(right)) + 1
+    assert pairs == sorted(pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+    weights = [int(wrapper._weights(a, b, i, one, j)) for i, j in pairs]
+    assert all(weights)
+    return sum(weights)
+
+
+def test_halved_alignment_is_as_good_as_a_whole_table(monkeypatch):
+    import random
+
+    draw = random.Random(6)
+    for _ in range(60):
+        def items(n):
+            return tuple(
+                draw.choice(["a", "b", ("+", ("#o",)), wrapper.Slot("#o", k := draw.randrange(3), k)])
+                for _ in range(n)
+            )
+
+        left, right = items(draw.randrange(40)), items(draw.randrange(40))
+        whole = _worth(left, right, wrapper._pairs(left, right))
+        with monkeypatch.context() as patch:
+            patch.setattr(wrapper, "_TABLE", 6)
+            assert _worth(left, right, wrapper._pairs(left, right)) == whole
+
+
+def test_very_long_pages_are_aligned_in_little_memory():
+    import tracemalloc
+
+    left = tuple(wrapper.Slot("#o", k, k) if k % 3 else f"t{k}" for k in range(12_000))
+    right = tuple(wrapper.Slot("#o", -k, -k) if k % 3 else f"t{k + 30}" for k in range(12_000))
+    tracemalloc.start()
+    pairs = wrapper._pairs(left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) > 8_000 and peak < 200e6
