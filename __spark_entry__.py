@@ -22,6 +22,7 @@ from tempolake import Pipeline, Warehouse, functions, require_utc
 from tempolake.operators import gold, quality, ranking, sets, silver
 from tempolake.operators.intervals import join_ranges
 from tempolake.schemas import AUTH, LISTEN, PAGE_VIEW, STATUS_CHANGE, TOPICS, Topic
+from tempolake.plans.buckets import store_bucketed
 from tempolake.plans.wap import ChangedDays
 from tempolake.session import scratch_dir
 from tempolake.sources import bronze, files, kafka, testdata
@@ -183,6 +184,36 @@ def _event_gold_model(name: str) -> Query:
     return lambda spark, sf_dir: _event_gold(spark, sf_dir)[name]
 
 
+def _user_activity_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User activity over silver tables stored in buckets by day and user."""
+    tables = _event_silver(spark, sf_dir)
+    names = ("silver_listen_events", "silver_page_view_events", "silver_status_change_events")
+    folder = scratch_dir(spark, "buckets")
+    stored = store_bucketed(
+        {name: tables[name] for name in names},
+        "bucketed_" + folder[-8:],
+        folder,
+        spark.sparkContext.defaultParallelism,
+    )
+    return gold.user_activity_daily(*[stored[name] for name in names], co_located=True)
+
+
+def _layer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers created twice: those there are, and the rows that SQL finds in the silver one."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "layers"))
+    run = Pipeline(warehouse, testdata.event_tables(spark, sf_dir))
+    run.write_silver("silver_auth_events")
+    run.publish_silver()
+    for _ in range(2):
+        warehouse.create_layers()
+        warehouse.create_views("silver")
+    there = {database.name for database in spark.catalog.listDatabases()}
+    rows = spark.sql("SELECT count(*) FROM silver.silver_auth_events").first()[0]
+    spark.sql("DROP VIEW silver.silver_auth_events")
+    found = [(n, n in there, rows if n == "silver" else 0) for n in ("bronze", "silver", "gold")]
+    return spark.createDataFrame(found, "layer string, created boolean, rows bigint")
+
+
 def _pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = gold.pipeline_status(_gold_of(_stored_silver(spark, sf_dir)))
     return status.drop("refreshed_at")
@@ -195,6 +226,16 @@ def _dq_silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.audit(_event_silver(spark, sf_dir), quality.SILVER_CHECKS)
 
 
+def _dq_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver audit, counted while the tables are written."""
+    run = Pipeline(Warehouse(spark, scratch_dir(spark, "observed")), testdata.event_tables(spark, sf_dir))
+    run.write_silver()
+    results = run.audited("silver", "silver_staging", quality.SILVER_CHECKS)
+    names = ("table", "column", "test", "failures")
+    rows = [tuple(r[n] for n in names) for r in results]
+    return spark.createDataFrame(rows, "table string, column string, test string, failures bigint")
+
+
 def _dq_gold_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.audit(_gold_of(_stored_silver(spark, sf_dir)), quality.GOLD_CHECKS)
 
@@ -784,6 +825,9 @@ def _registered() -> dict[str, Query]:
         "qoq_from_sets": _qoq_from_sets,
         "listeners_from_sets": _listeners_from_sets,
         "cohort_quarters": _cohort_quarters,
+        "user_activity_bucketed": _user_activity_bucketed,
+        "dq_observed": _dq_observed,
+        "layer_creation": _layer_creation,
         "bronze_between": _bronze_between,
         "silver_dedup": _silver_dedup,
         "wap_run": _wap_run,

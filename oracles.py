@@ -444,6 +444,16 @@ def _more() -> dict[str, str]:
                 AND least((first + INTERVAL 3 MONTH)::DATE - 1, high)
             GROUP BY 1, 2""",
         ),
+        "user_activity_bucketed": _on_events(
+            _ACTIVITY, select="SELECT * FROM gold_user_activity_daily"
+        ),
+        "dq_observed": _on_events(select=_SILVER_AUDIT),
+        "layer_creation": _on_events(
+            select="""SELECT layer, TRUE AS created,
+              CASE layer WHEN 'silver' THEN (SELECT count(*) FROM silver_auth_events) ELSE 0 END
+                AS rows
+            FROM (VALUES ('bronze'), ('silver'), ('gold')) AS layers (layer)"""
+        ),
         "json_bad_lines": _with(
             _BAD_LINES,
             select="""SELECT kind, count(*) AS rows, count(event_id) AS with_k,

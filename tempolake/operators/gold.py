@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempolake.functions import (
@@ -137,33 +137,68 @@ def top_songs_daily(listens: DataFrame, n: int | None = None) -> DataFrame:
     )
 
 
+def _different(columns: dict[str, str], keys: list[str]) -> tuple[list[Column], list[Column]]:
+    """Marks and sums that count the different values of columns per key, without another shuffle.
+
+    The first row of each value is marked within its key, which a partitioning by the keys already
+    brings together; nulls don't count.
+    """
+    marks, sums = [], []
+    for alias, column in columns.items():
+        first = F.row_number().over(Window.partitionBy(*keys, column).orderBy(F.lit(0))) == 1
+        marks.append((first & F.col(column).isNotNull()).alias(f"_first_{alias}"))
+        sums.append(F.count_if(f"_first_{alias}").alias(alias))
+    return marks, sums
+
+
 def user_activity_daily(
-    listens: DataFrame, page_views: DataFrame, status_changes: DataFrame
+    listens: DataFrame,
+    page_views: DataFrame,
+    status_changes: DataFrame,
+    co_located: bool = False,
 ) -> DataFrame:
     """Per day and listening user: plays joined with page views and subscription changes.
 
     Each side is one row per (day, user) before the joins, so no join multiplies rows and
     a heavy user is already collapsed. Of the user's attributes any value will do; the
     largest one keeps results reproducible.
+
+    ``co_located`` says that the tables are stored in buckets by day and user: then nothing is
+    shuffled at all.
     """
     keys = ["event_date", "user_id"]
     attributes = ["first_name", "last_name", "gender", "level"]
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        return rows if co_located else rows.repartition(*keys)
+
     # One scan per table. Plays are first collapsed to few rows per user and day, with map-side
-    # sums; the distinct counts and the maxima of text then see only these.
+    # sums; the rows of a user and day then meet once, for all that is counted and joined.
     collapsed = listens.groupBy(*keys, *attributes, "session_id", "artist").agg(
         _plays(), *_durations()
     )
-    plays = collapsed.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in attributes],
-        *[F.sum(c).alias(c) for c in ("play_count", "_d_s", "_d_us", "_d_n")],
-        F.count_distinct("session_id").alias("sessions_with_plays"),
-        F.count_distinct("artist").alias("unique_artists"),
+    marks, sums = _different(
+        {"sessions_with_plays": "session_id", "unique_artists": "artist"}, keys
+    )
+    plays = (
+        gathered(collapsed)
+        .select("*", *marks)
+        .groupBy(*keys)
+        .agg(
+            *[F.max(c).alias(c) for c in attributes],
+            *[F.sum(c).alias(c) for c in ("play_count", "_d_s", "_d_us", "_d_n")],
+            *sums,
+        )
     )
     viewed = page_views.groupBy(*keys, "page", "session_id").agg(F.count("*").alias("_views"))
-    views = viewed.groupBy(*keys).agg(
-        F.sum("_views").alias("page_view_count"),
-        F.count_distinct("page").alias("unique_pages_visited"),
-        F.count_distinct("session_id").alias("sessions_with_page_views"),
+    marks, sums = _different(
+        {"unique_pages_visited": "page", "sessions_with_page_views": "session_id"}, keys
+    )
+    views = (
+        gathered(viewed)
+        .select("*", *marks)
+        .groupBy(*keys)
+        .agg(F.sum("_views").alias("page_view_count"), *sums)
     )
     category = F.col("change_category")
     changes = status_changes.groupBy(*keys).agg(

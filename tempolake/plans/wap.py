@@ -12,8 +12,9 @@ from tempolake.operators.quality import (
     GOLD_CHECKS,
     SILVER_CHECKS,
     Check,
+    WatchedChecks,
     audit,
-    require_passed,
+    failures_of,
 )
 from tempolake.plans.registry import MODELS, Model, layer_for, schema_of, select_models
 from tempolake.plans.warehouse import Day, Warehouse, on_days
@@ -53,6 +54,8 @@ class Pipeline:
         self.threads = threads
         self.report = RunReport(run_id or warehouse.new_run_id())
         self._built: dict[str, list[str]] = {"silver": [], "gold": []}
+        #: By table, its checks, counted while it was written.
+        self.watched: dict[str, WatchedChecks] = {}
 
     @property
     def run_id(self) -> int:
@@ -62,6 +65,7 @@ class Pipeline:
         options = {}
         if model.name in self.dedup_keys:
             options["dedup_keys"] = self.dedup_keys[model.name]
+        watched = WatchedChecks(model.name, [*SILVER_CHECKS, *GOLD_CHECKS])
         self.warehouse.write(
             model.build(*[inputs[name] for name in model.inputs], **options),
             layer_for(model.layer, target),
@@ -69,7 +73,9 @@ class Pipeline:
             model.name,
             model.by_day,
             model.rebalance,
+            watched,
         )
+        self.watched[model.name] = watched
 
     def _build_all(
         self, models: list[Model], target: str, inputs: Mapping[str, DataFrame]
@@ -88,19 +94,34 @@ class Pipeline:
     def _of_this_run(self, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
         return {t: self.warehouse.read_run(layer, self.run_id, t) for t in tables}
 
-    def _audit(self, layer: str, built_in: str, checks: Iterable[Check]) -> list[dict]:
-        tables = self._of_this_run(built_in, self._built[layer])
-        own = [c for c in checks if c.table in tables]
-        return require_passed(audit(tables, own)) if own else []
+    def audited(
+        self, layer: str, built_in: str, checks: Iterable[Check], again: bool = False
+    ) -> list[dict]:
+        """The results of all checks of what this run built, in the order of ``checks``.
+
+        Most were counted while the tables were written and only the others read them, unless
+        all are to be checked ``again``, as they are stored now.
+        """
+        own = [c for c in checks if c.table in self._built[layer]]
+        results, left = [], own
+        if not again:
+            results = [r for t in self._built[layer] for r in self.watched[t].results()]
+            left = [c for t in self._built[layer] for c in self.watched[t].left]
+        if left:
+            tables = self._of_this_run(built_in, dict.fromkeys(c.table for c in left))
+            results += [r.asDict() for r in audit(tables, left).collect()]
+        by_check = {(r["table"], r["column"], r["test"]): r for r in results}
+        return [by_check[c.table, c.column, c.test] for c in own]
 
     def write_silver(self, *selectors: str) -> None:
         """Build silver models (all by default) into the staging area."""
         self._build_all(select_models(*(selectors or ("silver",))), "staging", self.bronze)
 
     def audit_silver(self) -> None:
-        """Check what was staged."""
+        """Check what was staged, as far as possible by what was counted while it was written."""
         staging = layer_for("silver", "staging")
-        self.report.silver_audit = self._audit("silver", staging, SILVER_CHECKS)
+        self.report.silver_audit = self.audited("silver", staging, SILVER_CHECKS)
+        failures_of(self.report.silver_audit)
 
     def publish_silver(self) -> None:
         """Make the staged silver tables current."""
@@ -117,7 +138,9 @@ class Pipeline:
             self._publish_gold()
 
     def audit_gold(self) -> None:
-        self.report.gold_audit = self._audit("gold", "gold", GOLD_CHECKS)
+        """Check the gold tables as they are stored; they are small and already visible."""
+        self.report.gold_audit = self.audited("gold", "gold", GOLD_CHECKS, again=True)
+        failures_of(self.report.gold_audit)
         if self.stage_gold:
             self._publish_gold()
 

@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempolake.operators.quality import WatchedChecks
 from tempolake.plans.registry import MODELS, schema_of
 
 LAYERS = ("bronze", "silver", "gold")
@@ -90,14 +91,18 @@ class Warehouse:
         table: str,
         by_day: bool = False,
         rebalance: bool = False,
+        watched: WatchedChecks | None = None,
     ) -> None:
         """Replace a table of a run in full.
 
         The rebalance groups rows by day for few files per day, and splits days that are
-        larger than a target file, so no day is written by a single task.
+        larger than a target file, so no day is written by a single task. ``watched`` checks are
+        counted by the tasks that write, which count once however often a stage before runs.
         """
         if rebalance:
             rows = rows.hint("rebalance", "event_date")
+        if watched:
+            rows = watched.watch(rows)
         writer = rows.write.mode("overwrite")
         if by_day:
             writer = writer.partitionBy("event_date")

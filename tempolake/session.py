@@ -32,13 +32,25 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, else that of the warehouse.
+
+    Both have to be shared by all executors, so on a cluster a warehouse on a local disk will
+    not do.
+    """
+    checkpoints = spark.conf.get("spark.checkpoint.dir", None)
+    if checkpoints:
+        return checkpoints.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith(("/", "file:")) or ":" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir: executors do not share {warehouse}")
+    return warehouse.rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, else below the warehouse folder.
+    """A fresh folder in the shared one.
 
-    Both are shared by all executors. What runs write lies in ``<folder>/tempolake/``, whose
-    owner decides how long to keep it.
+    What runs write lies in ``<folder>/tempolake/``, whose owner decides how long to keep it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
-    return f"{shared.rstrip('/')}/tempolake/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/tempolake/{purpose}-{uuid.uuid4().hex}"
