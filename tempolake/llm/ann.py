@@ -105,9 +105,9 @@ def nearest(
     return q[keep], ids[r[keep]], exact[keep]
 
 
-def _ranked(pairs: DataFrame, blocks: DataFrame, on: list[str] | None, kind: str, k: int):
+def _ranked(pairs: DataFrame, blocks: DataFrame, on: list[str], kind: str, k: int):
     """(query_id, near, distance) of the nearest of each pair of blocks."""
-    found = pairs.join(blocks, on) if on else pairs.crossJoin(blocks)
+    found = pairs.join(blocks, on)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,11 +5,15 @@ similar enough share an n-gram among the first few of each (the prefix), so cand
 from an equality join on prefix n-grams; lengths, positions and the split of the sets over hash
 ranges rule most of them out before each remaining pair is verified, once, on the whole texts.
 
-Only components are asked for, not all pairs. Texts with equal sets are one class. Each of the
-first rounds takes, for each prefix n-gram of a class, the first class that has it and the one
-before, and verifies the class with those of them that it meets most often; the last round
-takes all candidate pairs of classes whose components still differ. A pair within one component cannot change anything, so no link
-is lost, and a large group of near copies costs a few pairs per text.
+Texts with equal sets are one class. First come the components. Each of the first rounds takes,
+for each prefix n-gram of a class, the first class that has it and the one before, and verifies
+the class with those of them that it meets most often; the last round takes all candidate pairs
+of classes whose components still differ. A pair within one component cannot change anything, so
+a large group of near copies costs a few pairs per text.
+
+Then come the links, all of which lie within a component. Its classes are dealt into blocks, and
+each pair of blocks is a tile: the sets of a tile are compared there, each pair once, and only the
+number of links of each class leaves it. So no pair is written, however many there are.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ _SEGMENT = 1 << 16
 LINEAR_ROUNDS, PARTNERS = 2, 3
 #: Hash ranges whose counts bound the overlap of two sets.
 _RANGES = 16
+#: Classes of a component in one block, on average; a tile holds two blocks.
+BLOCK = 256
 #: Buckets of document ids used to leave out texts in no pair: at most so many broadcast rows.
 _ID_BUCKETS = 1 << 20
 
@@ -132,6 +138,14 @@ def prefix_size(grams: np.ndarray, percent: int) -> np.ndarray:
     return grams - -(-percent * grams // 100) + (grams > 0)
 
 
+def _fingerprints(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two hashes of each row's set, as two rows of whole numbers."""
+    sums = np.zeros((2, len(grams) + 1), np.uint64)
+    np.cumsum(arrowtext.mix(grams + _U64(1)), out=sums[0, 1:])
+    np.cumsum(arrowtext.mix(grams ^ _U64(0x5851F42D4C957F2D)), out=sums[1, 1:])
+    return (sums[:, at[1:]] - sums[:, at[:-1]]).view(np.int64)
+
+
 def _prefixes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     """Per row: doc_id, n_shingles, two set fingerprints and the prefix in global order."""
     levels = documents.sparkSession.sparkContext.broadcast(_frequencies(documents, words))
@@ -145,10 +159,7 @@ def _prefixes(documents: DataFrame, words: int, percent: int) -> DataFrame:
                 grams, at = shingle_rows(data, offsets[a : b + 1], words)
                 count = np.diff(at)
                 row = np.repeat(np.arange(b - a), count)
-                sums = np.zeros((3, len(grams) + 1), np.uint64)
-                np.cumsum(arrowtext.mix(grams + _U64(1)), out=sums[0, 1:])
-                np.cumsum(arrowtext.mix(grams ^ _U64(0x5851F42D4C957F2D)), out=sums[1, 1:])
-                prints.append((sums[:2, at[1:]] - sums[:2, at[:-1]]).view(np.int64))
+                prints.append(_fingerprints(grams, at))
                 level = common[(grams & _U64(SKETCH - 1)).astype(np.int64)]
                 ordered = grams[np.lexsort((grams, level, row))]
                 taken = prefix_size(count, percent)
@@ -189,18 +200,22 @@ def _possible(percent: int, n: Column, pos: Column, m: Column, at: Column) -> Co
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts are similar."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, text) of the rows with one of these ids, and of a few more."""
     bucket = F.pmod(F.xxhash64("id"), F.lit(_ID_BUCKETS)).alias("bucket")
-    # At most _ID_BUCKETS rows, whatever the input: keeps texts in no pair out of the shuffles.
-    used = F.broadcast(ends.select(bucket).distinct())
-    kept = (
+    # At most _ID_BUCKETS rows, whatever the input: keeps other texts out of the shuffles.
+    used = F.broadcast(ids.select(bucket).distinct())
+    return (
         texts.select(F.col("doc_id").alias("id"), "text")
         .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(_ID_BUCKETS)))
         .join(used, "bucket", "left_semi")
         .drop("bucket")
     )
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose texts are similar."""
+    kept = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts)
     sides = pairs.join(
         kept.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
     ).join(kept.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -235,6 +250,115 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(task, "a long, b long")
 
 
+def _tile_links(
+    sets: list[np.ndarray], copies: np.ndarray, block: np.ndarray, across: bool, percent: int
+) -> np.ndarray:
+    """For each set of a tile, the copies of the sets it links with.
+
+    In a tile of two blocks only pairs ``across`` them count: those within have a tile of their
+    own.
+    """
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    number = np.unique(flat, return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    links = np.zeros(len(sets), np.int64)
+    present = np.zeros(int(number.max()) + 1, np.int32)
+    for i in range(len(sets)):
+        own = number[starts[i] : starts[i] + sizes[i]]
+        # Later sets of similar size, so every pair is compared once.
+        low, high = percent * sizes[i] / 100, 100 * sizes[i] / percent
+        fits = (sizes[i + 1 :] >= low - 1e-9) & (sizes[i + 1 :] <= high + 1e-9)
+        if across:
+            fits &= block[i + 1 :] != block[i]
+        others = np.flatnonzero(fits) + i + 1
+        if not len(others):
+            continue
+        present[own] = 1
+        found = present[number[arrowtext.ragged(starts[others], sizes[others])]]
+        shared = np.add.reduceat(found, np.cumsum(sizes[others]) - sizes[others])
+        present[own] = 0
+        similar = others[100 * shared >= percent * (sizes[i] + sizes[others] - shared)]
+        links[i] += copies[similar].sum()
+        links[similar] += copies[i]
+    return links
+
+
+def _links(members: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """(print_a, print_b, n_shingles, links): the documents that each class links with.
+
+    ``members``: print_a, print_b, n_shingles, class_id, copies, component_id and ``n``, the
+    number of classes of the component.
+    """
+    key = ["print_a", "print_b", "n_shingles"]
+    texts = _texts_of(members.select(F.col("class_id").alias("id")), documents)
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = members.withColumn("block", F.pmod(F.xxhash64(*key), blocks)).join(
+        texts.withColumnRenamed("id", "class_id"), "class_id"
+    )
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
+    tiles = dealt.select("*", other).select(
+        "component_id",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "block",
+        *key,
+        "copies",
+        "text",
+    )
+    tile = ["component_id", "i", "j"]
+
+    def counted(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        prints = [table.column(c).to_numpy() for c in key]
+        sets, seen, rows = [], set(), []
+        text = table.column("text").combine_chunks()
+        data, offsets = arrowtext.byte_rows(text)
+        for a, b in arrowtext.row_spans(offsets):
+            grams, at = shingle_rows(data, offsets[a : b + 1], words)
+            found = _fingerprints(grams, at)
+            for k, own in enumerate(np.split(grams, at[1:-1])):
+                name = tuple(int(p[a + k]) for p in prints)
+                # A class is named by an id that other texts may have, too.
+                if name not in seen and name == (int(found[0, k]), int(found[1, k]), len(own)):
+                    seen.add(name)
+                    sets.append(own)
+                    rows.append(a + k)
+        copies, block = (table.column(c).to_numpy()[rows] for c in ("copies", "block"))
+        across = table.column("i")[0] != table.column("j")[0]
+        links = np.empty(0, np.int64)
+        if sets:
+            links = _tile_links(sets, copies, block, across, percent)
+        some = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(p[rows][some]) for p in prints), pa.array(links[some])], [*key, "links"]
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        name = None
+        for batch in batches:
+            marks = np.stack([batch.column(c).to_numpy() for c in tile])
+            edges = np.flatnonzero((np.diff(marks, axis=1) != 0).any(axis=0)) + 1
+            edges = [0, *edges.tolist(), len(batch)] if len(batch) else []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                own = tuple(marks[:, a].tolist())
+                if held and own != name:
+                    yield counted(held)
+                    held = []
+                name = own
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield counted(held)
+
+    found = (
+        tiles.repartition(*tile)
+        .sortWithinPartitions(*tile)
+        .mapInArrow(task, "print_a long, print_b long, n_shingles long, links long")
+    )
+    return found.groupBy(*key).agg(F.sum("links").alias("links"))
+
+
 def _few_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components, a few per class and at most two per posting.
 
@@ -277,23 +401,30 @@ def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
     return labelled.join(group.filter("low < high"), "gram", "left_semi")
 
 
-def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``documents``: doc_id, n_shingles, component_id.
+def join(
+    documents: DataFrame, words: int = 5, percent: int = 80, links: bool = True
+) -> DataFrame:
+    """One row per row of ``documents``: doc_id, n_shingles, component_id, n_links.
+
+    Without ``links`` their numbers are neither computed nor returned.
 
     Two texts are linked when the Jaccard similarity of their sets of ``words``-grams is at
     least ``percent`` / 100. Words are separated by ASCII white space and A-Z are lower-cased.
     A text of fewer words has its whole sequence as the only element; without words the set is
-    empty and links with nothing. component_id is the smallest doc_id reachable by links. Rows
-    that repeat a doc_id are compared each by its own text. A row without doc_id links with
-    nothing and its component_id is null. An empty table gives no rows; other columns are
-    ignored.
+    empty and links with nothing. component_id is the smallest doc_id reachable by links,
+    n_links the number of other rows that the row links with. Rows that repeat a doc_id are
+    compared each by its own text. A row without doc_id links with nothing, its component_id is
+    null and its n_links 0. An empty table gives no rows; other columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     sets = scratch.written(_prefixes(documents, words, percent), "prefixes")
     key = ["print_a", "print_b", "n_shingles"]
     usable = sets.filter("n_shingles > 0 and doc_id is not null")
     classes = scratch.written(
-        usable.groupBy(*key).agg(F.min("doc_id").alias("class_id")), "classes"
+        usable.groupBy(*key).agg(
+            F.min("doc_id").alias("class_id"), F.count("*").alias("copies")
+        ),
+        "classes",
     )
     chosen = usable.join(
         classes.select(*key, F.col("class_id").alias("doc_id")), [*key, "doc_id"], "left_semi"
@@ -319,10 +450,10 @@ def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.written(pairs, "candidates")
         tried = pairs if tried is None else tried.union(pairs)
-        links = _verified(pairs, documents, words, percent)
+        similar = _verified(pairs, documents, words, percent)
         if found is not None:
-            links = links.union(_edges(found))
-        found = scratch.written(components.components(links), "found")
+            similar = similar.union(_edges(found))
+        found = scratch.written(components.components(similar), "found")
         lists = scratch.written(_apart(shared, found), "lists")
 
     # The last round: all remaining candidate pairs whose components differ.
@@ -351,14 +482,32 @@ def join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     second = scratch.written(second, "candidates")
     more = _verified(second, documents, words, percent)
     final = components.components(_edges(found).union(more))
-    by_class = classes.join(
-        final.withColumnRenamed("id", "class_id"), "class_id", "left"
-    ).select(*key, F.coalesce("component_id", "class_id").alias("of_class"))
-    keyed = sets.drop("prefix").join(by_class, key, "left")
-    return keyed.select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("of_class", "doc_id")).alias(
-            "component_id"
+    of_class = scratch.written(
+        classes.join(final.withColumnRenamed("id", "class_id"), "class_id", "left").withColumn(
+            "component_id", F.coalesce("component_id", "class_id")
         ),
+        "of_class",
+    )
+    numbers = []
+    if links:
+        sizes = of_class.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")
+        members = of_class.join(sizes, "component_id")
+        of_class = of_class.join(_links(members, documents, words, percent), key, "left")
+        numbers = [(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")]
+    by_class = of_class.select(*key, F.col("component_id").alias("of_class"), *numbers)
+    named = F.col("doc_id").isNotNull()
+    rows = sets.drop("prefix")
+    zero = [F.lit(0).cast("long").alias("n_links")] if links else []
+    if links:
+        numbers = [F.when(named, F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links")]
+    # Rows without words, of which there may be many, have no class to look up.
+    wordless = rows.filter("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *zero
+    )
+    component = F.when(named, F.coalesce("of_class", "doc_id")).alias("component_id")
+    return (
+        rows.filter("n_shingles > 0")
+        .join(by_class, key, "left")
+        .select("doc_id", "n_shingles", component, *numbers)
+        .union(wordless)
     )

@@ -71,6 +71,64 @@ def test_join_equals_brute_force(spark, words, n, percent):
         else:
             assert row.n_shingles == len(sets[row.doc_id])
             assert row.component_id == expected[row.doc_id]
+            near = [b if a == row.doc_id else a for a, b in links if row.doc_id in (a, b)]
+            times = {5: 3}
+            assert row.n_links == sum(times.get(i, 1) for i in near) + times.get(row.doc_id, 1) - 1
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_numbers_of_links_equal_brute_force(spark, monkeypatch, block):
+    """Near copies of one text, exact copies, ids that stand for several texts, odd rows."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        words_ = list(base)
+        for _ in range(rng.randrange(6)):
+            words_[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        rows.append((i, " ".join(words_)))
+    rows += [(i, rows[i % 7][1].upper()) for i in range(100, 130)]
+    rows += [(3, "another text of a few words"), (3, "another text of a few words"), (3, rows[5][1])]
+    rows += [(200, ""), (201, None), (202, " "), (None, rows[0][1]), (None, rows[0][1]), (203, "lone")]
+    got = jaccard.join(
+        spark.createDataFrame(rows, "doc_id long, text string"), words=2, percent=80
+    ).collect()
+    sets = [shingles(text, 2) for _, text in rows]
+    expected = []
+    for i, (doc_id, _) in enumerate(rows):
+        number = sum(
+            100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+            for j in range(len(rows))
+            if j != i and doc_id is not None and rows[j][0] is not None and sets[i] and sets[j]
+        )
+        expected.append((doc_id, len(sets[i]), number))
+    assert max(n for _, _, n in expected) > 30
+    assert sorted(str((r.doc_id, r.n_shingles, r.n_links)) for r in got) == sorted(map(str, expected))
+    without = jaccard.join(
+        spark.createDataFrame(rows, "doc_id long, text string"), 2, 80, links=False
+    )
+    assert without.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(str(tuple(r)) for r in without.collect()) == sorted(str(tuple(r)[:3]) for r in got)
+
+
+def test_query_counts_all_links(spark):
+    from tempolake.llm.queries import op5_ngram_jaccard
+
+    folder = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    sets = {r.doc_id: shingles(r.text, 4) for r in documents}
+    ids = sorted(sets)
+    links = [
+        (a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    ]
+    expected = {i: 0 for i in ids}
+    for pair in links:
+        for i in pair:
+            expected[i] += 1
+    assert links
+    assert {r.doc_id: r.n_links for r in op5_ngram_jaccard(spark, folder).collect()} == expected
 
 
 def test_join_of_nothing(spark):
