@@ -61,7 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     these stay if one of them does.
     """
     docs = docs.select(*COLUMNS)
-    groups = jaccard.join(docs, words=5, percent=80)
+    groups = jaccard.join(docs, words=5, percent=80, links=False)
     stays = (F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))
     verdicts = (
         groups.filter("doc_id is not null").groupBy("doc_id").agg(F.max(stays).alias("stays"))
