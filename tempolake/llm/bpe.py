@@ -174,7 +174,8 @@ def encode(
 ) -> DataFrame:
     """``rows`` with a column of token ids; null and empty texts have none.
 
-    A column already called ``ids`` is replaced; all others are kept. ``ranks_path`` names
+    A column already called ``ids`` is replaced; all others are kept. Each row is encoded on its
+    own, so repeated rows get the same ids, and an empty table gives no rows. ``ranks_path`` names
     the rank file, which every executor reads for itself.
     """
 
@@ -196,6 +197,7 @@ def decode(
     """``rows`` with the bytes that their token ids stand for; null ids give no bytes.
 
     A decoded id that the vocabulary lacks is an error, as a silent gap would corrupt the text.
+    Repeated rows get the same bytes, and an empty table gives no rows.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,8 @@ LINEAR_ROUNDS, PARTNERS = 2, 3
 _RANGES = 16
 #: Classes of a component in one block, on average; a tile holds two blocks.
 BLOCK = 256
+#: Elements of a tile's sets that are multiplied at a time.
+_COLUMNS = 4096
 #: Buckets of document ids used to leave out texts in no pair: at most so many broadcast rows.
 _ID_BUCKETS = 1 << 20
 
@@ -258,30 +260,27 @@ def _tile_links(
     In a tile of two blocks only pairs ``across`` them count: those within have a tile of their
     own.
     """
+    count = len(sets)
     sizes = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    number = np.unique(flat, return_inverse=True)[1]
-    starts = np.cumsum(sizes) - sizes
-    links = np.zeros(len(sets), np.int64)
-    present = np.zeros(int(number.max()) + 1, np.int32)
-    for i in range(len(sets)):
-        own = number[starts[i] : starts[i] + sizes[i]]
-        # Later sets of similar size, so every pair is compared once.
-        low, high = percent * sizes[i] / 100, 100 * sizes[i] / percent
-        fits = (sizes[i + 1 :] >= low - 1e-9) & (sizes[i + 1 :] <= high + 1e-9)
-        if across:
-            fits &= block[i + 1 :] != block[i]
-        others = np.flatnonzero(fits) + i + 1
-        if not len(others):
-            continue
-        present[own] = 1
-        found = present[number[arrowtext.ragged(starts[others], sizes[others])]]
-        shared = np.add.reduceat(found, np.cumsum(sizes[others]) - sizes[others])
-        present[own] = 0
-        similar = others[100 * shared >= percent * (sizes[i] + sizes[others] - shared)]
-        links[i] += copies[similar].sum()
-        links[similar] += copies[i]
-    return links
+    row = np.repeat(np.arange(count), sizes)
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    # Elements of one set alone are shared with none.
+    row, number = (x[np.bincount(number)[number] > 1] for x in (row, number))
+    _, number = np.unique(number, return_inverse=True)
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    shared = np.zeros((count, count), np.int64)
+    columns = int(number.max(initial=-1)) + 1
+    for first in range(0, columns, _COLUMNS):
+        low, high = np.searchsorted(number, [first, first + _COLUMNS])
+        held = np.zeros((count, min(_COLUMNS, columns - first)), np.float32)
+        held[row[low:high], number[low:high] - first] = 1
+        shared += (held @ held.T).astype(np.int64)
+    similar = 100 * shared >= percent * (sizes[:, None] + sizes - shared)
+    np.fill_diagonal(similar, False)
+    if across:
+        similar &= block[:, None] != block
+    return similar @ copies
 
 
 def _links(members: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:

@@ -269,8 +269,9 @@ def identify(
     ``lang_pred`` is a language of the model, or ``und`` (score 0) for a null text, one without
     a letter, or without a model; equal languages go to the first by name. ``score`` is 0.5
     when the two best languages fit equally and nears 1 the worse the second fits;
-    ``bits_per_letter`` is the estimated entropy under the best. Columns that have the result's
-    names are replaced, all others kept; ``keep`` narrows them.
+    ``bits_per_letter`` is the estimated entropy under the best. Each row is judged on its own, so
+    repeated rows get the same result, and an empty table gives no rows. Columns that have the
+    result's names are replaced, all others kept; ``keep`` narrows them.
     """
     names = ["lang_pred", "score", "bits_per_letter"]
     kept = [c for c in (keep or rows.columns) if c not in names]

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, else below the warehouse folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or (
-        f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    )
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+from tempolake.session import scratch_dir as folder
 
 
 def written(rows: DataFrame, purpose: str) -> DataFrame:

@@ -231,8 +231,10 @@ def score(
     """``rows`` with score (0 to 1) and predicted (1 from 0.5 on) of every whole text.
 
     Null and empty texts get the score of a text without n-grams, which is the share of toxic
-    texts in training; without a model all scores are 0. Columns that have the result's names
-    are replaced, all others kept; ``keep`` narrows them.
+    texts in training; without a model all scores are 0. A score of exactly 0.5 counts as toxic.
+    Each row is scored on its own, so repeated rows get the same score, and an empty table gives
+    no rows. Columns that have the result's names are replaced, all others kept; ``keep`` narrows
+    them.
     """
     names = ["score", "predicted"]
     kept = [c for c in (keep or rows.columns) if c not in names]
