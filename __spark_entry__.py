@@ -27,7 +27,7 @@ from tempolake.plans.wap import ChangedDays
 from tempolake.session import scratch_dir
 from tempolake.sources import bronze, files, kafka, testdata
 from tempolake.streaming.decode import decode
-from tempolake.streaming import replay
+from tempolake.streaming import replay, windows
 from tempolake.streaming.ingest import await_all, start_all, start_counted_ingest, start_ingest
 
 try:
@@ -606,6 +606,61 @@ def _paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times.withColumn("overlaps", F.coalesce(F.col("first_ts") <= before, F.lit(False)))
 
 
+def _figures(
+    spark: SparkSession,
+    sf_dir: str,
+    topic: Topic,
+    figures: Callable[[DataFrame], DataFrame],
+    columns: str,
+) -> DataFrame:
+    """Final figures after messages came in slices of six days, each in a run of its own."""
+    folder = scratch_dir(spark, "figures")
+    staged = _staged(spark, sf_dir, topic, folder, 6)
+    deliver = replay.to_files(f"{folder}/lines")
+
+    def send(messages: DataFrame, number: int) -> None:
+        deliver(messages, number)
+        lines = files.stream_lines(spark, f"{folder}/lines")
+        windows.start_figures(
+            figures(decode(lines, topic)),
+            f"{folder}/figures",
+            f"{folder}/checkpoint",
+            BACKFILL,
+            spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+
+    replay.replay(spark, staged, send, 6 * DAY_MS)
+    return spark.read.schema(columns).parquet(f"{folder}/figures")
+
+
+def _stream_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The songs that rank third or better in each finished window of two days, daily."""
+    counted = _figures(
+        spark,
+        sf_dir,
+        LISTEN,
+        lambda plays: windows.plays_per_window(plays, ["song"], "2 days", "1 day", "1 day"),
+        "window_start timestamp, window_end timestamp, song string, plays bigint",
+    )
+    ranked = ranking.rank_by_count(
+        counted, counted.select("window_start", "plays"), "window_start", "plays", "song_rank"
+    )
+    return ranking.top_n(ranked, 3, "song_rank").select(
+        "window_start", "window_end", "song", "plays", "song_rank"
+    )
+
+
+def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished sessions of page views: a user's views less than twelve hours apart."""
+    return _figures(
+        spark,
+        sf_dir,
+        PAGE_VIEW,
+        lambda views: windows.user_sessions(views, "12 hours", delay="1 hour"),
+        "session_start timestamp, last_event timestamp, userId int, events bigint",
+    )
+
+
 def _ingested(
     spark: SparkSession, folder: str, rows: dict[str, DataFrame]
 ) -> dict[str, bronze.BatchTable]:
@@ -818,6 +873,8 @@ def _registered() -> dict[str, Query]:
         "stream_rejects": _stream_rejects,
         "stream_dedup": _stream_dedup,
         "stream_dedup_restart": _stream_dedup_restart,
+        "stream_top_songs": _stream_top_songs,
+        "stream_sessions": _stream_sessions,
         "ingest_counts": _ingest_counts,
         "paced_replay": _paced_replay,
         "changed_days": _changed_days,

@@ -392,6 +392,31 @@ def _more() -> dict[str, str]:
               FROM (SELECT DISTINCT {_BRONZE['auth_events']} FROM auth_events) GROUP BY 1)
             GROUP BY slice // 2"""
         ),
+        "stream_top_songs": _on_events(
+            select="""SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, song, plays,
+              song_rank
+            FROM (
+              SELECT window_start, song, count(*) AS plays,
+                rank() OVER (PARTITION BY window_start ORDER BY count(*) DESC) AS song_rank
+              FROM (
+                SELECT song, epoch_ms((ts // 86400000 - back) * 86400000) AS window_start
+                FROM listen_events, (VALUES (0), (1)) AS days (back))
+              GROUP BY window_start, song)
+            WHERE song_rank <= 3 AND epoch_ms(window_start) + 172800000
+              <= (SELECT max(ts) - 86400000 FROM listen_events)"""
+        ),
+        "stream_sessions": _on_events(
+            select="""SELECT epoch_ms(min(ts)) AS session_start, epoch_ms(max(ts)) AS last_event,
+              "userId", count(*) AS events
+            FROM (
+              SELECT *, sum(starts) OVER (PARTITION BY "userId" ORDER BY ts) AS session
+              FROM (
+                SELECT "userId", ts, (coalesce(ts - lag(ts) OVER (
+                  PARTITION BY "userId" ORDER BY ts) >= 43200000, TRUE))::INT AS starts
+                FROM page_view_events WHERE "userId" IS NOT NULL))
+            GROUP BY "userId", session
+            HAVING max(ts) + 43200000 <= (SELECT max(ts) - 3600000 FROM page_view_events)"""
+        ),
         "ingest_counts": _with(
             _BAD_LINES,
             select="""SELECT 2::BIGINT AS batches, count(*) FILTER (kind <> 1) AS lines,

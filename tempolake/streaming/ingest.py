@@ -31,7 +31,7 @@ _STATE = {
 
 
 @contextmanager
-def _state_settings(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+def state_settings(spark: SparkSession, partitions: int | None) -> Iterator[None]:
     """Settings that a stateful query takes over when it starts, and its checkpoint keeps."""
     wanted = dict(_STATE)
     if partitions:
@@ -83,7 +83,7 @@ def start_ingest(
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{table.topic.name}")
         .trigger(**(trigger or COMMIT_INTERVAL))
     )
-    with _state_settings(lines.sparkSession, state_partitions):
+    with state_settings(lines.sparkSession, state_partitions):
         return writer.format("parquet").partitionBy("event_date").start(table.path)
 
 

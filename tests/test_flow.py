@@ -181,3 +181,32 @@ def test_undated_rows_stop_the_publish(spark, tmp_path):
     with pytest.raises(AuditFailed, match="event_date"):
         Pipeline(warehouse, raw).run()
     assert warehouse.published("silver") == {}
+
+
+@pytest.mark.parametrize(
+    "master, checkpoints, warehouse, expected",
+    [
+        ("local[4]", None, "/tmp/wh", "/tmp/wh"),
+        ("local[4]", None, "file:/tmp/wh/", "file:/tmp/wh"),
+        ("spark://host:7077", "s3a://bucket/c/", "/tmp/wh", "s3a://bucket/c"),
+        ("spark://host:7077", None, "hdfs://name/wh", "hdfs://name/wh"),
+        ("spark://host:7077", None, "/tmp/wh", None),
+        ("spark://host:7077", None, "file:///tmp/wh", None),
+        ("yarn", None, "spark-warehouse", None),
+    ],
+)
+def test_runs_write_to_a_shared_folder_only(master, checkpoints, warehouse, expected):
+    from types import SimpleNamespace
+
+    from tempolake.session import shared_dir
+
+    settings = {"spark.checkpoint.dir": checkpoints, "spark.sql.warehouse.dir": warehouse}
+    spark = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+    if expected is None:
+        with pytest.raises(RuntimeError, match="executors do not share"):
+            shared_dir(spark)
+    else:
+        assert shared_dir(spark) == expected

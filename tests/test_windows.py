@@ -1,0 +1,89 @@
+"""Sliding windows and sessions of a stream, over restarts."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tempolake.schemas import LISTEN
+from tempolake.sources.files import stream_lines
+from tempolake.streaming.decode import decode
+from tempolake.streaming.windows import plays_per_window, start_figures, user_sessions
+
+MINUTE = 60_000
+START = 1_700_000_040_000  # a whole minute
+
+
+def play(user, minute, song="s"):
+    ts = None if minute is None else START + int(minute * MINUTE)
+    return {"userId": user, "ts": ts, "song": song, "artist": "a"}
+
+
+class Figures:
+    def __init__(self, spark, folder, figures, columns):
+        self.spark, self.folder, self.figures, self.columns = spark, folder, figures, columns
+        self.deliveries = 0
+        (folder / "lines").mkdir()
+
+    def run(self, *plays):
+        text = "\n".join(map(json.dumps, plays)) + "\n"
+        (self.folder / "lines" / f"{self.deliveries}.txt").write_text(text)
+        self.deliveries += 1
+        messages = decode(stream_lines(self.spark, f"{self.folder}/lines"), LISTEN)
+        query = start_figures(
+            self.figures(messages), f"{self.folder}/figures", f"{self.folder}/checkpoint",
+            {"availableNow": True}, 2,
+        )
+        query.awaitTermination()
+        return self.spark.read.schema(self.columns).parquet(f"{self.folder}/figures")
+
+
+def minutes(column):
+    return ((F.unix_millis(column) - START) / MINUTE).cast("double")
+
+
+def test_windows_slide_and_are_final(spark, tmp_path):
+    figures = Figures(
+        spark, tmp_path,
+        lambda m: plays_per_window(m, ["song"], "2 minutes", "1 minute", "30 seconds"),
+        "window_start timestamp, window_end timestamp, song string, plays long",
+    )
+
+    def rows(found):
+        return sorted(
+            map(tuple, found.select(minutes("window_start"), "song", "plays").collect())
+        )
+
+    assert rows(figures.run(play(1, 0.5), play(2, 0.7), play(3, 0.9, "t"), play(4, None))) == []
+    # The watermark stands at 1.7 minutes: windows that end by then are final.
+    found = figures.run(play(1, 2.2))
+    assert rows(found) == [(-1.0, "s", 2), (-1.0, "t", 1)]
+    # A play that is too late for a window still counts in the one that is open.
+    found = figures.run(play(5, 0.9), play(1, 4))
+    assert rows(found) == [
+        (-1.0, "s", 2), (-1.0, "t", 1), (0.0, "s", 3), (0.0, "t", 1), (1.0, "s", 1),
+    ]
+
+
+def test_sessions_end_with_a_gap(spark, tmp_path):
+    figures = Figures(
+        spark, tmp_path, lambda m: user_sessions(m, "10 minutes", delay="1 minute"),
+        "session_start timestamp, last_event timestamp, userId int, events long",
+    )
+
+    def rows(found):
+        spans = (minutes("session_start"), minutes("last_event"))
+        return sorted(map(tuple, found.select("userId", *spans, "events").collect()))
+
+    assert rows(figures.run(play(1, 0), play(1, 4), play(2, 3), play(None, 3), play(1, None))) == []
+    assert rows(figures.run(play(1, 12), play(2, 30))) == [(1, 0.0, 12.0, 3), (2, 3.0, 3.0, 1)]
+    assert rows(figures.run(play(1, 60)))[2:] == [(2, 30.0, 30.0, 1)]
+
+
+@pytest.mark.parametrize("figure", [
+    lambda m: plays_per_window(m, ["song"], "1 minute"),
+    lambda m: user_sessions(m, "1 minute"),
+])
+def test_no_plays_give_no_figures(spark, figure):
+    empty = spark.createDataFrame([], LISTEN.message_schema)
+    assert figure(empty).count() == 0
