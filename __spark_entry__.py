@@ -531,15 +531,15 @@ def _sent_twice(spark: SparkSession, staged: str, folder: str) -> replay.Send:
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views of which all but the last days' come twice, over several triggers."""
     folder = scratch_dir(spark, "dedup")
-    staged = _staged(spark, sf_dir, PAGE_VIEW, folder, 6)
-    replay.replay(spark, staged, _sent_twice(spark, staged, f"{folder}/lines"), 6 * DAY_MS)
+    staged = _staged(spark, sf_dir, PAGE_VIEW, folder, 11)
+    replay.replay(spark, staged, _sent_twice(spark, staged, f"{folder}/lines"), 11 * DAY_MS)
     table = bronze.FileSinkTable(spark, f"{folder}/bronze", PAGE_VIEW)
     start_ingest(
-        files.stream_lines(spark, f"{folder}/lines", max_files=6),
+        files.stream_lines(spark, f"{folder}/lines", max_files=12),
         table,
         f"{folder}/checkpoint",
         BACKFILL,
-        once="13 days",
+        once="23 days",
         state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return table.read()
@@ -587,9 +587,9 @@ def _ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays replayed in slices of five days, a trigger each: the times of every batch."""
+    """Plays replayed in slices of eight days, a trigger each: the times of every batch."""
     folder = scratch_dir(spark, "paced")
-    staged = _staged(spark, sf_dir, LISTEN, folder, 5)
+    staged = _staged(spark, sf_dir, LISTEN, folder, 8)
     table = bronze.BatchTable(spark, f"{folder}/bronze", LISTEN)
     deliver = replay.to_files(f"{folder}/lines")
 
@@ -598,7 +598,7 @@ def _paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = files.stream_lines(spark, f"{folder}/lines")
         start_counted_ingest(source, table, f"{folder}/checkpoint", BACKFILL).awaitTermination()
 
-    replay.replay(spark, staged, send, 5 * DAY_MS)
+    replay.replay(spark, staged, send, 8 * DAY_MS)
     times = table.batches().groupBy("batch_id").agg(
         F.count("*").alias("rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
@@ -613,9 +613,9 @@ def _figures(
     figures: Callable[[DataFrame], DataFrame],
     columns: str,
 ) -> DataFrame:
-    """Final figures after messages came in slices of six days, each in a run of its own."""
+    """Final figures after messages came in two halves of a month, each in a run of its own."""
     folder = scratch_dir(spark, "figures")
-    staged = _staged(spark, sf_dir, topic, folder, 6)
+    staged = _staged(spark, sf_dir, topic, folder, 16)
     deliver = replay.to_files(f"{folder}/lines")
 
     def send(messages: DataFrame, number: int) -> None:
@@ -629,7 +629,7 @@ def _figures(
             spark.sparkContext.defaultParallelism,
         ).awaitTermination()
 
-    replay.replay(spark, staged, send, 6 * DAY_MS)
+    replay.replay(spark, staged, send, 16 * DAY_MS)
     return spark.read.schema(columns).parquet(f"{folder}/figures")
 
 

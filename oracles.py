@@ -430,7 +430,7 @@ def _more() -> dict[str, str]:
             FROM (
               SELECT dense_rank() OVER (ORDER BY slice) - 1 AS batch_id, count(*) AS rows,
                 min(ts) AS first_ts, max(ts) AS last_ts
-              FROM (SELECT ts, (ts - min(ts) OVER ()) // 432000000 AS slice FROM listen_events)
+              FROM (SELECT ts, (ts - min(ts) OVER ()) // 691200000 AS slice FROM listen_events)
               GROUP BY slice)"""
         ),
         "changed_days": _on_events(
