@@ -71,6 +71,21 @@ def test_new_days_add_their_sets(spark, plays, tmp_path):
     assert read.count("Relation [") == 1 and "LocalRelation" not in read
 
 
+def test_sets_take_no_more_than_their_users(spark, tmp_path):
+    ids = [-(2**63), 2**63 - 1, *range(-129, 130), *(n * 40_000 for n in range(2_000))]
+    plays = [(JAN, 3, i) for i in ids] * 2
+    listens = spark.createDataFrame(plays, "event_date date, hour_of_day int, user_id long")
+    made = sets.listener_sets(listens)
+    made.write.parquet(f"{tmp_path}/sets")
+    stored = spark.read.parquet(f"{tmp_path}/sets")
+    # A row of fixed, small size per user at most, and nothing is sorted to build or unite sets.
+    assert dict(stored.dtypes)["users"] == "bigint"
+    assert stored.count() <= len(set(ids))
+    united = sets.count_members(stored, ["event_date"], "n")
+    assert united.collect() == [(JAN, len(set(ids)))]
+    assert "SortAggregate" not in plan_of(made) + plan_of(united)
+
+
 def test_no_plays_have_no_sets(spark):
     empty = spark.createDataFrame([], "event_date date, hour_of_day int, user_id long")
     assert sets.listener_sets(empty).count() == 0
