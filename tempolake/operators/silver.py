@@ -15,6 +15,7 @@ from tempolake.functions import (
     clean_text,
     day_of_week,
     event_time,
+    trim_all,
     utc_date,
     utc_hour,
     week_of_year,
@@ -109,9 +110,10 @@ def silver_page_view_events(
     bronze: DataFrame, dedup_keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Page views of user-facing pages; rows without a page are dropped as well."""
-    cleaned = _known_users(bronze).withColumn("page", clean_text(F.col("page")))
+    # Filtered by the trimmed text, which the condition then holds once, however far it is pushed.
+    kept = _known_users(bronze).filter(~trim_all(F.col("page")).isin("", *EXCLUDED_PAGES))
     return (
-        _one_per_key(cleaned.filter(~F.col("page").isin(*EXCLUDED_PAGES)), dedup_keys)
+        _one_per_key(kept.withColumn("page", clean_text(F.col("page"))), dedup_keys)
         .select(
             *_ids(),
             F.col("page"),

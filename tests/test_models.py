@@ -4,6 +4,7 @@ import datetime
 import random
 from collections import Counter, defaultdict
 
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tempolake.operators import gold, silver
@@ -238,3 +239,12 @@ def test_status_rows_share_one_time(spark):
     assert gold.last_refresh(status).first()[0] is not None
     unready = status.withColumn("is_ready", F.col("table_name") != gold.STATUS_TABLES[0])
     assert gold.last_refresh(unready).first()[0] is None
+
+
+def test_filtering_pages_parses_few_times(spark):
+    views = event_tables(spark, SMALL)[PAGE_VIEW.name]
+    plan = silver.silver_page_view_events(views)._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the filter, wherever it is pushed to, and once for the columns.
+    assert 1 <= plan.count("get_json_object") <= 2
+    names = {"Error", "Upgrade", " Save Settings ", "  ", "Home", " Help", "About", "Logout"}
+    assert {r.page for r in views.select("page").distinct().collect()} == {*names, "NextSong"}
