@@ -34,6 +34,8 @@ SAMPLE_TEXTS, SAMPLE_TEXT_CHARS = 200, 8_000
 ALPHABET, DIGITS = 62, 32
 #: Letters per block. Phrases end with their block, the same for a text wherever it is parsed.
 BLOCK = 1024
+#: States placed in the table of transitions at a time.
+_STATES = 4096
 
 UNDETERMINED = "und"
 _GAP, _RARE = 0, 1
@@ -177,31 +179,39 @@ def train(
     known, spelled = ("".join(sorted(part)) for part in (ordered[:single], ordered[single:]))
     model = Model(sorted(texts), known, np.empty(0), np.empty(0), np.empty(0), spelled)
     symbols, width = model.symbols(), model.width
-    tables, bits = [], []
+    sequences = []
     for language in model.languages:
         data = pa.array(texts[language], pa.string())
         _, points, bounds = arrowtext.code_points(*arrowtext.byte_rows(data))
         found = symbols[points]
         found[found == _RARE] = _GAP  # a form without a symbol of its own
-        sequence, _ = _spelled(*_squeezed(found, bounds))
-        tables.append(automaton(sequence, width))
-        bits.append(np.log2(max(2, len(sequence))))
-    starts = np.cumsum([0] + [t.size for t in tables])
-    full = np.empty(starts[-1], np.int64)
-    for table, start in zip(tables, starts, strict=False):
-        known_first = table[0] >= 0
-        after = np.where(known_first, table[0], 0)  # where a phrase that starts here goes
-        missing = table < 0
-        ended = missing & (np.arange(len(table)) > 0)[:, None]
+        sequences.append(_spelled(*_squeezed(found, bounds))[0])
+    bits = [np.log2(max(2, len(sequence))) for sequence in sequences]
+    # One automaton at a time, into room for the most states that there can be: pages that are
+    # never written take no memory.
+    most = sum(2 * max(1, len(sequence)) for sequence in sequences) * width
+    full = np.empty(most, np.int32 if 4 * most + 3 < 2**31 else np.int64)
+    starts, size = [], 0
+    for sequence in sequences:
+        starts.append(size)
+        size += _placed(automaton(sequence, width), full[size:], size)
+    return Model(model.languages, known, np.array(bits), np.array(starts), full[:size], spelled)
+
+
+def _placed(table: np.ndarray, room: np.ndarray, start: int) -> int:
+    """Puts an automaton's table into ``room``, which starts at this place; how much it takes."""
+    states, width = table.shape
+    placed = room[: table.size].reshape(states, width)
+    known_first = table[0] >= 0
+    after = np.where(known_first, table[0], 0)  # where a phrase that starts here goes
+    for first in range(0, states, _STATES):
+        part = table[first : first + _STATES]
+        missing = part < 0
+        ended = missing & (np.arange(first, first + len(part)) > 0)[:, None]
         phrases = ended.astype(np.int64) + (missing & ~known_first)
-        following = np.where(missing, after, table)
-        full[start : start + table.size] = (
-            ((following.astype(np.int64) * width + start) << 2) | phrases
-        ).ravel()
-    kind = np.int32 if full.max(initial=0) < 2**31 else np.int64
-    return Model(
-        model.languages, known, np.array(bits), starts[:-1], full.astype(kind), spelled
-    )
+        following = np.where(missing, after, part).astype(np.int64)
+        placed[first : first + len(part)] = ((following * width + start) << 2) | phrases
+    return table.size
 
 
 def phrases(model: Model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -191,3 +191,20 @@ def test_toxicity_held_out(spark, folder):
     clean = [r.predicted for r in held if not known[r.doc_id]]
     # A few hundred toxic texts to learn from; more labels find more (see the README).
     assert len(toxic) > 50 and np.mean(toxic) > 0.6 and np.mean(clean) < 0.02
+
+
+def test_tables_are_placed_in_one_piece_of_room():
+    random = np.random.default_rng(3)
+    full, size = np.empty(200_000, np.int32), 0
+    for length in (0, 1, 2, 9_000):  # the last takes several rounds
+        sequence = random.integers(0, 5, length)
+        table = language.automaton(sequence, 6)
+        start, size = size, size + language._placed(table, full[size:], size)
+        places = full[start:size].reshape(table.shape)
+        known = table >= 0
+        assert ((places >> 2)[known] == table[known] * 6 + start).all()
+        # Elsewhere a phrase ends and the next one starts with the symbol, if some phrase does.
+        after = np.where(known[0], table[0], 0) * 6 + start
+        assert ((places >> 2)[~known] == np.broadcast_to(after, table.shape)[~known]).all()
+        ended = np.broadcast_to(np.arange(len(table))[:, None] > 0, table.shape)
+        assert ((places & 3) == np.where(known, 0, ended.astype(int) + ~known[0])).all()
