@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from conftest import SMALL
 from tempolake.operators import gold, ranking, sets
 from tempolake.operators.intervals import join_ranges
 
@@ -86,6 +88,17 @@ def test_sets_take_no_more_than_their_users(spark, tmp_path):
     assert "SortAggregate" not in plan_of(made) + plan_of(united)
 
 
+def test_sets_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    """However many plays there are: a task holds nearly one set per play."""
+    monkeypatch.setattr(entry, "SET_ROWS", 100, raising=False)
+    seen, make = [], sets.listener_sets
+    monkeypatch.setattr(sets, "listener_sets", lambda plays: seen.append(plays) or make(plays))
+    entry.queries()["listeners_from_sets"](spark, SMALL)
+    [plays] = seen
+    per_task = plays.groupBy(F.spark_partition_id()).count()
+    assert per_task.agg(F.max("count")).first()[0] <= 300
+
+
 def test_no_plays_have_no_sets(spark):
     empty = spark.createDataFrame([], "event_date date, hour_of_day int, user_id long")
     assert sets.listener_sets(empty).count() == 0
