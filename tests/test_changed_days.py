@@ -2,11 +2,14 @@
 
 import datetime
 import json
+import threading
 
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from conftest import SMALL
 from tempolake import Warehouse
 from tempolake.operators.quality import AuditFailed
 from tempolake.plans.wap import ChangedDays
@@ -164,3 +167,16 @@ def test_conditions_of_days(spark):
     for days in ([], [date(0)], [None], [None, date(1), date(0)]):
         got = [r[0] for r in rows.filter(F.expr(on_days(days))).collect()]
         assert set(got) == set(days) and len(got) == len(days)
+
+
+def test_topics_come_in_at_the_same_time(spark, monkeypatch):
+    """No topic's ingest waits for the end of another's."""
+    together, start = threading.Barrier(3, timeout=60), entry.start_counted_ingest
+
+    def started(*args):
+        together.wait()
+        return start(*args)
+
+    monkeypatch.setattr(entry, "start_counted_ingest", started)
+    rows = entry.queries()["changed_days"](spark, SMALL)
+    assert {r.rebuilt for r in rows.select("rebuilt").distinct().collect()} == {True, False}
