@@ -29,6 +29,9 @@ from tempolake.llm import scratch
 
 #: Records per file, the first being the file's own.
 FILE_RECORDS = 1000
+#: Hadoop's name of zlib's level 4: files a few percent larger than at its usual 6, in less than
+#: half the time.
+ZLIB_LEVEL = "FOUR"
 
 # The header fields of the ARC versions and the revisit profile.
 ARC_FIELDS = {
@@ -239,6 +242,7 @@ def _write(records: DataFrame, path: str, separator: str) -> None:
     (
         records.write.option("lineSep", separator)
         .option("compression", "gzip")
+        .option("zlib.compress.level", ZLIB_LEVEL)
         .option("maxRecordsPerFile", FILE_RECORDS)
         .text(path)
     )

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import zlib
 
 import pytest
 
@@ -131,3 +132,16 @@ def test_a_payload_that_most_pages_share(spark):
     assert len(empty) == 2100 and len(got) == 3000
     assert {r.page_id for r in empty if r.record_type == "response"} == {2996}
     assert {r.refers_to for r in empty if r.record_type == "revisit"} == {2996}
+
+
+def test_files_are_packed_at_the_set_level(spark, tmp_path):
+    html = "".join(f"<p>{hashlib.sha1(str(n % 700).encode()).hexdigest()[: n % 40]} {n}" for n in range(9000))
+    pages = spark.createDataFrame([(1, "http://a", html)], "page_id long, url string, html string")
+    archive.write_arc(pages.coalesce(1), str(tmp_path / "arc"))
+    archive.to_warc(archive.read_arc_records(spark, str(tmp_path / "arc")).coalesce(1), str(tmp_path / "warc"))
+    for kind in ("arc", "warc"):
+        file = max((tmp_path / kind).glob("part-*"), key=lambda f: f.stat().st_size)
+        raw = gzip.decompress(file.read_bytes())
+        assert html.encode() in raw
+        level = {n: abs(len(zlib.compress(raw, n)) - file.stat().st_size) for n in (1, 4, 6)}
+        assert level[4] == min(level.values()) < level[6]
