@@ -5,16 +5,17 @@ the intervals are the bucket. A query visits its own bucket and those next to it
 of their estimated success: the nearer the projection to a boundary, the likelier the neighbour
 lies beyond it. The candidates of all tables are ranked by exact double-precision distances.
 
-Rows and probes are packed by bucket into blocks of bounded size and joined on the bucket, so a
-full bucket is several blocks, and a block returns its nearest few per query, not its pairs.
-Equal vectors are indexed once, with the smallest ids that can be among the results. A query
-that its probes leave with too few results is compared with all rows, in blocks.
+Rows and probes are dealt by bucket in one shuffle and meet in its tasks, so neither side is ever
+held whole; a full bucket is dealt over several cells, each row meeting each probe in one of
+them. A cell returns its nearest few per query, not its pairs. Equal vectors are indexed once,
+with the smallest ids that can be among the results, and equal queries are looked up once. A
+query that its probes leave with too few results is compared with all rows, in cells as well.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,13 @@ PROBES = 40
 WIDTH = 2.0
 _SEED = 20240607
 _ROWS, _QUERIES = 2048, 512
+#: Bytes of rows, and queries, that a cell holds at most, give or take what chance deals it.
+_CELL, _ASKED = 1 << 24, 1 << 16
+_BATCH = 10_000
+_BUCKET = ["number", "bucket", "dim"]
 
-_U64 = np.uint64
+#: Of vectors of one length: the number of a table, positions, and the bucket of each.
+Keys = Callable[[np.ndarray], Iterator[tuple[int, np.ndarray, np.ndarray]]]
 
 
 class Projections:
@@ -98,34 +104,161 @@ def nearest(
     else:
         q, r = (a.ravel() for a in np.indices(rough.shape))
     exact = np.sqrt(((x[q] - y[r]) ** 2).sum(axis=1))
-    order = np.lexsort((ids[r], exact, q))
-    q, r, exact = q[order], r[order], exact[order]
-    first = np.searchsorted(q, q)
-    keep = np.arange(len(q)) - first < k
-    return q[keep], ids[r[keep]], exact[keep]
+    return _first(q, ids[r], exact, k)
 
 
-def _ranked(pairs: DataFrame, blocks: DataFrame, on: list[str], kind: str, k: int):
-    """(query_id, near, distance) of the nearest of each pair of blocks."""
-    found = pairs.join(blocks, on)
+def _first(
+    q: np.ndarray, ids: np.ndarray, distance: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` nearest of every query, ties by id."""
+    order = np.lexsort((ids, distance, q))
+    q, ids, distance = q[order], ids[order], distance[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], ids[keep], distance[keep]
+
+
+class Parts:
+    """Over how many parts the rows, and the queries, of each full bucket are dealt.
+
+    A cell is one part of the rows with one of the queries: a row goes to the cells of all parts
+    of the queries, and a query to those of all parts of the rows.
+    """
+
+    def __init__(self, rows: pa.Table | None = None, asked: pa.Table | None = None):
+        self.sides: list[dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]] = []
+        for full in (rows, asked):
+            side = {}
+            if full is not None and len(full):
+                number, bucket, dim, parts = (
+                    full.column(c).to_numpy() for c in (*_BUCKET, "parts")
+                )
+                for n, d in set(zip(number.tolist(), dim.tolist(), strict=True)):
+                    own = np.flatnonzero((number == n) & (dim == d))
+                    own = own[np.argsort(bucket[own])]
+                    side[n, d] = bucket[own], parts[own]
+            self.sides.append(side)
+
+    def cells(
+        self, number: int, dim: int, keys: np.ndarray, ids: np.ndarray, asked: bool
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``keys``, once for each cell that the vector goes to, and the cells."""
+        counts = []
+        for side in self.sides:
+            bucket, parts = side.get((number, dim), (None, None))
+            if bucket is None:
+                counts.append(np.ones(len(keys), np.int64))
+                continue
+            at = np.minimum(np.searchsorted(bucket, keys), len(bucket) - 1)
+            counts.append(np.where(bucket[at] == keys, parts[at], 1))
+        own, others = counts[::-1] if asked else counts
+        at = np.repeat(np.arange(len(keys)), others)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(others) - others, others)
+        with np.errstate(over="ignore"):
+            mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+        part = (mixed.astype(np.int64) % own)[at]
+        return at, nth * own[at] + part if asked else part * others[at] + nth
+
+
+def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """(length, rows, vectors) of a few rows with vectors of one length at a time."""
+    for whole in batches:
+        for at in range(0, len(whole), _ROWS):
+            batch = whole.slice(at, _ROWS)
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                part = batch.filter(pa.array(dims == dim))
+                yield int(dim), part, vectors.matrix(part.column("embedding"))
+
+
+def _counted(rows: DataFrame, keys_of: Callable[[int], Keys]) -> DataFrame:
+    """(number, bucket, dim, n): the vectors that go to each bucket."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(c for c in batch.columns), strict=True):
-                asked, xs, ids, ys = (cell.as_py() for cell in row)
-                asked, ids = np.frombuffer(asked, "<i8"), np.frombuffer(ids, "<i8")
-                x = np.frombuffer(xs, kind).reshape(len(asked), -1)
-                y = np.frombuffer(ys, kind).reshape(len(ids), -1)
-                q, near, distance = nearest(x, y, ids, k)
+        for dim, _, block in _by_length(batches):
+            for number, _, keys in keys_of(dim)(block):
+                bucket, n = np.unique(keys, return_counts=True)
+                same = [np.full(len(n), x, np.int64) for x in (number, dim)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked[q]), pa.array(near), pa.array(distance)],
-                    ["query_id", "near", "distance"],
+                    [pa.array(x) for x in (same[0], bucket, same[1], n)], [*_BUCKET, "n"]
                 )
 
-    return found.select("asked", "xs", "ids", "vectors").mapInArrow(
-        task, "query_id long, near long, distance double"
+    counts = rows.mapInArrow(task, "number long, bucket long, dim long, n long")
+    return counts.groupBy(*_BUCKET).agg(F.sum("n").alias("n"))
+
+
+def _dealt(rows: DataFrame, keys_of: Callable[[int], Keys], parts: Parts, asked: bool) -> DataFrame:
+    """Each vector of ``rows`` (id, embedding, dim) once for each cell that it goes to."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, part, block in _by_length(batches):
+            ids = part.column("id").to_numpy()
+            for number, rows, keys in keys_of(dim)(block):
+                at, cells = parts.cells(number, dim, keys, ids[rows], asked)
+                for a in range(0, len(at), _BATCH):
+                    some, cell = at[a : a + _BATCH], cells[a : a + _BATCH]
+                    out = part.take(pa.array(rows[some]))
+                    same = [pa.array(np.full(len(some), x, np.int64)) for x in (number, dim, asked)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            same[0], pa.array(keys[some]), same[1], pa.array(cell), same[2],
+                            out.column("id"), out.column("embedding"),
+                        ],
+                        [*_BUCKET, "part", "asked", "id", "embedding"],
+                    )
+
+    kind = rows.schema["embedding"].dataType.simpleString()
+    schema = "number long, bucket long, dim long, part long, asked long, id long"
+    return rows.select("dim", "id", "embedding").mapInArrow(task, f"{schema}, embedding {kind}")
+
+
+def _ranked(rows: DataFrame, asked: DataFrame, partitions: int, k: int) -> DataFrame:
+    """(query_id, near, distance) of the nearest rows of every query in each cell."""
+    cell = [*_BUCKET, "part"]
+    # Both sides in one shuffle, not in a join: an estimate from the files of the queries, before
+    # they are probed, would let a join send all probes through the driver.
+    met = (
+        rows.unionByName(asked)
+        .repartition(partitions, *cell)
+        .sortWithinPartitions(*cell, "asked", "id")
     )
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = [], []
+        found, size = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["query_id", "near", "distance"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_numpy().tolist() for c in (*cell, "asked")]
+            for a, b in vectors.equal_runs(batch, [*cell, "asked"], _ROWS):
+                *own, probe = (c[a] for c in columns)
+                if own != at:
+                    at, held = own, []
+                if probe and not held:
+                    continue
+                part = batch.slice(a, b - a)
+                ids, block = part.column("id").to_numpy(), vectors.matrix(part.column("embedding"))
+                if not probe:
+                    held.append((block, ids))
+                    continue
+                for c in range(0, len(ids), _QUERIES):
+                    some = [nearest(block[c : c + _QUERIES], *rows, k) for rows in held]
+                    q, near, distance = some[0]
+                    if len(some) > 1:
+                        joined = (np.concatenate(x) for x in zip(*some, strict=True))
+                        q, near, distance = _first(*joined, k)
+                    found.append((ids[c : c + _QUERIES][q], near, distance))
+                    size += len(q)
+                if size >= _BATCH:
+                    yield batch_of()
+                    found, size = [], 0
+        if found:
+            yield batch_of()
+
+    return met.mapInArrow(task, "query_id long, near long, distance double")
+
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     nearest_first = Window.partitionBy("query_id").orderBy("distance", "near")
@@ -161,7 +294,7 @@ def search(
     spark = table.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     everything = vectors.rows(table)
-    kind = vectors.dtype(everything)
+    width_of = np.dtype(vectors.dtype(everything)).itemsize
     valid = _one_per_id(vectors.usable(everything))
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     # Of equal vectors only the k + 1 smallest ids can be results.
@@ -176,102 +309,104 @@ def search(
     unit = float(f"{size[1] or 1.0:.4g}") * width
     # A query is the row that its vec_id stands for in the table.
     ids = vectors.rows(queries).select("vec_id").distinct()
-    asked = valid.join(ids, "vec_id", "left_semi")
-    asked = scratch.written(
-        asked.select(
-            F.col("vec_id").alias("id"), "embedding", F.size("embedding").alias("dim")
-        ),
-        "queries",
+    asked = scratch.written(valid.join(ids, "vec_id", "left_semi"), "queries")
+    # Equal queries are looked up once, under the smallest of their ids.
+    questions = scratch.written(
+        asked.groupBy("embedding")
+        .agg(F.min("vec_id").alias("id"))
+        .select("id", "embedding", F.size("embedding").alias("dim")),
+        "questions",
     )
-
-    def hashed(most: int):
-        """A task that emits each vector once per table and probe."""
-
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for at in range(0, len(whole), _ROWS):
-                    batch = whole.slice(at, _ROWS)
-                    dims = batch.column("dim").to_numpy()
-                    for dim in np.unique(dims):
-                        part = batch.filter(pa.array(dims == dim))
-                        block = vectors.matrix(part.column("embedding"))
-                        functions = Projections(int(dim), tables, hashes, unit)
-                        places = functions.places(block)
-                        intervals = np.floor(places).astype(np.int64)
-                        for t in range(tables):
-                            if most == 1:
-                                rows = np.arange(len(part))
-                                keys = functions.key(intervals[t])
-                            else:
-                                inside = places[t] - intervals[t]
-                                shifts = [probes(x, most) for x in inside]
-                                sizes = [len(s) for s in shifts]
-                                rows = np.repeat(np.arange(len(part)), sizes)
-                                keys = functions.key(intervals[t][rows] + np.concatenate(shifts))
-                            out = part.take(pa.array(rows))
-                            numbers = np.full(len(rows), t, np.int64)
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array(numbers),
-                                    pa.array(keys),
-                                    out.column("dim").cast(pa.int64()),
-                                    out.column("id"),
-                                    out.column("embedding"),
-                                ],
-                                ["number", "bucket", "dim", "id", "embedding"],
-                            )
-
-        return task
-
-    component = "float" if kind == "<f4" else "double"
-    schema = f"number long, bucket long, dim long, id long, embedding array<{component}>"
-    keys = ["number", "bucket", "dim"]
-    # A full bucket is dealt over several tasks before it is packed.
-    salts = 1 + size[0] // 200_000
-
-    def blocks(rows: DataFrame, probed: int, most: int) -> DataFrame:
-        salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-        dealt = (
-            rows.select("dim", "id", "embedding")
-            .mapInArrow(hashed(probed), schema)
-            .withColumn("salt", salt)
-            .repartition(partitions, *keys, "salt")
-            .sortWithinPartitions(*keys, "salt", "id")
+    # By length, the numbers of rows and questions.
+    totals, wanted = _by_dim(index), _by_dim(questions)
+
+    def hashed(most: int) -> Callable[[int], Keys]:
+        """The bucket of each vector in every table, and those next to it up to ``most``."""
+
+        def keys_of(dim: int) -> Keys:
+            def keys(block: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+                functions = Projections(dim, tables, hashes, unit)
+                places = functions.places(block)
+                intervals = np.floor(places).astype(np.int64)
+                for t in range(tables):
+                    if most == 1:
+                        yield t, np.arange(len(block)), functions.key(intervals[t])
+                        continue
+                    inside = places[t] - intervals[t]
+                    shifts = [probes(x, most) for x in inside]
+                    rows = np.repeat(np.arange(len(block)), [len(s) for s in shifts])
+                    yield t, rows, functions.key(intervals[t][rows] + np.concatenate(shifts))
+
+            return keys
+
+        return keys_of
+
+    def full(rows: DataFrame, most: int, cap: Callable[[int], int], by: dict[int, int]):
+        """The buckets with more vectors than a cell may have, of lengths that can have such."""
+        dims = [dim for dim, n in by.items() if n > cap(dim)]
+        if not dims:
+            return None
+        caps = spark.createDataFrame([(dim, cap(dim)) for dim in dims], "dim long, cap long")
+        counts = _counted(rows.join(F.broadcast(caps.select("dim")), "dim"), hashed(most))
+        return (
+            counts.join(F.broadcast(caps), "dim")
+            .filter(F.col("n") > F.col("cap"))
+            .select(*_BUCKET, F.ceil(F.col("n") / F.col("cap")).alias("parts"))
+            .toArrow()
         )
-        return vectors.packed(dealt, keys, most)
 
-    rows = blocks(index, 1, _ROWS)
-    probed = blocks(asked, count, _QUERIES).select(
-        *keys, F.col("ids").alias("asked"), F.col("vectors").alias("xs")
+    def most_rows(dim: int) -> int:
+        return max(1, _CELL // (dim * width_of))
+
+    parts = Parts(
+        full(index, 1, most_rows, totals), full(questions, count, lambda dim: _ASKED, wanted)
     )
-    found = _best(_ranked(probed, rows, keys, kind, k + 1), k + 1)
+    # Dealt evenly, as a few rows make many probes.
+    probed = _dealt(questions.repartition(partitions, "id"), hashed(count), parts, True)
+    found = _best(_ranked(_dealt(index, hashed(1), parts, False), probed, partitions, k + 1), k + 1)
     found = scratch.written(found.select("query_id", "near", "distance"), "found")
 
-    # Queries with fewer results than there are vectors: compare them with all, in blocks.
-    totals = index.groupBy("dim").agg(F.count("*").alias("total"))
+    # Questions with fewer results than there are vectors: compare them with all.
+    lengths = spark.createDataFrame(list(totals.items()), "dim int, total long")
     have = found.groupBy("query_id").agg(F.count("*").alias("have"))
     short = scratch.written(
-        asked.join(totals, "dim")
-        .join(have, asked["id"] == have["query_id"], "left")
+        questions.join(F.broadcast(lengths), "dim")
+        .join(have, questions["id"] == have["query_id"], "left")
         .filter(F.coalesce("have", F.lit(0)) < F.least(F.lit(k + 1), F.col("total")))
-        .select("id", "embedding", F.col("dim").cast("long").alias("dim")),
+        .select("id", "embedding", "dim"),
         "short",
     )
-    if not short.isEmpty():
-        whole = vectors.packed(
-            index.withColumn("dim", F.col("dim").cast("long")).sortWithinPartitions("dim", "id"),
-            ["dim"],
-            _ROWS,
-        )
-        few = vectors.packed(short.sortWithinPartitions("dim", "id"), ["dim"], _QUERIES).select(
-            "dim", F.col("ids").alias("asked"), F.col("vectors").alias("xs")
-        )
-        more = _ranked(few, whole, ["dim"], kind, k + 1)
+    few = _by_dim(short)
+    if few:
+
+        def whole(dim: int) -> Keys:
+            """One bucket of all vectors of a length."""
+            return lambda block: iter(
+                [(0, np.arange(len(block)), np.zeros(len(block), np.int64))]
+            )
+
+        dims = np.array(list(few), np.int64)
+        zeros = np.zeros(len(dims), np.int64)
+        every = [
+            pa.table({"number": zeros, "bucket": zeros, "dim": dims, "parts": np.array(x, np.int64)})
+            for x in (
+                [-(-totals[dim] // most_rows(dim)) for dim in few],
+                [-(-n // _ASKED) for n in few.values()],
+            )
+        ]
+        lone = F.broadcast(lengths.filter(F.col("dim").isin(list(few))).select("dim"))
+        rows = _dealt(index.join(lone, "dim"), whole, Parts(*every), False)
+        more = _ranked(rows, _dealt(short, whole, Parts(*every), True), partitions, k + 1)
         found = _best(found.unionByName(more), k + 1).select("query_id", "near", "distance")
     members = listed.select("near", "vec_id")
+    same = asked.join(
+        questions.select("embedding", F.col("id").alias("question")), "embedding"
+    ).select("question", F.col("vec_id").alias("query_id"))
     nearest_first = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        found.join(members, "near")
+        found.withColumnRenamed("query_id", "question")
+        .join(same, "question")
+        .join(members, "near")
         .filter("vec_id <> query_id")
         .select("query_id", "vec_id", F.col("distance").alias("score"))
         .withColumn("rank", F.row_number().over(nearest_first))
@@ -280,6 +415,11 @@ def search(
     )
 
 
+def _by_dim(rows: DataFrame) -> dict[int, int]:
+    """The number of vectors by length."""
+    return dict(map(tuple, rows.groupBy("dim").agg(F.count("*")).collect()))
+
+
 def _length():
     """The Euclidean length of a vector."""
     squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") ** 2)

@@ -269,3 +269,78 @@ def test_of_vectors_with_one_id_the_least_counts(spark):
         assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [
             (4, 0.0), (5, 1.0), (2, 2.0),
         ]
+
+
+def broadcast(plan):
+    """What lies below each broadcast of a plan, as text."""
+    lines = plan.splitlines()
+    depth = [len(re.match(r"[\s:+*()\d-]*", line)[0]) for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield "\n".join(lines[i + 1 : end])
+
+
+def test_probes_do_not_pass_the_driver(spark, monkeypatch):
+    """Probes are 240 times their queries, so files of few queries must not let a plan broadcast them."""
+    plans, tables = {}, {}
+    written = ann.scratch.written
+
+    def noted(rows, purpose):
+        plans[purpose] = rows._jdf.queryExecution().executedPlan().toString()
+        tables[purpose] = written(rows, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(ann.scratch, "written", noted)
+    data = vectors(5, 60)
+    rows = [(i, [float(x) for x in data[i % 60]]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = ann.search(frame, frame.filter("vec_id % 3 = 0"), k=4)
+    plans["result"] = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plans["found"]
+    below = [x for plan in plans.values() for x in broadcast(plan)]
+    assert below and not [x for x in below if "InArrow" in x]
+    assert (tables["queries"].count(), tables["questions"].count()) == (100, 20)
+    assert out.count() == 400
+
+
+def test_a_row_meets_a_query_in_one_cell():
+    import pyarrow as pa
+
+    def full(parts):
+        columns = {"number": [0] * 3, "bucket": [-4, 5, 9], "dim": [8] * 3, "parts": parts}
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+
+    parts = ann.Parts(full([3, 1, 7]), full([1, 4, 5]))
+    ids = np.arange(200)
+    cases = [(0, 9, 7, 5), (0, -4, 3, 1), (0, 5, 1, 4), (0, 7, 1, 1), (1, 9, 1, 1)]
+    for number, bucket, rows_in, queries_in in cases:
+        keys = np.full(200, bucket)
+        sides = []
+        for asked in (False, True):
+            at, cells = parts.cells(number, 8, keys, ids, asked)
+            sides.append([set(cells[at == i].tolist()) for i in ids])
+            assert sum(map(len, sides[-1])) == len(at)
+        assert all(len(row & query) == 1 for row in sides[0] for query in sides[1])
+        assert len(set.union(*sides[0])) == rows_in * queries_in
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_full_buckets_are_dealt_over_cells(spark, monkeypatch, kind):
+    """Crowded and lone vectors, found by probes or by comparing all, in cells of a few rows."""
+    data = vectors(6, 400)
+    data[300:] *= np.linspace(4, 90, 100, dtype=np.float32)[:, None]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)] + ODD
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    asked = frame.filter("vec_id % 2 = 0")
+
+    def found():
+        return sorted(tuple(r) for r in ann.search(frame, asked, k=6).collect())
+
+    expected = found()
+    assert len(expected) == 6 * 200 + 1
+    purposes, counted = [], ann._counted
+    monkeypatch.setattr(ann, "_counted", lambda *a: purposes.append(1) or counted(*a))
+    monkeypatch.setattr(ann, "_CELL", 2000)
+    monkeypatch.setattr(ann, "_ASKED", 7)
+    assert found() == expected and len(purposes) == 2
