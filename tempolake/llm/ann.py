@@ -6,7 +6,7 @@ of their estimated success: the nearer the projection to a boundary, the likelie
 lies beyond it. The candidates of all tables are ranked by exact double-precision distances.
 
 Rows and probes are dealt by bucket in one shuffle and meet in its tasks, so neither side is ever
-held whole; a full bucket is dealt over several cells, each row meeting each probe in one of
+held whole; large tables take the hash tables one after the other. A full bucket is dealt over several cells, each row meeting each probe in one of
 them. A cell returns its nearest few per query, not its pairs. Equal vectors are indexed once,
 with the smallest ids that can be among the results, and equal queries are looked up once. A
 query that its probes leave with too few results is compared with all rows, in cells as well.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ _SEED = 20240607
 _ROWS, _QUERIES = 2048, 512
 #: Bytes of rows, and queries, that a cell holds at most, give or take what chance deals it.
 _CELL, _ASKED = 1 << 24, 1 << 16
+#: Bytes of rows that the tables of a step copy into its shuffle, if that is over one table.
+_STEP = 1 << 28
 _BATCH = 10_000
 _BUCKET = ["number", "bucket", "dim"]
 
@@ -50,9 +53,9 @@ class Projections:
         self.factors = random.integers(1, 1 << 62, size=hashes, dtype=np.int64) * 2 + 1
         self.width = width
 
-    def places(self, block: np.ndarray) -> np.ndarray:
-        """By table and vector, the projections in interval widths."""
-        return (block.astype(np.float64) @ self.directions + self.offsets) / self.width
+    def places(self, block: np.ndarray, table: int) -> np.ndarray:
+        """By vector, the projections in interval widths."""
+        return (block.astype(np.float64) @ self.directions[table] + self.offsets[table]) / self.width
 
     def key(self, intervals: np.ndarray) -> np.ndarray:
         """64-bit bucket keys of interval numbers."""
@@ -300,7 +303,7 @@ def search(
     # Of equal vectors only the k + 1 smallest ids can be results.
     listed = valid.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1)
     first = F.min("vec_id").over(Window.partitionBy("embedding"))
-    listed = scratch.written(listed.withColumn("near", first), "listed")
+    listed = scratch.written_alone(listed.withColumn("near", first), "listed")
     index = listed.filter(F.col("copy") == 1).select(
         F.col("vec_id").alias("id"), "embedding", F.size("embedding").alias("dim")
     )
@@ -309,9 +312,9 @@ def search(
     unit = float(f"{size[1] or 1.0:.4g}") * width
     # A query is the row that its vec_id stands for in the table.
     ids = vectors.rows(queries).select("vec_id").distinct()
-    asked = scratch.written(valid.join(ids, "vec_id", "left_semi"), "queries")
+    asked = scratch.written_alone(valid.join(ids, "vec_id", "left_semi"), "queries")
     # Equal queries are looked up once, under the smallest of their ids.
-    questions = scratch.written(
+    questions = scratch.written_alone(
         asked.groupBy("embedding")
         .agg(F.min("vec_id").alias("id"))
         .select("id", "embedding", F.size("embedding").alias("dim")),
@@ -320,22 +323,21 @@ def search(
     # By length, the numbers of rows and questions.
     totals, wanted = _by_dim(index), _by_dim(questions)
 
-    def hashed(most: int) -> Callable[[int], Keys]:
-        """The bucket of each vector in every table, and those next to it up to ``most``."""
+    def hashed(most: int, numbers: list[int]) -> Callable[[int], Keys]:
+        """The bucket of each vector in some tables, and those next to it up to ``most``."""
 
         def keys_of(dim: int) -> Keys:
             def keys(block: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
                 functions = Projections(dim, tables, hashes, unit)
-                places = functions.places(block)
-                intervals = np.floor(places).astype(np.int64)
-                for t in range(tables):
+                for t in numbers:
+                    places = functions.places(block, t)
+                    intervals = np.floor(places).astype(np.int64)
                     if most == 1:
-                        yield t, np.arange(len(block)), functions.key(intervals[t])
+                        yield t, np.arange(len(block)), functions.key(intervals)
                         continue
-                    inside = places[t] - intervals[t]
-                    shifts = [probes(x, most) for x in inside]
+                    shifts = [probes(x, most) for x in places - intervals]
                     rows = np.repeat(np.arange(len(block)), [len(s) for s in shifts])
-                    yield t, rows, functions.key(intervals[t][rows] + np.concatenate(shifts))
+                    yield t, rows, functions.key(intervals[rows] + np.concatenate(shifts))
 
             return keys
 
@@ -347,7 +349,8 @@ def search(
         if not dims:
             return None
         caps = spark.createDataFrame([(dim, cap(dim)) for dim in dims], "dim long, cap long")
-        counts = _counted(rows.join(F.broadcast(caps.select("dim")), "dim"), hashed(most))
+        crowded = rows.join(F.broadcast(caps.select("dim")), "dim")
+        counts = _counted(crowded, hashed(most, list(range(tables))))
         return (
             counts.join(F.broadcast(caps), "dim")
             .filter(F.col("n") > F.col("cap"))
@@ -362,14 +365,24 @@ def search(
         full(index, 1, most_rows, totals), full(questions, count, lambda dim: _ASKED, wanted)
     )
     # Dealt evenly, as a few rows make many probes.
-    probed = _dealt(questions.repartition(partitions, "id"), hashed(count), parts, True)
-    found = _best(_ranked(_dealt(index, hashed(1), parts, False), probed, partitions, k + 1), k + 1)
-    found = scratch.written(found.select("query_id", "near", "distance"), "found")
+    evenly = questions.repartition(partitions, "id")
+    copied = tables * sum(n * dim * width_of for dim, n in totals.items())
+    steps = np.array_split(np.arange(tables), min(tables, -(-copied // _STEP) or 1))
+    found = []
+    for numbers in (step.tolist() for step in steps):
+        rows = _dealt(index, hashed(1, numbers), parts, False)
+        probed = _dealt(evenly, hashed(count, numbers), parts, True)
+        near = _best(_ranked(rows, probed, partitions, k + 1), k + 1)
+        found.append(scratch.written_alone(near.select("query_id", "near", "distance"), "found"))
+    if len(found) > 1:
+        near = _best(reduce(DataFrame.unionByName, found), k + 1)
+        found = [scratch.written_alone(near.select("query_id", "near", "distance"), "found")]
+    found = found[0]
 
     # Questions with fewer results than there are vectors: compare them with all.
     lengths = spark.createDataFrame(list(totals.items()), "dim int, total long")
     have = found.groupBy("query_id").agg(F.count("*").alias("have"))
-    short = scratch.written(
+    short = scratch.written_alone(
         questions.join(F.broadcast(lengths), "dim")
         .join(have, questions["id"] == have["query_id"], "left")
         .filter(F.coalesce("have", F.lit(0)) < F.least(F.lit(k + 1), F.col("total")))
@@ -381,9 +394,7 @@ def search(
 
         def whole(dim: int) -> Keys:
             """One bucket of all vectors of a length."""
-            return lambda block: iter(
-                [(0, np.arange(len(block)), np.zeros(len(block), np.int64))]
-            )
+            return lambda block: iter([(0, np.arange(len(block)), np.zeros(len(block), np.int64))])
 
         dims = np.array(list(few), np.int64)
         zeros = np.zeros(len(dims), np.int64)

@@ -1,4 +1,4 @@
-"""Vectors as numpy blocks: which rows count as vectors, and packing rows into binary blocks."""
+"""Vectors as numpy blocks: which rows count as vectors, and runs of rows with one key."""
 
 from __future__ import annotations
 
@@ -61,25 +61,6 @@ def equal_runs(batch: pa.RecordBatch, keys: list[str], most: int) -> Iterator[tu
             yield c, min(c + most, b)
 
 
-def packed(sorted_rows: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """Rows (keys, id long, embedding), sorted by long keys, as (keys, ids, vectors) blocks."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = list(equal_runs(batch, keys, most))
-            parts = [batch.slice(a, b - a) for a, b in runs]
-            columns = [pa.array([p.column(k)[0].as_py() for p in parts], pa.int64()) for k in keys]
-            ids = [p.column("id").to_numpy().astype("<i8").tobytes() for p in parts]
-            data = [np.ascontiguousarray(matrix(p.column("embedding"))).tobytes() for p in parts]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(ids, pa.binary()), pa.array(data, pa.binary())],
-                [*keys, "ids", "vectors"],
-            )
-
-    schema = ", ".join([*(f"{k} long" for k in keys), "ids binary, vectors binary"])
-    return sorted_rows.select(*keys, "id", "embedding").mapInArrow(task, schema)
-
-
 def dtype(table: DataFrame) -> str:
     """The numpy type of the components of ``rows(table)``."""
     kind = table.schema["embedding"].dataType.elementType

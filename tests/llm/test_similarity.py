@@ -343,4 +343,5 @@ def test_full_buckets_are_dealt_over_cells(spark, monkeypatch, kind):
     monkeypatch.setattr(ann, "_counted", lambda *a: purposes.append(1) or counted(*a))
     monkeypatch.setattr(ann, "_CELL", 2000)
     monkeypatch.setattr(ann, "_ASKED", 7)
+    monkeypatch.setattr(ann, "_STEP", 1)
     assert found() == expected and len(purposes) == 2
